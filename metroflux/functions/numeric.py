@@ -58,3 +58,16 @@ def ratio_rounded(num, den, places: int, scale_by: int = 1) -> Column:
 def round1_exact(c) -> Column:
     """round(x, 1) of a value known to 4 decimals, half away from zero."""
     return F.round(_c(c).cast("decimal(22,4)"), 1).cast("double")
+
+
+def mean_rounded_dec(c, places: int, where: Column | None = None) -> Column:
+    """round(avg(c), places) as DECIMAL, optionally over rows where `where` holds."""
+    v = money(c) if where is None else F.when(where, money(c))
+    n = F.count(v)
+    return F.round(F.sum(v).cast(SUM) / n, places)
+
+
+def share_pct(part, whole, places: int = 2) -> Column:
+    """round(part * 100 / whole, places) for integer counts, exactly, as DOUBLE."""
+    p = (_c(part).cast("decimal(20,0)") * 100).cast("decimal(22,0)")
+    return F.round(F.try_divide(p, _c(whole).cast("decimal(20,0)")), places).cast("double")

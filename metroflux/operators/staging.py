@@ -17,10 +17,13 @@ TRIP_KEY_COLUMNS = ["tpep_pickup_datetime", "tpep_dropoff_datetime", "PULocation
                     "DOLocationID", "VendorID", "fare_amount", "trip_distance", "passenger_count"]
 
 
-def trip_identity(prefix: str = "") -> list[Column]:
-    return [F.col("tpep_pickup_datetime"), F.col("tpep_dropoff_datetime"), F.col("PULocationID"),
-            F.col("DOLocationID"), F.col("VendorID"), hundredths("fare_amount"),
-            hundredths("trip_distance"), F.col("passenger_count")]
+def trip_identity(without: tuple = ()) -> list[Column]:
+    parts = {"tpep_pickup_datetime": F.col("tpep_pickup_datetime"),
+             "tpep_dropoff_datetime": F.col("tpep_dropoff_datetime"),
+             "PULocationID": F.col("PULocationID"), "DOLocationID": F.col("DOLocationID"),
+             "VendorID": F.col("VendorID"), "fare_amount": hundredths("fare_amount"),
+             "trip_distance": hundredths("trip_distance"), "passenger_count": F.col("passenger_count")}
+    return [c for name, c in parts.items() if name not in without]
 
 
 def dedupe_trips(raw: DataFrame) -> DataFrame:

@@ -203,3 +203,89 @@ def q_hour_completeness(spark, sf_dir):
 @query
 def q_alert_profile(spark, sf_dir):
     return dq.alert_profile(pipeline(spark, sf_dir).alerts_raw)
+
+
+# --- step 6: reports ---------------------------------------------------------------
+
+from metroflux.operators import reports as rp  # noqa: E402
+
+# slicers applied in the sliced KPI report
+SLICE = {"month": "January", "disrupted": True, "severities": ["light_rain", "heavy_rain", "clear"]}
+
+
+def _unfiltered_trips(p):
+    """Deduplicated, standardised trips before the validity filter (for outlier profiles)."""
+    return stg.standardise_trips(stg.dedupe_trips(p.trips_raw))
+
+
+@query
+def q_kpi(spark, sf_dir):
+    return rp.kpi(pipeline(spark, sf_dir).fact_trips)
+
+
+@query
+def q_hourly_by_disruption(spark, sf_dir):
+    return rp.hourly_by_disruption(pipeline(spark, sf_dir).fact_trips)
+
+
+@query
+def q_fare_by_tod(spark, sf_dir):
+    return rp.fare_by_tod(pipeline(spark, sf_dir).fact_trips)
+
+
+@query
+def q_trips_by_tod(spark, sf_dir):
+    return rp.trips_by_tod(pipeline(spark, sf_dir).fact_trips)
+
+
+@query
+def q_monthly_volume(spark, sf_dir):
+    return rp.monthly_volume(pipeline(spark, sf_dir).fact_trips)
+
+
+@query
+def q_sliced_kpi(spark, sf_dir):
+    return rp.kpi(rp.slice_by(pipeline(spark, sf_dir).fact_trips, **SLICE))
+
+
+@query
+def q_fare_bands(spark, sf_dir):
+    return rp.fare_bands(_unfiltered_trips(pipeline(spark, sf_dir)))
+
+
+@query
+def q_outliers(spark, sf_dir):
+    return rp.outlier_counts(_unfiltered_trips(pipeline(spark, sf_dir)), FIXTURE_BOUNDS)
+
+
+@query
+def q_negative_adjust(spark, sf_dir):
+    return rp.negative_adjustments(pipeline(spark, sf_dir).fact_trips)
+
+
+@query
+def q_dup_profile(spark, sf_dir):
+    return rp.duplicate_profile(pipeline(spark, sf_dir).trips_raw,
+                                stg.trip_identity(without=("VendorID",)), by="VendorID")
+
+
+@query
+def q_out_of_window(spark, sf_dir):
+    return rp.out_of_window(pipeline(spark, sf_dir).trips_raw, FIXTURE_BOUNDS["window_start"],
+                            FIXTURE_BOUNDS["window_end"])
+
+
+@query
+def q_reduction(spark, sf_dir):
+    p = pipeline(spark, sf_dir)
+    return rp.reduction_ratio(p.stg_trips, p.demand_zone_hour)
+
+
+@query
+def q_holiday(spark, sf_dir):
+    return rp.holiday_split(pipeline(spark, sf_dir).fact_trips)
+
+
+@query
+def q_disruption_gap(spark, sf_dir):
+    return rp.disruption_gap(pipeline(spark, sf_dir).fact_trips)

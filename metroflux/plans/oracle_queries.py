@@ -76,3 +76,118 @@ from (select cast(year(weather_datetime) as bigint) as data_year, cast(month(wea
 sql("alert_profile", o.with_models("alerts_raw") + """
 select count(*) as row_count, count(distinct subway_line) as unique_lines_affected, true as is_synthetic
 from alerts_raw""")
+
+# --- reports -------------------------------------------------------------------
+
+_F = o.with_models("fact_trips")
+
+
+def _kpi_select(where: str = "") -> str:
+    return f"""
+select count(*) as total_trips, {o.money_sum('total_amount')} as total_revenue,
+  {o.avg_round('fare_amount', 2)} as avg_fare, {o.avg_round('avg_speed_mph', 1)} as avg_speed_mph,
+  {o.avg_round('trip_duration_minutes', 2, integral=True)} as avg_duration_minutes,
+  count(*) filter (where has_subway_disruption) as disruption_trips
+from fact_trips {where}"""
+
+
+sql("kpi", _F + _kpi_select())
+sql("sliced_kpi", _F + _kpi_select(
+    "where analysis_month = 'January' and has_subway_disruption = true "
+    "and weather_severity in ('light_rain', 'heavy_rain', 'clear')"))
+
+sql("hourly_by_disruption", _F + f"""
+select pickup_hour, has_subway_disruption, count(*) as trips, {o.avg_round('fare_amount', 2)} as avg_fare,
+  {o.avg_round('avg_speed_mph', 1)} as avg_speed_mph
+from fact_trips group by pickup_hour, has_subway_disruption""")
+
+sql("fare_by_tod", _F + f"""
+select time_of_day, has_subway_disruption, {o.avg_round('fare_amount', 2)} as avg_fare,
+  {o.avg_round('tip_amount', 2)} as avg_tip, {o.avg_round('tip_percentage', 1)} as avg_tip_percentage
+from fact_trips group by time_of_day, has_subway_disruption""")
+
+sql("trips_by_tod", _F + f"""
+select time_of_day, has_subway_disruption, count(*) as trips, {o.avg_round('fare_amount', 2)} as avg_fare,
+  {o.avg_round('avg_speed_mph', 1)} as avg_speed_mph,
+  {o.avg_round('trip_duration_minutes', 1, integral=True)} as avg_duration_minutes
+from fact_trips group by time_of_day, has_subway_disruption""")
+
+sql("monthly_volume", _F + f"""
+select cast(date_trunc('month', pickup_date) as date) as month_start, analysis_month, has_subway_disruption,
+  count(*) as trips, {o.money_sum('total_amount')} as revenue, {o.avg_round('fare_amount', 2)} as avg_fare
+from fact_trips group by 1, 2, 3""")
+
+_UNFILTERED = o.with_models("trips_raw", extra=[o.STG_TRIPS.replace("stg_trips as (", "unfiltered as (", 1)
+    .split("  where rn = 1")[0] + "  where rn = 1\n)"])
+
+sql("fare_bands", _UNFILTERED + f"""
+select fare_band, trips, cast({o.rha('10000 * trips', 'sum(trips) over ()')} as double) / 100 as pct_of_total
+from (select case when fare_amount < 50 then 'under_50'
+                  when fare_amount >= 50 and fare_amount < 100 then '50_to_100'
+                  when fare_amount >= 100 and fare_amount <= 150 then '100_to_150'
+                  when fare_amount > 150 then 'over_150' end as fare_band, count(*) as trips
+      from unfiltered group by 1) b""")
+
+sql("outliers", _UNFILTERED + """
+select count(*) as rows_checked,
+  count(*) filter (where trip_duration_minutes > 90) as over_max_minutes,
+  count(*) filter (where trip_duration_minutes <= 0) as non_positive_minutes,
+  count(*) filter (where trip_distance_miles > 40) as over_max_miles,
+  count(*) filter (where trip_distance_miles <= 0) as non_positive_miles,
+  count(*) filter (where fare_amount > 150) as over_max_fare,
+  count(*) filter (where fare_amount <= 0) as non_positive_fare,
+  count(*) filter (where trip_duration_minutes > 90 or trip_duration_minutes <= 0
+    or trip_distance_miles > 40 or trip_distance_miles <= 0 or fare_amount > 150 or fare_amount <= 0) as any_rule
+from unfiltered""")
+
+sql("negative_adjust", _F + f"""
+select count(*) as trips,
+  cast({o.rha(f"sum({o.cents('fare_amount')} - {o.cents('total_amount')})", 'count(*)')} as double) / 100 as avg_gap,
+  min(total_amount) as min_total_amount
+from fact_trips where total_amount < fare_amount""")
+
+sql("dup_profile", o.with_models("trips_raw") + f"""
+select VendorID, count(*) as duplicate_groups, cast(sum(copies - 1) as bigint) as surplus_rows
+from (select VendorID, count(*) as copies from trips_raw
+      group by VendorID, tpep_pickup_datetime, tpep_dropoff_datetime, PULocationID, DOLocationID,
+        {o.cents('fare_amount')}, {o.cents('trip_distance')}, passenger_count
+      having count(*) > 1) g
+group by VendorID""")
+
+sql("out_of_window", o.with_models("trips_raw") + f"""
+select case when tpep_pickup_datetime is null then 'missing'
+            when tpep_pickup_datetime < timestamp '{o.FIXTURE_START}' - interval 1 month
+              or tpep_pickup_datetime >= timestamp '{o.FIXTURE_END}' + interval 1 month then 'old_clock'
+            when tpep_pickup_datetime < timestamp '{o.FIXTURE_START}' then 'month_overflow_before'
+            when tpep_pickup_datetime >= timestamp '{o.FIXTURE_END}' then 'month_overflow_after'
+            else 'in_window' end as kind, count(*) as trips
+from trips_raw group by 1""")
+
+sql("reduction", o.with_models("stg_trips", "demand_zone_hour") + f"""
+select trip_rows, zone_hour_rows,
+  cast({o.rha('10000 * (trip_rows - zone_hour_rows)', 'trip_rows')} as double) / 100 as reduction_pct
+from (select (select count(*) from stg_trips) as trip_rows,
+             (select count(*) from demand_zone_hour) as zone_hour_rows) c""")
+
+sql("holiday", _F + f"""
+select is_holiday_period, count(*) as trips, {o.money_sum('total_amount')} as revenue,
+  {o.avg_round('fare_amount', 2)} as avg_fare
+from fact_trips group by is_holiday_period""")
+
+
+def _cond_avg_k(x: str, cond: str, integral: bool = False) -> str:
+    """half-away rounded conditional mean in hundredths (integer)."""
+    v = f"100 * {x}" if integral else o.cents(x)
+    return o.rha(f"sum(case when {cond} then {v} end)", f"count(case when {cond} then {x} end)")
+
+
+_gaps = []
+for _c, _n, _i in [("fare_amount", "fare", False), ("avg_speed_mph", "speed_mph", False),
+                   ("trip_duration_minutes", "duration_minutes", True)]:
+    _gaps.append(f"cast({_cond_avg_k(_c, 'has_subway_disruption', _i)} - "
+                 f"{_cond_avg_k(_c, 'not has_subway_disruption', _i)} as double) / 100 as {_n}_gap")
+
+sql("disruption_gap", _F + f"""
+select time_of_day, count(*) filter (where has_subway_disruption) as disrupted_trips,
+  count(*) filter (where not has_subway_disruption) as normal_trips, {", ".join(_gaps)}
+from fact_trips group by time_of_day""")
