@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from metroflux.operators import demand as dm
 from metroflux.operators import disruption as ds
@@ -289,3 +290,43 @@ def q_holiday(spark, sf_dir):
 @query
 def q_disruption_gap(spark, sf_dir):
     return rp.disruption_gap(pipeline(spark, sf_dir).fact_trips)
+
+
+# --- step 7: landing and JSON feeds ------------------------------------------------
+
+from metroflux.sources import fixtures as fx  # noqa: E402
+from metroflux.sources import json_feeds as jf  # noqa: E402
+from metroflux.sources.landing import load_all  # noqa: E402
+from metroflux.session import checkpoint_dir  # noqa: E402
+
+# load stamp of the fixture runs (an argument, never the clock)
+INGESTED_AT = "2024-02-01T00:00:00"
+
+
+@query
+def q_flatten_weather(spark, sf_dir):
+    prepare(spark)
+    return jf.flatten_weather_json(fx.weather_json_docs(fx.table(spark, sf_dir, "events")))
+
+
+@query
+def q_flatten_alerts(spark, sf_dir):
+    prepare(spark)
+    parsed = jf.parse_alert_entities(fx.alert_json_docs(fx.table(spark, sf_dir, "events")))
+    return jf.flatten_alert_json(parsed, ingested_at=INGESTED_AT)
+
+
+@query
+def q_load_manifest(spark, sf_dir):
+    """Land the three raw feeds month by month into the shared lake, report rows per month."""
+    from metroflux.functions.calendar import from_epoch_seconds, parse_iso_minute
+    p = pipeline(spark, sf_dir)
+    tag = sf_dir.rstrip("/").rsplit("/", 1)[-1]
+    root = f"{checkpoint_dir(spark).rstrip('/')}/lake/{tag}"
+    batches = {
+        "trips": (p.trips_raw, "tpep_pickup_datetime",
+                  {"by_day": True, "cluster_by": ["PULocationID", "DOLocationID"]}),
+        "weather": (p.weather_raw, parse_iso_minute("datetime_hour"), {"by_day": True}),
+        "mta_alerts": (p.alerts_raw, from_epoch_seconds(F.expr("try_cast(start_time as bigint)")), {}),
+    }
+    return load_all(spark, batches, root, INGESTED_AT)

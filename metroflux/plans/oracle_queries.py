@@ -191,3 +191,45 @@ sql("disruption_gap", _F + f"""
 select time_of_day, count(*) filter (where has_subway_disruption) as disrupted_trips,
   count(*) filter (where not has_subway_disruption) as normal_trips, {", ".join(_gaps)}
 from fact_trips group by time_of_day""")
+
+# --- landing and JSON feeds ---------------------------------------------------------
+
+from metroflux.schemas import SUBWAY_LINES as _LINES  # noqa: E402
+
+sql("flatten_weather", o.with_models("weather_raw") + "select * from weather_raw")
+
+_line_list = "[" + ", ".join(f"'{x}'" for x in _LINES) + "]"
+sql("flatten_alerts", f"""
+with e as (
+  select *, cast(epoch(date_trunc('hour', ts)) as bigint) as st from events
+  where event_type = 'error' and event_id % 7 = 0 and event_id % 101 <> 0 and event_id % 83 <> 0
+    and event_id % 5 <> 0
+),
+l as (
+  select e.*, unnest(case when event_id % 4 = 0
+      then [{_line_list}[user_id % 23 + 1], {_line_list}[(user_id + 7) % 23 + 1]]
+      else [{_line_list}[user_id % 23 + 1]] end) as subway_line
+  from e
+)
+select concat('a', cast(event_id as varchar)) as alert_id, subway_line,
+  case when event_id % 11 = 0 then 'UNKNOWN_CAUSE' when event_id % 5 = 1 then 'ACCIDENT'
+       else 'MAINTENANCE' end as cause,
+  case event_id % 6 when 0 then 'NO_SERVICE' when 1 then 'SIGNIFICANT_DELAYS'
+       when 2 then 'REDUCED_SERVICE' else 'DETOUR' end as effect,
+  substr(repeat(props, cast(1 + event_id % 60 as integer)), 1, 500) as header_text,
+  case when event_id % 97 = 0 then '' else cast(st as varchar) end as start_time,
+  case when event_id % 97 = 0 then '' else cast(st + 3600 * (1 + event_id % 9) as varchar) end as end_time,
+  '2024-02-01T00:00:00' as ingested_at
+from l""")
+
+sql("load_manifest", o.with_models("trips_raw", "weather_raw", "alerts_raw") + """
+select 'trips' as source, strftime(tpep_pickup_datetime, '%Y') as data_year,
+  strftime(tpep_pickup_datetime, '%m') as data_month, count(*) as row_count, 'success' as status
+from trips_raw group by 2, 3
+union all
+select 'weather', substr(datetime_hour, 1, 4), substr(datetime_hour, 6, 2), count(*), 'success'
+from weather_raw group by 2, 3
+union all
+select 'mta_alerts', strftime(to_timestamp(cast(start_time as bigint)) at time zone 'UTC', '%Y'),
+  strftime(to_timestamp(cast(start_time as bigint)) at time zone 'UTC', '%m'), count(*), 'success'
+from alerts_raw group by 2, 3""")

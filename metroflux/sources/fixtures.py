@@ -124,3 +124,51 @@ class Feeds:
 
     def zones(self) -> DataFrame:
         return zones(self.table("nation"))
+
+
+# ---------------------------------------------------------------------------
+# JSON feed documents derived from the test tables
+# ---------------------------------------------------------------------------
+
+def weather_json_docs(events: DataFrame) -> DataFrame:
+    """One columnar weather document per month of hours (at most 744 hours per document)."""
+    from metroflux.sources.json_feeds import WEATHER_MEASURES
+    w = weather_raw(events)
+    month = F.substring("datetime_hour", 1, 7)
+    g = w.groupBy(month.alias("m"), "latitude", "longitude", "timezone").agg(
+        F.sort_array(F.collect_list(F.struct("datetime_hour", *WEATHER_MEASURES))).alias("h"))
+    hourly = F.struct(F.col("h.datetime_hour").alias("time"), *[F.col(f"h.{c}").alias(c) for c in WEATHER_MEASURES])
+    return g.select(F.to_json(F.struct("latitude", "longitude", "timezone", hourly.alias("hourly"))).alias("value"))
+
+
+def alert_json_docs(events: DataFrame) -> DataFrame:
+    """One service-alert entity per 7th error event, covering the feed's edge cases:
+    unknown routes, alerts with no known line, two lines, a missing or empty period
+    list, a missing cause, long headers, and malformed text."""
+    from metroflux.schemas import SUBWAY_LINES
+    i, u = F.col("event_id"), F.col("user_id")
+    lines = F.array(*[F.lit(x) for x in SUBWAY_LINES])
+    known = F.struct(F.element_at(lines, (u % 23 + 1).cast("int")).alias("route_id"))
+    second = F.struct(F.element_at(lines, ((u + 7) % 23 + 1).cast("int")).alias("route_id"))
+    unknown = F.struct(F.concat(F.lit("BX"), (u % 5).cast("string")).alias("route_id"))
+    routes = (F.when(i % 5 == 0, F.array(unknown))
+              .when(i % 4 == 0, F.array(known, unknown, second))
+              .otherwise(F.array(unknown, known)))
+    start = epoch_seconds(truncate_hour("ts"))
+    period = F.struct(start.cast("string").alias("start"),
+                      (start + 3600 * (1 + i % 9)).cast("string").alias("end"))
+    periods = (F.when(i % 83 == 0, F.array().cast("array<struct<start:string,end:string>>"))
+               .when(i % 97 == 0, F.lit(None).cast("array<struct<start:string,end:string>>"))
+               .otherwise(F.array(period)))
+    header = F.struct(F.array(F.struct(F.repeat(F.col("props"), (1 + i % 60).cast("int")).alias("text")))
+                      .alias("translation"))
+    cause = F.when(i % 11 == 0, F.lit(None)).when(i % 5 == 1, "ACCIDENT").otherwise("MAINTENANCE")
+    effect = (F.when(i % 6 == 0, "NO_SERVICE").when(i % 6 == 1, "SIGNIFICANT_DELAYS")
+              .when(i % 6 == 2, "REDUCED_SERVICE").otherwise("DETOUR"))
+    entity = F.struct(F.concat(F.lit("a"), i.cast("string")).alias("id"),
+                      F.struct(routes.alias("informed_entity"), periods.alias("active_period"),
+                               header.alias("header_text"), cause.alias("cause"),
+                               effect.alias("effect")).alias("alert"))
+    text = F.to_json(entity)
+    text = F.when(i % 101 == 0, F.substring(text, 1, 25)).otherwise(text)
+    return events.where((F.col("event_type") == "error") & (i % 7 == 0)).select(text.alias("value"))
