@@ -152,3 +152,45 @@ def fact_trips(metrics: DataFrame, impact: DataFrame, locations: DataFrame, time
     )
     order = total_order(joined, first=["pickup_datetime"], exclude=["trip_id"])
     return dedupe(joined, ["trip_id"], order).select(*FACT_COLUMNS)
+
+
+# ---------------------------------------------------------------------------
+# the same star building on a second shape (orders, customers, nations)
+# ---------------------------------------------------------------------------
+
+# nations x regions: a registry-sized dimension
+MAX_NATIONS = 100_000
+
+
+def dim_nation(nation: DataFrame, region: DataFrame) -> DataFrame:
+    """Nation dimension with its region (nation left join region)."""
+    r = bounded_broadcast(region.select("r_regionkey", "r_name"), MAX_NATIONS, label="region")
+    return nation.join(r, nation.n_regionkey == r.r_regionkey, "left").select(
+        F.col("n_nationkey").cast("bigint").alias("nation_key"), F.col("n_name").alias("nation_name"),
+        F.col("r_name").alias("region_name"))
+
+
+def orders_star(orders: DataFrame, customer: DataFrame, nations: DataFrame) -> DataFrame:
+    """Orders with calendar attributes, customer and the customer's nation and region.
+
+    customer grows with the data, so its join is left to the planner (AQE
+    broadcasts it at runtime only when small); the nation dimension is
+    broadcast behind its size check. Orders are never shuffled for nations.
+    """
+    o = orders.alias("o")
+    c = customer.select("c_custkey", "c_name", "c_mktsegment", "c_nationkey").alias("c")
+    n = bounded_broadcast(nations, MAX_NATIONS, label="nations").alias("n")
+    j = (o.join(c, F.col("o.o_custkey") == F.col("c.c_custkey"), "left")
+          .join(n, F.col("c.c_nationkey") == F.col("n.nation_key"), "left"))
+    od = F.col("o.o_orderdate").cast("timestamp_ntz")
+    keyed = j.select(
+        F.col("o.o_orderkey").alias("o_orderkey"), od.alias("o_orderdate"),
+        F.year(od).cast("bigint").alias("order_year"), F.month(od).cast("bigint").alias("order_month"),
+        cal.day_of_week(od).alias("order_day_of_week"),
+        F.when(cal.is_weekend(od), True).otherwise(False).alias("is_weekend"),
+        F.col("o.o_orderstatus").alias("o_orderstatus"), F.col("o.o_orderpriority").alias("o_orderpriority"),
+        F.col("o.o_totalprice").alias("o_totalprice"),
+        F.col("c.c_name").alias("customer_name"), F.col("c.c_mktsegment").alias("customer_segment"),
+        F.col("n.nation_name").alias("customer_nation"), F.col("n.region_name").alias("customer_region"),
+        F.col("o.o_custkey").alias("o_custkey"))
+    return keyed.withColumn("order_id", surrogate_key(keyed, ["o_orderkey", "o_orderdate", "o_custkey"]))

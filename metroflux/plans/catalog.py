@@ -330,3 +330,30 @@ def q_load_manifest(spark, sf_dir):
         "mta_alerts": (p.alerts_raw, from_epoch_seconds(F.expr("try_cast(start_time as bigint)")), {}),
     }
     return load_all(spark, batches, root, INGESTED_AT)
+
+
+# --- step 8: the same operators on a second shape ----------------------------------
+
+from metroflux.operators.dedupe import dedupe  # noqa: E402
+from metroflux.operators.star import dim_nation, orders_star  # noqa: E402
+
+
+@query
+def q_dedupe_lineitem(spark, sf_dir):
+    """One line per (order, line number); the smallest line over all other columns survives."""
+    prepare(spark)
+    return dedupe(fx.table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+@query
+def q_orders_star(spark, sf_dir):
+    prepare(spark)
+    t = lambda n: fx.table(spark, sf_dir, n)
+    return orders_star(t("orders"), t("customer"), dim_nation(t("nation"), t("region")))
+
+
+@query
+def q_dq_lineitem_orphans(spark, sf_dir):
+    prepare(spark)
+    return dq.dq_orphans(fx.table(spark, sf_dir, "lineitem"), fx.table(spark, sf_dir, "orders"),
+                         "l_orderkey", "o_orderkey", keep=["l_orderkey", "l_linenumber"])

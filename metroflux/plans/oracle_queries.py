@@ -233,3 +233,38 @@ union all
 select 'mta_alerts', strftime(to_timestamp(cast(start_time as bigint)) at time zone 'UTC', '%Y'),
   strftime(to_timestamp(cast(start_time as bigint)) at time zone 'UTC', '%m'), count(*), 'success'
 from alerts_raw group by 2, 3""")
+
+# --- second shape ---------------------------------------------------------------------
+
+sql("dedupe_lineitem", """
+select l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax,
+  l_returnflag, l_linestatus, l_shipdate
+from (select *, row_number() over (partition by l_orderkey, l_linenumber
+        order by l_partkey nulls first, l_suppkey nulls first, l_quantity nulls first,
+          l_extendedprice nulls first, l_discount nulls first, l_tax nulls first,
+          l_returnflag nulls first, l_linestatus nulls first, l_shipdate nulls first) as rn
+      from lineitem) d
+where rn = 1""")
+
+sql("orders_star", """
+with s as (
+  select o.o_orderkey, cast(o.o_orderdate as timestamp) as o_orderdate,
+    cast(year(o.o_orderdate) as bigint) as order_year, cast(month(o.o_orderdate) as bigint) as order_month,
+    cast(dayofweek(o.o_orderdate) + 1 as bigint) as order_day_of_week,
+    dayofweek(o.o_orderdate) in (0, 6) as is_weekend,
+    o.o_orderstatus, o.o_orderpriority, o.o_totalprice,
+    c.c_name as customer_name, c.c_mktsegment as customer_segment,
+    n.n_name as customer_nation, r.r_name as customer_region, o.o_custkey
+  from orders o
+  left join customer c on o.o_custkey = c.c_custkey
+  left join nation n on c.c_nationkey = n.n_nationkey
+  left join region r on n.n_regionkey = r.r_regionkey
+)
+select *, md5(concat_ws('-', coalesce(cast(o_orderkey as varchar), '_null_'),
+    coalesce(strftime(o_orderdate, '%Y-%m-%d %H:%M:%S.%f'), '_null_'),
+    coalesce(cast(o_custkey as varchar), '_null_'))) as order_id
+from s""")
+
+sql("dq_lineitem_orphans", """
+select l.l_orderkey, l.l_linenumber from lineitem l
+where not exists (select 1 from orders o where o.o_orderkey = l.l_orderkey)""")
