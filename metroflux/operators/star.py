@@ -97,35 +97,42 @@ FACT_COLUMNS = [
 ]
 
 
-def fact_trips(metrics: DataFrame, impact: DataFrame, locations: DataFrame, time_dim: DataFrame,
-               time_rows: int | None = None, max_impact_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+def fact_trips(metrics: DataFrame, disruptions: DataFrame, locations: DataFrame, time_dim: DataFrame,
+               time_rows: int | None = None, final_dedupe: bool = True,
+               max_disruption_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """One row per trip with zone, time, weather and disruption context.
 
-    Plan: the trips stream through four left joins without being shuffled;
-    locations and the time dimension are broadcast (bounded by the zone
-    registry and the window length), the zone-hour impact table is broadcast
-    when its size check passes (it grows with zones x hours, not with trips),
-    else AQE runs a shuffle join with skew splitting. The last-line dedupe
-    keeps one row per trip_id, first by pickup time then by all columns.
+    The disruption columns of a trip are those of its zone-hour impact row,
+    and that row only carries the city-wide disruption of the date-hour plus
+    the hour's weather severity, which the trip already has. So the trip
+    joins the hourly disruption table (at most 24 rows per alert day) instead
+    of the zone-hour impact table: no roll-up has to run, and the join side is
+    small and bounded. All four joins broadcast after a size check, so the
+    trips stream through without a shuffle.
+
+    E13 keeps one row per trip_id (first by pickup time, then all columns).
+    trip_id is a function of the staging dedupe key, so the fact can only
+    hold a duplicate when a join fans out; with unique dimensions
+    (`final_dedupe=False`, see Pipeline.unique_dims) that cannot happen and the
+    shuffle of the widest table is skipped.
     """
     t = metrics.withColumn("trip_id", surrogate_key(metrics, TRIP_KEY)).alias("trips")
-    si = bounded_broadcast(impact.select(
-        "pickup_date", "pickup_hour", "pickup_location_id", "has_subway_disruption",
-        "subway_lines_affected", "max_disruption_severity", "is_compound_disruption",
-        "has_synthetic_mta_data"), max_impact_rows, label="subway impact").alias("si")
+    h = bounded_broadcast(disruptions.select("alert_date", "hour_of_day", "severe_alert_count",
+                                             "lines_affected", "max_severity_score", "has_synthetic_data"),
+                          max_disruption_rows, label="hourly disruptions").alias("h")
     loc = bounded_broadcast(locations.select("location_id", "borough", "zone_name", "demand_category"),
                             MAX_ZONES, label="locations")
     pl, dl = loc.alias("pl"), loc.alias("dl")
     td = bounded_broadcast(time_dim.select("datetime_hour", "time_of_day", "is_holiday_period",
                                            "analysis_month"),
                            DEFAULT_MAX_BROADCAST_ROWS, known_rows=time_rows, label="time").alias("t")
-    j = (t.join(si, (F.col("trips.pickup_date") == F.col("si.pickup_date"))
-                & (F.col("trips.pickup_hour") == F.col("si.pickup_hour"))
-                & (F.col("trips.pickup_location_id") == F.col("si.pickup_location_id")), "left")
+    j = (t.join(h, (F.col("trips.pickup_date") == F.col("h.alert_date"))
+                & (F.col("trips.pickup_hour") == F.col("h.hour_of_day")), "left")
           .join(pl, F.col("trips.pickup_location_id") == F.col("pl.location_id"), "left")
           .join(dl, F.col("trips.dropoff_location_id") == F.col("dl.location_id"), "left")
           .join(td, cal.truncate_hour(F.col("trips.pickup_datetime")) == F.col("t.datetime_hour"), "left"))
     tc = lambda c: F.col(f"trips.{c}").alias(c)
+    severe = F.col("h.severe_alert_count")
     joined = j.select(
         tc("trip_id"), tc("pickup_datetime"), tc("dropoff_datetime"), tc("pickup_date"),
         tc("pickup_hour"), tc("pickup_day_of_week"), tc("is_weekend"),
@@ -143,13 +150,15 @@ def fact_trips(metrics: DataFrame, impact: DataFrame, locations: DataFrame, time
         tc("airport_fee"), tc("mta_tax"), tc("temperature_celsius"), tc("precipitation_mm"),
         tc("snowfall_cm"), tc("weather_severity"), tc("is_snow_trip"), tc("is_rain_trip"),
         tc("is_below_freezing"),
-        F.coalesce(F.col("si.has_subway_disruption"), F.lit(False)).alias("has_subway_disruption"),
-        F.coalesce(F.col("si.subway_lines_affected"), F.lit(0)).cast("bigint").alias("subway_lines_affected"),
-        F.coalesce(F.col("si.max_disruption_severity"), F.lit(0)).cast("bigint").alias("max_disruption_severity"),
-        F.coalesce(F.col("si.is_compound_disruption"), F.lit(False)).alias("is_compound_disruption"),
-        F.coalesce(F.col("si.has_synthetic_mta_data"), F.lit(False)).alias("has_synthetic_mta_data"),
+        F.when(severe > 0, True).otherwise(False).alias("has_subway_disruption"),
+        F.coalesce(F.col("h.lines_affected"), F.lit(0)).cast("bigint").alias("subway_lines_affected"),
+        F.coalesce(F.col("h.max_severity_score"), F.lit(0)).cast("bigint").alias("max_disruption_severity"),
+        cl.is_compound(severe, F.col("trips.weather_severity")).alias("is_compound_disruption"),
+        F.coalesce(F.col("h.has_synthetic_data"), F.lit(False)).alias("has_synthetic_mta_data"),
         tc("vendor_id"),
     )
+    if not final_dedupe:
+        return joined.select(*FACT_COLUMNS)
     order = total_order(joined, first=["pickup_datetime"], exclude=["trip_id"])
     return dedupe(joined, ["trip_id"], order).select(*FACT_COLUMNS)
 

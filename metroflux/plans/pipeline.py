@@ -23,6 +23,7 @@ from metroflux.operators import disruption as ds
 from metroflux.operators import enrich as en
 from metroflux.operators import staging as stg
 from metroflux.operators import star
+from metroflux.operators.dedupe import dedupe
 from metroflux.schemas import TRIP_BOUNDS
 from metroflux.session import checkpoint_dir
 
@@ -30,12 +31,16 @@ from metroflux.session import checkpoint_dir
 class Pipeline:
     def __init__(self, spark: SparkSession, trips_raw: DataFrame, weather_raw: DataFrame,
                  alerts_raw: DataFrame, zones: DataFrame, bounds: dict | None = None,
-                 across_midnight: bool = False, unique_weather: bool = False):
+                 across_midnight: bool = False, unique_dims: bool = True):
         self.spark = spark
         self.trips_raw, self.weather_raw, self.alerts_raw, self.zones = trips_raw, weather_raw, alerts_raw, zones
         self.bounds = dict(TRIP_BOUNDS, **(bounds or {}))
         self.across_midnight = across_midnight
-        self.unique_weather = unique_weather
+        # Keep one weather reading per hour and one zone row per id before joining.
+        # The source's own tests assert both keys unique; enforcing it here means no
+        # join can fan a trip out, so the fact needs no final trip_id dedupe.
+        # unique_dims=False reproduces the fan-out and the last-line dedupe.
+        self.unique_dims = unique_dims
         self._written: dict[str, DataFrame] = {}
 
     def _model(self, name: str, build) -> DataFrame:
@@ -58,7 +63,7 @@ class Pipeline:
     @property
     def trips_weather(self) -> DataFrame:
         return self._model("trips_weather", lambda: en.join_weather(
-            self.stg_trips, self.stg_weather, assert_unique=self.unique_weather))
+            self.stg_trips, self.stg_weather, assert_unique=self.unique_dims))
 
     @property
     def trip_metrics(self) -> DataFrame:
@@ -83,6 +88,11 @@ class Pipeline:
     def dim_location(self) -> DataFrame:
         return self._model("dim_location", lambda: star.dim_location(self.zones))
 
+    @property
+    def fact_locations(self) -> DataFrame:
+        loc = self.dim_location
+        return dedupe(loc, ["location_id"]) if self.unique_dims else loc
+
     @property
     def time_rows(self) -> int:
         return star.spine_rows(self.bounds["window_start"], self.bounds["window_end"])
@@ -99,8 +109,8 @@ class Pipeline:
     @property
     def fact_trips(self) -> DataFrame:
         return self._model("fact_trips", lambda: star.fact_trips(
-            self.trip_metrics, self.subway_impact, self.dim_location, self.dim_time,
-            time_rows=self.time_rows))
+            self.trip_metrics, self.hourly_disruptions, self.fact_locations, self.dim_time,
+            time_rows=self.time_rows, final_dedupe=not self.unique_dims))
 
     # --- materialisation ------------------------------------------------------
     TABLES = ["trip_metrics", "demand_zone_hour", "hourly_disruptions", "subway_impact",
