@@ -357,3 +357,23 @@ def q_dq_lineitem_orphans(spark, sf_dir):
     prepare(spark)
     return dq.dq_orphans(fx.table(spark, sf_dir, "lineitem"), fx.table(spark, sf_dir, "orders"),
                          "l_orderkey", "o_orderkey", keep=["l_orderkey", "l_linenumber"])
+
+
+@query
+def q_incremental_landing(spark, sf_dir):
+    """Land raw trips by month, stream the new files into the raw table, report rows per month."""
+    from metroflux.schemas import TRIPS_RAW
+    from metroflux.sources.landing import write_raw
+    from metroflux.sources.readers import read_landed
+    from metroflux.streaming.incremental import append_new_batches
+    import uuid
+    p = pipeline(spark, sf_dir)
+    # a fresh run folder: a rerun re-lands the same months as new files, which a
+    # file stream rightly treats as new arrivals, so runs must not share stream state
+    root = f"{checkpoint_dir(spark).rstrip('/')}/incremental/{uuid.uuid4().hex}"
+    landing = write_raw(p.trips_raw, f"{root}/landing", "trips", "tpep_pickup_datetime")
+    append_new_batches(spark, landing, f"{root}/raw_trips", f"{root}/_checkpoint", TRIPS_RAW)
+    raw = read_landed(spark, f"{root}/raw_trips")
+    return raw.groupBy(F.col("year").cast("string").alias("data_year"),
+                       F.lpad(F.col("month").cast("string"), 2, "0").alias("data_month")).agg(
+        F.count(F.lit(1)).alias("row_count"))

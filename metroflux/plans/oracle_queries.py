@@ -268,3 +268,8 @@ from s""")
 sql("dq_lineitem_orphans", """
 select l.l_orderkey, l.l_linenumber from lineitem l
 where not exists (select 1 from orders o where o.o_orderkey = l.l_orderkey)""")
+
+sql("incremental_landing", o.with_models("trips_raw") + """
+select strftime(tpep_pickup_datetime, '%Y') as data_year, strftime(tpep_pickup_datetime, '%m') as data_month,
+  count(*) as row_count
+from trips_raw group by 1, 2""")
