@@ -207,6 +207,6 @@ def run_suite(models: dict[str, DataFrame], tests: list[Test]) -> DataFrame:
 
 def summarize(report: DataFrame) -> DataFrame:
     """PASS / WARN / ERROR counts plus a TOTAL row."""
-    by = report.groupBy("status").agg(F.count(F.lit(1)).alias("tests"))
-    total = report.agg(F.count(F.lit(1)).alias("tests")).select(F.lit("TOTAL").alias("status"), "tests")
-    return by.unionByName(total)
+    # one aggregation: the rollup's grand-total row (status NULL) is the TOTAL
+    r = report.rollup("status").agg(F.count(F.lit(1)).alias("tests"), F.grouping("status").alias("_g"))
+    return r.select(F.when(F.col("_g") == 1, "TOTAL").otherwise(F.col("status")).alias("status"), "tests")
