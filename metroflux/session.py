@@ -18,6 +18,10 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # size shuffle partitions by bytes, not by a fixed count: AQE coalesces small
+    # ones and splits skewed ones toward this size, so tasks fit executor memory
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.files.maxPartitionBytes": "128m",
     # keep month='01' as text when discovering raw/{source}/year=/month= folders
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     # monthly loads overwrite only the partitions they touch
