@@ -1,17 +1,63 @@
-"""Corpus pipeline (stages are added as their operators arrive)."""
+"""A corpus pipeline over `documents`: score, cut, deduplicate, decontaminate, encode.
+
+STAGES lists (name, function) in order. A function takes (spark, docs, sf_dir) and returns what
+it keeps; the result is written as Parquet and read again as the next one's docs. All stages
+but the last return the columns of documents.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from metroflux.llm.bpe import encode_digest
 from metroflux.llm.common import Scratch, read_table
+from metroflux.llm.decontaminate import drop_contaminated
+from metroflux.llm.jaccard import keep_one_per_group
+from metroflux.llm.line_dedup import drop_repeated_lines
+from metroflux.llm.toxicity import reject_toxic
+
+VOCABULARY = "word_bpe_49k.json"
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity model rejects go; it learns from `labels`."""
+    return reject_toxic(docs, read_table(spark, sf_dir, "labels"))
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Later copies of repeated line runs are cut out of the texts; n_chars follows."""
+    out = drop_repeated_lines(docs)
+    return out.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns) if "n_chars" in docs.columns else out
+
+
+def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of every group of near duplicates the document with the smallest id stays."""
+    return keep_one_per_group(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return drop_contaminated(docs, read_table(spark, sf_dir, "benchmark"))
+
+
+def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Per document the number of tokens, and digests of the ids and of what they decode to."""
+    return encode_digest(docs, public_tokenizers.path(VOCABULARY))
+
+
+STAGES = [("toxicity", toxicity), ("line_dedup", line_dedup), ("jaccard_join", jaccard_join),
+          ("decontamination", decontamination), ("bpe", bpe)]
 
-STAGES: list = []
+# The first stage is a trained network, and tokens are not SQL; tests hold every stage against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    """Apply all stages to `documents`, each on the written result of the one before."""
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Apply all stages to `documents`, each to the written result of the one before."""
     docs = read_table(spark, sf_dir, "documents")
     scratch = Scratch(spark, "pipeline")
     for name, stage in STAGES[:-1]:
         docs = scratch.keep(stage(spark, docs, sf_dir), name)
-    return STAGES[-1][1](spark, docs, sf_dir) if STAGES else docs
+    return STAGES[-1][1](spark, docs, sf_dir)

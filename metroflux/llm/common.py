@@ -43,8 +43,12 @@ def held_out(doc_id: Column) -> Column:
 
 # --- pruning by a bitmap of fixed size ------------------------------------------------
 
-def id_bitmap(ids: DataFrame, col: str, words: int = 1 << 17) -> DataFrame:
-    """A bitmap of `words` 64-bit words over hashed ids: at most `words` rows however many ids there are."""
+BITMAP_WORDS = 1 << 17  # 1 MB of bits; the broadcast has at most this many rows of two numbers
+
+
+def id_bitmap(ids: DataFrame, col: str) -> DataFrame:
+    """A bitmap of BITMAP_WORDS 64-bit words over hashed ids: at most so many rows however many ids there are."""
+    words = BITMAP_WORDS
     h = F.xxhash64(F.col(col))
     return ids.where(F.col(col).isNotNull()).select(
         F.pmod(h, F.lit(words)).cast("int").alias("__word"),
@@ -53,19 +57,23 @@ def id_bitmap(ids: DataFrame, col: str, words: int = 1 << 17) -> DataFrame:
         F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("__bit"))).alias("__bits"))
 
 
-def prune_by_ids(df: DataFrame, col: str, ids: DataFrame, id_col: str, words: int = 1 << 17) -> DataFrame:
+def may_hold(df: DataFrame, col: str, bitmap: DataFrame, flag: str) -> DataFrame:
+    """`df` with a boolean column: False where the id is certainly in no row of the bitmap."""
+    words = BITMAP_WORDS
+    h = F.xxhash64(F.col(col))
+    bit = F.pmod(F.shiftright(h, 40), F.lit(64)).cast("int")
+    hit = F.call_function("shiftright", F.col("__bits"), bit).bitwiseAND(F.lit(1)) == 1
+    joined = df.join(F.broadcast(bitmap), F.pmod(h, F.lit(words)).cast("int") == bitmap["__word"], "left")
+    return joined.withColumn(flag, F.coalesce(hit, F.lit(False))).drop("__word", "__bits")
+
+
+def prune_by_ids(df: DataFrame, col: str, ids: DataFrame, id_col: str) -> DataFrame:
     """Rows of `df` that may have an id in `ids`; rows that cannot are dropped before any shuffle.
 
-    The broadcast side has at most `words` rows of 12 bytes. With very many
-    ids the bitmap fills up and lets more rows through; the exact join that
-    must follow keeps the result right.
+    With very many ids the bitmap fills up and lets more rows through; the exact
+    join that must follow keeps the result right.
     """
-    bits = F.broadcast(id_bitmap(ids, id_col, words))
-    h = F.xxhash64(F.col(col))
-    bit = F.pmod(F.shiftright(h, 40), F.lit(64)).cast("int")
-    kept = df.join(bits, F.pmod(h, F.lit(words)).cast("int") == bits["__word"], "inner")
-    return kept.where(F.call_function("shiftright", F.col("__bits"), bit).bitwiseAND(F.lit(1)) == 1) \
-        .drop("__word", "__bits")
+    return may_hold(df, col, id_bitmap(ids, id_col), "__may").where("__may").drop("__may")
 
 
 # --- Arrow text -------------------------------------------------------------------------

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from metroflux.llm.common import read_table
 
@@ -30,3 +31,54 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from metroflux.llm.token_counts import count_tokens
     return count_tokens(read_table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
+
+
+@query
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from metroflux.llm.language_id import identify
+    return identify(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from metroflux.llm.topk import search
+    return search(read_table(spark, sf_dir, "embeddings"), k=5, every=50, scale=256)
+
+
+@query
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from metroflux.llm.toxicity import rate_documents
+    return rate_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+@query
+def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from metroflux.llm.jaccard import similar_groups
+    return similar_groups(read_table(spark, sf_dir, "documents"), percent=80).select("doc_id", "n_shingles", "component_id")
+
+
+@query
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from metroflux.llm.substring_dedup import repeated_units
+    return repeated_units(read_table(spark, sf_dir, "documents")).drop("row")
+
+
+@query
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: number of lines, the cut runs, and the text that stays with its SHA-256."""
+    from metroflux.llm.line_dedup import drop_repeated_lines
+    out = drop_repeated_lines(read_table(spark, sf_dir, "documents").select("doc_id", "text"), with_runs=True)
+    gone = F.aggregate("runs", F.lit(0), lambda n, r: n + r["last"] - r["first"] + 1)
+    return out.select("doc_id", "runs", gone.cast("long").alias("lines_removed"), "text")
+
+
+@query
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from metroflux.llm.decontaminate import contaminated
+    return contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")).drop("row")
+
+
+@query
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from metroflux.llm.secrets import scan
+    return scan(read_table(spark, sf_dir, "documents"))
