@@ -56,7 +56,8 @@ def repeated_runs(docs: DataFrame, min_lines: int = 3) -> DataFrame:
     """
     ids = F.transform(_lines(F.col("text")), lambda x: F.xxhash64(x, F.length(x)))
     named = run_names(docs.where(F.col("text").isNotNull()).select("row", "doc_id", ids.alias("names")), min_lines)
-    starts = named.select("row", "doc_id", F.posexplode("names").alias("line", "name"))
+    # outer: an inner explode would have its array computed a second time, by a filter pushed below the steps
+    starts = named.select("row", "doc_id", F.posexplode_outer("names").alias("line", "name")).where(F.col("name").isNotNull())
     place = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "row", "line")
     intervals = starts.groupBy("name").agg(F.min(place).alias("kept"), F.count(F.lit(1)).alias("members"))
     scratch = Scratch(docs.sparkSession, "line-runs")
