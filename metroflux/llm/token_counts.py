@@ -76,10 +76,9 @@ def _document_sums(path: str, lookup):
         enc, pieces = encoder(path), dict(lookup.value)
         pieces.update(dict.fromkeys(enc.special, 1))
         for batch in batches:
-            for a, b in text_slices(batch.column(1), 2 << 20):
-                rows, sums, tokens, freqs = [], [], [], []
-                for row, text in zip(batch.column(0).slice(a, b - a).to_pylist(),
-                                     batch.column(1).slice(a, b - a).to_pylist(), strict=True):
+            for a, b in text_slices(batch.column(2), 2 << 20):
+                rows, doc_ids, sizes, sums, tokens, freqs = [], [], [], [], [], []
+                for row, doc_id, text in zip(*(batch.column(i).slice(a, b - a).to_pylist() for i in range(3)), strict=True):
                     known = 0
                     if text:
                         for token, n in _frequencies(enc, text).items():
@@ -87,16 +86,21 @@ def _document_sums(path: str, lookup):
                                 known += n * each
                             else:
                                 rows.append(row)
+                                doc_ids.append(None)
+                                sizes.append(None)
                                 sums.append(0)
                                 tokens.append(token)
                                 freqs.append(n)
                     rows.append(row)
+                    doc_ids.append(doc_id)
+                    sizes.append(len(text.encode()) if text else 0)
                     sums.append(known)
                     tokens.append(None)
                     freqs.append(0)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(rows, pa.int64()), pa.array(sums, pa.int64()), pa.array(tokens, pa.string()),
-                     pa.array(freqs, pa.int64())], names=["row", "known", "pretoken", "freq"])
+                    [pa.array(rows, pa.int64()), pa.array(doc_ids, pa.int64()), pa.array(sizes, pa.int64()),
+                     pa.array(sums, pa.int64()), pa.array(tokens, pa.string()), pa.array(freqs, pa.int64())],
+                    names=["row", "doc_id", "n_bytes", "known", "pretoken", "freq"])
     return run
 
 
@@ -116,15 +120,16 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 2048, frequent: int =
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "token-counts")
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
     pieces = scratch.keep(pretoken_pieces(docs, path), "pieces")
     top = (pieces.where(F.octet_length("pretoken") <= frequent_bytes)
            .orderBy(F.desc("freq"), "pretoken").limit(frequent).select("pretoken", "pieces").toArrow())
     lookup = spark.sparkContext.broadcast(dict(zip(top.column(0).to_pylist(), top.column(1).to_pylist(), strict=True)))
-    parts = rows.select("row", "text").mapInArrow(
-        _document_sums(path, lookup), "row long, known long, pretoken string, freq long")
+    # one row per document with what the lookup covers, and one per rare pre-token of it
+    parts = rows.mapInArrow(_document_sums(path, lookup),
+                            "row long, doc_id long, n_bytes long, known long, pretoken string, freq long")
     rare = parts.join(pieces.select("pretoken", "pieces"), "pretoken", "left")
-    per_row = rare.groupBy("row").agg(F.sum(F.col("known") + F.col("freq") * F.coalesce("pieces", F.lit(0))).alias("n_tokens"))
-    sizes = rows.select("row", "doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"))
-    return sizes.join(per_row, "row").select(
-        "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
+    return rare.groupBy("row").agg(
+        F.max("doc_id").alias("doc_id"), F.max("n_bytes").alias("n_bytes"),
+        F.sum(F.col("known") + F.col("freq") * F.coalesce("pieces", F.lit(0))).alias("n_tokens")
+    ).select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
