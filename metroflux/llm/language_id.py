@@ -155,7 +155,8 @@ def _predict(profiles, text_at: int):
                     scores.append(0.0)
                     continue
                 found, n = np.unique(codes, return_counts=True)
-                bundle = n.astype(np.float32) @ grams.vectors[grams.rows(found)].astype(np.float32)
+                rows = grams.rows(found)  # may replace grams.vectors
+                bundle = n.astype(np.float32) @ grams.vectors[rows].astype(np.float32)
                 cosines = bundle @ prototypes / max(float(np.linalg.norm(bundle)), 1e-12)
                 best = int(np.argmax(cosines))
                 langs.append(p.languages[best])
