@@ -1,7 +1,7 @@
 """Toxicity scores from a bidirectional gated recurrent network with attention pooling.
 
 Method. A word enters as its own vector (words frequent in the training sample)
-next to the mean of its character-trigram vectors (all words). Two gated
+next to the sum of its character-trigram vectors, over the root of their number (all words). Two gated
 recurrent layers read a window of words in both directions; attention pools
 their states into one logit. The text's score is the largest over all
 overlapping windows, so every word of every text is read twice at least.
@@ -19,6 +19,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 from zlib import crc32
 
 import numpy as np
@@ -40,6 +41,7 @@ def words_of(text: str | None) -> list[str]:
     return WORD.findall(text.lower()) if text else []
 
 
+@lru_cache(maxsize=100_000)
 def trigrams(word: str) -> list[int]:
     raw = f"^{word[:MAX_WORD]}$".encode()
     return [crc32(raw[i:i + 3]) % TRIGRAMS for i in range(len(raw) - 2)]
@@ -86,7 +88,7 @@ class Network:
         sizes = np.array([len(g) for g in grams])
         flat = np.array([i for g in grams for i in g], np.int64)
         starts = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
-        char = np.add.reduceat(self.p["char"][flat], starts) / sizes[:, None]
+        char = np.add.reduceat(self.p["char"][flat], starts) / np.sqrt(sizes)[:, None]
         return np.hstack([self.p["word"][ids], char]).astype(np.float32), (ids, flat, sizes)
 
     def gates_in(self, words: list[str]) -> np.ndarray:
@@ -166,7 +168,7 @@ class Network:
         g["word"], g["char"] = np.zeros_like(p["word"]), np.zeros_like(p["char"])
         np.add.at(g["word"], ids, dx[:, :WORD_DIM])
         g["word"][0] = 0
-        np.add.at(g["char"], flat, np.repeat(dx[:, WORD_DIM:] / sizes[:, None], sizes, axis=0))
+        np.add.at(g["char"], flat, np.repeat(dx[:, WORD_DIM:] / np.sqrt(sizes)[:, None], sizes, axis=0))
         return g
 
 
@@ -195,9 +197,13 @@ def _batch(words: list[list[str]], places: list[tuple[int, np.ndarray]]) -> tupl
     return list(index), at
 
 
-def train(texts: list[str], labels: list[int], vocabulary_size: int = 20_000, per_text: int = 8, rounds: int = 4,
-          refine: int = 3, batch: int = 128, rate: float = 0.01, seed: int = 5) -> Network:
-    """A network from labelled texts; texts without a word count for the base rate only."""
+def train(texts: list[str], labels: list[int], vocabulary_size: int = 20_000, per_text: int = 8, steps: int = 500,
+          refine: int = 2, batch: int = 256, rate: float = 0.01, seed: int = 5) -> Network:
+    """A network from labelled texts; texts without a word count for the base rate only.
+
+    The first phase takes at least `steps` steps and one pass over `per_text` windows of every text, each of
+    the `refine` rounds at least a tenth of that and one pass over the texts.
+    """
     y_all = np.array(labels, np.float32)
     base = float(y_all.mean()) if len(y_all) else 0.0
     words = [words_of(t) for t in texts]
@@ -211,22 +217,25 @@ def train(texts: list[str], labels: list[int], vocabulary_size: int = 20_000, pe
     all_windows = [windows(len(w)) for w in words]
     adam = Adam(net.p, rate)
 
-    def learn(places: list[tuple[int, np.ndarray]]) -> None:
-        order = rng.permutation(len(places))
-        for a in range(0, len(order), batch):
-            part = [places[i] for i in order[a:a + batch]]
-            distinct, at = _batch(words, part)
-            adam.step(net.gradients(distinct, at, y_all[[d for d, _ in part]]))
-
-    for _ in range(rounds):
-        learn([(d, w) for d, ws in enumerate(all_windows)
-               for w in ws[rng.choice(len(ws), min(per_text, len(ws)), replace=False)]])
+    def learn(places, least: int) -> None:
+        done = 0
+        while done < max(1, least):
+            now = places()
+            order = rng.permutation(len(now))
+            for a in range(0, len(order), batch):
+                part = [now[i] for i in order[a:a + batch]]
+                distinct, at = _batch(words, part)
+                adam.step(net.gradients(distinct, at, y_all[[d for d, _ in part]]))
+                done += 1
+
+    learn(lambda: [(d, w) for d, ws in enumerate(all_windows)
+                   for w in ws[rng.choice(len(ws), min(per_text, len(ws)), replace=False)]], steps)
     scorer = Scorer(net)
     for _ in range(refine):
         adam.rate = rate / 3
         scorer.forget()
         best = [int(np.argmax(scorer.window_logits(w))) for w in words]
-        learn([(d, all_windows[d][i]) for d, i in enumerate(best)])
+        learn(lambda: [(d, all_windows[d][i]) for d, i in enumerate(best)], steps // 10)  # noqa: B023
     return net
 
 
