@@ -56,17 +56,6 @@ def is_weekend(ts) -> Column:
     return F.dayofweek(col_(ts)).isin(1, 7)
 
 
-def with_calendar(df, ts: str, prefix: str):
-    """Add <prefix>_date, <prefix>_hour, <prefix>_day_of_week, is_weekend."""
-    return df.select(
-        "*",
-        F.to_date(F.col(ts)).alias(f"{prefix}_date"),
-        F.hour(F.col(ts)).cast("bigint").alias(f"{prefix}_hour"),
-        day_of_week(ts).alias(f"{prefix}_day_of_week"),
-        is_weekend(ts).alias("is_weekend"),
-    )
-
-
 def month_first_day(year, month) -> Column:
     return F.make_date(col_(year).cast("int"), col_(month).cast("int"), F.lit(1))
 

@@ -6,8 +6,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from metroflux.functions.numeric import round1_exact
-from metroflux.schemas import (BOROUGH_RANKS, COMPOUND_SEVERITIES, DEMAND_CATEGORIES,
-                               EFFECT_SCORES, RAIN_SEVERITIES, SNOW_SEVERITIES)
+from metroflux.schemas import (BOROUGH_RANKS, COMPOUND_SEVERITIES, DEMAND_CATEGORIES, DISTANCE_BUCKETS,
+                               DISTANCE_EDGES, DURATION_BUCKETS, DURATION_EDGES, EFFECT_SCORES,
+                               RAIN_SEVERITIES, SNOW_SEVERITIES, WEATHER_RULES)
 
 
 def _c(c) -> Column:
@@ -24,27 +25,26 @@ def _lookup(value, pairs, default) -> Column:
 
 # --- weather -----------------------------------------------------------------
 
-def weather_severity(snow="snowfall_cm", rain="precipitation_mm", temp="temperature_celsius") -> Column:
-    """Eight-way cascade; an hour with no measures at all falls through to 'clear'."""
-    s, r, t = _c(snow), _c(rain), _c(temp)
-    return (F.when(s > 2.0, "heavy_snow")
-            .when(s > 0.5, "light_snow")
-            .when(r > 5.0, "heavy_rain")
-            .when(r > 1.0, "light_rain")
-            .when(t < -5, "extreme_cold")
-            .when(t > 30, "extreme_heat")
-            .when(t > 22, "warm")
-            .otherwise("clear"))
+def _first_rule(rules, measures: dict, out: int, default) -> Column:
+    """Output number `out` of the first rule (measure, comparison, limit, outputs...) that holds."""
+    test = {">": lambda c, x: c > x, "<": lambda c, x: c < x}
+    return F.coalesce(*[F.when(test[r[1]](measures[r[0]], r[2]), F.lit(r[out])) for r in rules], F.lit(default))
+
+
+def weather_severity(snow="snowfall_cm", rain="precipitation_mm", temp="temperature_celsius",
+                     rules=WEATHER_RULES) -> Column:
+    """The severity of the first rule met; an hour with no measures at all is 'clear'."""
+    return _first_rule(rules, {"snow": _c(snow), "rain": _c(rain), "temp": _c(temp)}, 3, "clear")
 
 
 def celsius_to_fahrenheit(c) -> Column:
     return round1_exact(_c(c).cast("decimal(18,4)") * 9 / 5 + 32)
 
 
-def weather_impact_score(snow="snowfall_cm", rain="precipitation_mm", temp="temperature_celsius") -> Column:
-    s, r, t = _c(snow), _c(rain), _c(temp)
-    return (F.when(s > 2.0, 5).when(s > 0.5, 4).when(r > 5.0, 3).when(r > 1.0, 2)
-            .when(t < -5, 2).otherwise(1)).cast("bigint")
+def weather_impact_score(snow="snowfall_cm", rain="precipitation_mm", temp="temperature_celsius",
+                         rules=WEATHER_RULES) -> Column:
+    """The score of the first rule met, 1 for an hour that meets none."""
+    return _first_rule(rules, {"snow": _c(snow), "rain": _c(rain), "temp": _c(temp)}, 4, 1).cast("bigint")
 
 
 def precipitation_type(snow="snowfall_cm", rain="precipitation_mm") -> Column:
@@ -73,20 +73,22 @@ def disruption_score(effect="effect") -> Column:
 
 # --- trips -------------------------------------------------------------------
 
-def duration_bucket(minutes="trip_duration_minutes") -> Column:
-    m = _c(minutes)
-    return (F.when(m < 10, "short").when((m >= 10) & (m < 30), "medium")
-            .when((m >= 30) & (m < 60), "long").otherwise("very_long"))
+def ladder(value, edges, labels, closed: bool = False) -> Column:
+    """The label of the step that a value stands on: labels[i] lies below edges[i], the last label above them all.
+
+    With `closed` the last edge itself belongs to the step below it. NULL takes the last label.
+    """
+    v = _c(value)
+    below = [v < e for e in edges[:-1]] + [v <= edges[-1] if closed else v < edges[-1]]
+    return F.coalesce(*[F.when(b, label) for b, label in zip(below, labels)], F.lit(labels[-1]))
+
+
+def duration_bucket(minutes="trip_duration_minutes", edges=DURATION_EDGES, labels=DURATION_BUCKETS) -> Column:
+    return ladder(minutes, edges, labels)
 
 
-def distance_bucket(miles="trip_distance_miles") -> Column:
-    d = _c(miles)
-    return (F.when(d < 1, "under_1_mile")
-            .when((d >= 1) & (d < 6), "1_to_5_miles")
-            .when((d >= 6) & (d < 21), "6_to_20_miles")
-            .when((d >= 21) & (d < 51), "21_to_50_miles")
-            .when((d >= 51) & (d <= 100), "51_to_100_miles")
-            .otherwise("over_100_miles"))
+def distance_bucket(miles="trip_distance_miles", edges=DISTANCE_EDGES, labels=DISTANCE_BUCKETS) -> Column:
+    return ladder(miles, edges, labels, closed=True)
 
 
 def fare_band(fare="fare_amount", edges=(50.0, 100.0, 150.0)) -> Column:

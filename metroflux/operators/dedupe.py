@@ -36,7 +36,3 @@ def dedupe(df: DataFrame, keys: list[str | Column], order: list[Column] | None =
               .where(F.col(rank_col) == 1)
               .drop(rank_col))
 
-
-def duplicate_groups(df: DataFrame, keys: list[str | Column], count_col: str = "copies") -> DataFrame:
-    """Keys that occur more than once, with their number of copies (HAVING n > 1)."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(count_col)).where(F.col(count_col) > 1)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from metroflux.functions import calendar as cal
 from metroflux.functions.classify import is_compound
-from metroflux.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, bounded_broadcast
+from metroflux.operators.joins import bounded_broadcast
 from metroflux.schemas import MODERATE_SCORE, SEVERE_SCORE
 
 
@@ -66,14 +66,14 @@ IMPACT_DEMAND_COLUMNS = [
 ]
 
 
-def subway_impact(demand: DataFrame, disruptions: DataFrame,
-                  max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+def subway_impact(demand: DataFrame, disruptions: DataFrame, at_most_rows: int | None = None) -> DataFrame:
     """Zone-hour demand with the city-wide disruption of that date-hour.
 
-    The disruption side has at most 24 rows per alert day, so it is broadcast
-    (after a size check) and demand keeps its partitioning.
+    The disruption side has one row per date and hour. `at_most_rows` is the number of
+    hours it can cover when it is cut to a window; it is then broadcast and demand
+    keeps its partitioning.
     """
-    h = bounded_broadcast(disruptions, max_rows, label="hourly disruptions").alias("h")
+    h = bounded_broadcast(disruptions, at_most_rows).alias("h")
     d = demand.alias("d")
     j = d.join(h, (F.col("d.pickup_date") == F.col("h.alert_date"))
                & (F.col("d.pickup_hour") == F.col("h.hour_of_day")), "left")

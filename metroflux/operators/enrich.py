@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 from metroflux.functions import calendar as cal
 from metroflux.functions import classify as cl
 from metroflux.functions.numeric import ratio_rounded
-from metroflux.operators.dedupe import dedupe
-from metroflux.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, bounded_broadcast
+from metroflux.operators.quality import require_unique
 
 TRIP_COLUMNS = [
     "pickup_datetime", "dropoff_datetime", "pickup_date", "pickup_hour", "pickup_day_of_week",
@@ -25,19 +24,17 @@ WEATHER_COLUMNS = [
 ]
 
 
-def join_weather(trips: DataFrame, weather: DataFrame, assert_unique: bool = False,
-                 max_weather_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+def join_weather(trips: DataFrame, weather: DataFrame, assert_unique: bool = False) -> DataFrame:
     """Every trip with the weather of its pickup date and hour (left join).
 
-    Weather has one row per hour of the feed, so it is broadcast after a size
-    check and the trips are never shuffled for this join. With duplicate
-    weather hours the join fans out, as the source model does; pass
-    `assert_unique=True` to keep one reading per hour instead.
+    Weather has a row per hour of the feed, so the planner's byte estimate lets it
+    be broadcast and the trips are not shuffled for this join. With duplicate
+    weather hours the join fans out, as the source model does; with
+    `assert_unique=True` such hours make the query fail and are named.
     """
     w = weather.select(*WEATHER_COLUMNS)
     if assert_unique:
-        w = dedupe(w, ["weather_date", "weather_hour"])
-    w = bounded_broadcast(w, max_weather_rows, label="weather")
+        w = require_unique(w, ["weather_date", "weather_hour"])
     t = trips.select(*TRIP_COLUMNS)
     joined = t.join(w, (t.pickup_date == w.weather_date) & (t.pickup_hour == w.weather_hour), "left")
     return joined.select(*TRIP_COLUMNS, *WEATHER_COLUMNS)

@@ -1,41 +1,25 @@
-"""Joins against small sides whose size is checked, never assumed.
+"""Joins against small sides whose size is proven, never counted.
 
 A fact-sized input (trips) must not be shuffled just to meet an hourly
-dimension. A dimension is broadcast only when its row count is proven to be
-under a bound: either a static bound (e.g. hours in the analysis window) or a
-count taken on the dimension itself, which is cheap because dimensions are
-built from small feeds. Above the bound the join stays a shuffle join and AQE
-(skew join, coalescing) handles it.
+dimension. A side is broadcast here only when a bound on its rows follows from
+its definition (hours in the analysis window, say). Every other side is left to
+the planner, which compares the side's bytes with
+`spark.sql.autoBroadcastJoinThreshold`, and to AQE, which measures them after the
+fact and splits skewed keys. Building a plan runs no job.
 """
 
 from __future__ import annotations
 
-import logging
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-log = logging.getLogger(__name__)
-
-# rows of a dimension that may be broadcast to every executor (~tens of MB)
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
-
+# rows of a hash relation that every executor may hold, at about `ROW_BYTES` each
+MAX_BROADCAST_BYTES = 64 << 20
+ROW_BYTES = 512
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                      known_rows: int | None = None, label: str = "") -> DataFrame:
-    """`broadcast(df)` when its row count is at most `max_rows`, else `df` unchanged.
 
-    `known_rows` is a static upper bound (no job is run). Otherwise the count
-    is taken with a LIMIT so that an unexpectedly large side stops counting
-    at max_rows + 1 instead of scanning everything.
-    """
-    n = known_rows if known_rows is not None else df.limit(max_rows + 1).count()
-    if n <= max_rows:
+def bounded_broadcast(df: DataFrame, at_most_rows: int | None = None, row_bytes: int = ROW_BYTES) -> DataFrame:
+    """`broadcast(df)` when at most `at_most_rows` rows, known without a job, fit the byte bound; else `df`."""
+    if at_most_rows is not None and at_most_rows * row_bytes <= MAX_BROADCAST_BYTES:
         return F.broadcast(df)
-    log.warning("not broadcasting %s: %s rows > %s", label or "side", n, max_rows)
     return df
-
-
-def left_join_small(big: DataFrame, small: DataFrame, on, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                    known_rows: int | None = None, label: str = "") -> DataFrame:
-    return big.join(bounded_broadcast(small, max_rows, known_rows, label), on, "left")

@@ -1,9 +1,9 @@
 """Data-quality checks: arrival checks on batches and tests on built models.
 
-Column tests of one model (not_null, accepted_values, and row-level singular
-checks) are evaluated together in ONE aggregation pass over the model with a
-`count_if` per test, so a fact table is scanned once for the whole suite, not
-once per test. `unique` needs a group-by per column; it uses partial
+not_null and row-level singular checks of one model are evaluated together in ONE
+aggregation pass over the model with a `count_if` per test. accepted_values tests of
+a model are a second pass: failing (test, value) pairs are filtered out of each row
+and only those are grouped. `unique` needs a group-by per column; it uses partial
 aggregation, and only duplicated values leave the aggregation.
 """
 
@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from metroflux.functions import calendar as cal
@@ -31,10 +31,19 @@ def require_columns(df: DataFrame, required: list[str]) -> DataFrame:
     """Fail when a required column is missing; returns `df` unchanged."""
     missing = [c for c in required if c not in df.columns]
     if missing:
-        raise SchemaValidationError(f"Schema validation failed - missing columns: {missing}")
+        raise SchemaValidationError(f"the batch lacks {', '.join(missing)}; it has {', '.join(df.columns)}")
     return df
 
 
+def require_unique(df: DataFrame, keys: list[str]) -> DataFrame:
+    """`df`, which fails when it runs if a key occurs twice; the message names the key. For dimensions."""
+    n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+    text = F.concat(F.lit(f"{', '.join(keys)} occurs more than once: "),
+                    F.concat_ws(", ", *[F.col(k).cast("string") for k in keys]))
+    return df.withColumn("_copies", n).where(
+        F.when(F.col("_copies") > 1, F.raise_error(text).cast("boolean")).otherwise(F.lit(True))).drop("_copies")
+
+
 def batch_stats(df: DataFrame, year: str, month: str, required: list[str] | None = None) -> DataFrame:
     """One row: row and column count of a landed batch with its year and month."""
     if required is not None:
@@ -105,7 +114,8 @@ def dq_freshness(df: DataFrame, loaded_at: str, as_of: str, warn_days: int = FRE
 
 def dq_orphans(fact: DataFrame, dim: DataFrame, fk: str, pk: str, keep: list[str] | None = None) -> DataFrame:
     """fact rows whose `fk` has no `pk` in the dimension (left anti join)."""
-    keys = dim.select(F.col(pk).alias("_pk")).distinct()
+    # no distinct: an anti join needs none, and a plain shuffle join lets AQE split a hot foreign key
+    keys = dim.select(F.col(pk).alias("_pk"))
     return fact.join(keys, F.col(fk) == F.col("_pk"), "left_anti").select(*(keep or fact.columns))
 
 
@@ -154,34 +164,31 @@ class Test:
 
 
 def _failures_one_pass(df: DataFrame, tests: list[Test]) -> DataFrame:
-    """Failure counts of row-level tests on one model, in a single aggregation."""
-    aggs = []
-    for t in tests:
-        if t.kind == "not_null":
-            aggs.append(F.count_if(F.col(t.column).isNull()).alias(t.name))
-        elif t.kind == "accepted_values":
-            c = F.col(t.column)
-            # failures = distinct unaccepted values, as an accepted_values test returns them
-            aggs.append(F.count_distinct(F.when(c.isNotNull() & ~c.isin(*t.values), c)).alias(t.name))
-        elif t.kind == "expression":
-            aggs.append(F.count_if(F.expr(t.where)).alias(t.name))
-    if not aggs:
-        return None
-    wide = df.agg(*aggs)
+    """Failing rows of not_null and expression tests on one model, in a single aggregation."""
+    failing = {t.name: F.col(t.column).isNull() if t.kind == "not_null" else F.expr(t.where) for t in tests}
+    wide = df.agg(*[F.count_if(c).alias(name) for name, c in failing.items()])
     pairs = ", ".join(f"'{t.name}', `{t.name}`" for t in tests)
     return wide.selectExpr(f"stack({len(tests)}, {pairs}) as (test_name, failures)")
 
 
+def _unaccepted(df: DataFrame, tests: list[Test]) -> DataFrame:
+    """Distinct unaccepted values of accepted_values tests on one model; tests without any give no row."""
+    pairs = [F.when(~F.col(t.column).isin(*t.values),
+                    F.struct(F.lit(t.name).alias("test_name"), F.col(t.column).cast("string").alias("value")))
+             for t in tests]
+    bad = df.select(F.explode(F.array_compact(F.array(*pairs))).alias("p")).select("p.*").distinct()
+    return bad.groupBy("test_name").agg(F.count(F.lit(1)).alias("failures"))
+
+
 def run_suite(models: dict[str, DataFrame], tests: list[Test]) -> DataFrame:
     """one row per test: model, severity, failures, status (PASS / WARN / ERROR)."""
     parts = []
-    meta = {t.name: t for t in tests}
-    by_model: dict[str, list[Test]] = {}
+    by_model: dict[tuple[str, bool], list[Test]] = {}
     for t in tests:
         if t.kind in ("not_null", "accepted_values", "expression"):
-            by_model.setdefault(t.model, []).append(t)
-    for model, ts in by_model.items():
-        parts.append(_failures_one_pass(models[model], ts))
+            by_model.setdefault((t.model, t.kind == "accepted_values"), []).append(t)
+    for (model, accepted), ts in by_model.items():
+        parts.append((_unaccepted if accepted else _failures_one_pass)(models[model], ts))
     for t in tests:
         if t.kind == "unique":
             parts.append(dq_unique(models[t.model], t.column)
@@ -198,9 +205,9 @@ def run_suite(models: dict[str, DataFrame], tests: list[Test]) -> DataFrame:
     info = out.sparkSession.createDataFrame(
         [(t.name, t.model, t.kind, t.severity) for t in tests],
         "test_name string, model string, test_type string, severity string")
-    j = out.join(F.broadcast(info), "test_name")
+    j = info.join(out, "test_name", "left").withColumn("failures", F.coalesce("failures", F.lit(0)).cast("bigint"))
     return j.select(
-        "test_name", "model", "test_type", "severity", F.col("failures").cast("bigint").alias("failures"),
+        "test_name", "model", "test_type", "severity", "failures",
         F.when(F.col("failures") == 0, "PASS").when(F.col("severity") == "warn", "WARN")
          .otherwise("ERROR").alias("status"))
 

@@ -120,12 +120,14 @@ def stage_weather(raw: DataFrame) -> DataFrame:
     )
 
 
-def stage_alerts(raw: DataFrame) -> DataFrame:
+def stage_alerts(raw: DataFrame, alert_tz: str | None = None) -> DataFrame:
     """Keep alerts with both times, epoch text -> UTC timestamps, score the effect."""
     kept = raw.where(F.col("start_time").isNotNull() & F.col("end_time").isNotNull()
                      & (F.col("start_time") != "") & (F.col("end_time") != ""))
     start = cal.from_epoch_seconds(F.expr("try_cast(start_time as bigint)"))
     end = cal.from_epoch_seconds(F.expr("try_cast(end_time as bigint)"))
+    if alert_tz:  # trips and weather are on the local clock, epochs are not; the default follows the source and stays UTC
+        start, end = (F.convert_timezone(F.lit("UTC"), F.lit(alert_tz), t) for t in (start, end))
     return kept.select(
         "alert_id",
         "subway_line",

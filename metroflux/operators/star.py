@@ -11,14 +11,11 @@ from metroflux.functions import calendar as cal
 from metroflux.functions import classify as cl
 from metroflux.functions.keys import surrogate_key
 from metroflux.operators.dedupe import dedupe, total_order
-from metroflux.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, bounded_broadcast
+from metroflux.operators.joins import bounded_broadcast
 
 TRIP_KEY = ["pickup_datetime", "dropoff_datetime", "pickup_location_id", "dropoff_location_id",
             "vendor_id", "fare_amount", "trip_distance_miles", "passenger_count"]
 
-# zone registry of a city: a few hundred rows, bounded well below this
-MAX_ZONES = 100_000
-
 
 def dim_location(zones: DataFrame) -> DataFrame:
     """Zone dimension with borough rank and demand category."""
@@ -51,6 +48,16 @@ def spine_rows(start: str, end: str, step: str = "hour") -> int:
     return max(0, int((datetime.fromisoformat(end) - datetime.fromisoformat(start)).total_seconds() // unit))
 
 
+def spine_of(df: DataFrame, ts: str) -> DataFrame:
+    """E02 from data: every hour of the months from the first to the last time in `df` (no row for an empty table)."""
+    t = F.col(ts).cast("timestamp_ntz")
+    first, last = (F.trunc(F.to_date(x(t)), "MM") for x in (F.min, F.max))
+    bounds = df.agg(first.alias("a"), F.add_months(last, 1).alias("b")).where(F.col("a").isNotNull())
+    hour = F.expr("interval 1 hour")
+    return bounds.select(F.explode(F.sequence(F.col("a").cast("timestamp_ntz"), F.col("b").cast("timestamp_ntz") - hour, hour))
+                         .alias("date_hour"))
+
+
 def dim_time(spine: DataFrame) -> DataFrame:
     """Calendar attributes, five-label time of day, analysis month, holiday flag."""
     h = F.col("date_hour")
@@ -99,33 +106,31 @@ FACT_COLUMNS = [
 
 def fact_trips(metrics: DataFrame, disruptions: DataFrame, locations: DataFrame, time_dim: DataFrame,
                time_rows: int | None = None, final_dedupe: bool = True,
-               max_disruption_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+               disruption_rows: int | None = None) -> DataFrame:
     """One row per trip with zone, time, weather and disruption context.
 
     The disruption columns of a trip are those of its zone-hour impact row,
     and that row only carries the city-wide disruption of the date-hour plus
     the hour's weather severity, which the trip already has. So the trip
     joins the hourly disruption table (at most 24 rows per alert day) instead
-    of the zone-hour impact table: no roll-up has to run, and the join side is
-    small and bounded. All four joins broadcast after a size check, so the
-    trips stream through without a shuffle.
+    of the zone-hour impact table, and no roll-up has to run. The hourly sides are
+    broadcast by the bound that the window gives (`time_rows`, `disruption_rows`), the
+    zone registry by the planner's byte check, so the trips stream through without a shuffle.
 
     E13 keeps one row per trip_id (first by pickup time, then all columns).
     trip_id is a function of the staging dedupe key, so the fact can only
-    hold a duplicate when a join fans out; with unique dimensions
-    (`final_dedupe=False`, see Pipeline.unique_dims) that cannot happen and the
+    hold a duplicate when a join fans out; with dimensions asserted unique
+    (`final_dedupe=False`, see Pipeline.assert_unique) that cannot happen and the
     shuffle of the widest table is skipped.
     """
     t = metrics.withColumn("trip_id", surrogate_key(metrics, TRIP_KEY)).alias("trips")
     h = bounded_broadcast(disruptions.select("alert_date", "hour_of_day", "severe_alert_count",
                                              "lines_affected", "max_severity_score", "has_synthetic_data"),
-                          max_disruption_rows, label="hourly disruptions").alias("h")
-    loc = bounded_broadcast(locations.select("location_id", "borough", "zone_name", "demand_category"),
-                            MAX_ZONES, label="locations")
+                          disruption_rows).alias("h")
+    loc = locations.select("location_id", "borough", "zone_name", "demand_category")
     pl, dl = loc.alias("pl"), loc.alias("dl")
     td = bounded_broadcast(time_dim.select("datetime_hour", "time_of_day", "is_holiday_period",
-                                           "analysis_month"),
-                           DEFAULT_MAX_BROADCAST_ROWS, known_rows=time_rows, label="time").alias("t")
+                                           "analysis_month"), time_rows).alias("t")
     j = (t.join(h, (F.col("trips.pickup_date") == F.col("h.alert_date"))
                 & (F.col("trips.pickup_hour") == F.col("h.hour_of_day")), "left")
           .join(pl, F.col("trips.pickup_location_id") == F.col("pl.location_id"), "left")
@@ -167,13 +172,9 @@ def fact_trips(metrics: DataFrame, disruptions: DataFrame, locations: DataFrame,
 # the same star building on a second shape (orders, customers, nations)
 # ---------------------------------------------------------------------------
 
-# nations x regions: a registry-sized dimension
-MAX_NATIONS = 100_000
-
-
 def dim_nation(nation: DataFrame, region: DataFrame) -> DataFrame:
     """Nation dimension with its region (nation left join region)."""
-    r = bounded_broadcast(region.select("r_regionkey", "r_name"), MAX_NATIONS, label="region")
+    r = region.select("r_regionkey", "r_name")
     return nation.join(r, nation.n_regionkey == r.r_regionkey, "left").select(
         F.col("n_nationkey").cast("bigint").alias("nation_key"), F.col("n_name").alias("nation_name"),
         F.col("r_name").alias("region_name"))
@@ -182,13 +183,12 @@ def dim_nation(nation: DataFrame, region: DataFrame) -> DataFrame:
 def orders_star(orders: DataFrame, customer: DataFrame, nations: DataFrame) -> DataFrame:
     """Orders with calendar attributes, customer and the customer's nation and region.
 
-    customer grows with the data, so its join is left to the planner (AQE
-    broadcasts it at runtime only when small); the nation dimension is
-    broadcast behind its size check. Orders are never shuffled for nations.
+    Customers and nations are left to the planner, which broadcasts a side only
+    when its bytes are under the session's threshold.
     """
     o = orders.alias("o")
     c = customer.select("c_custkey", "c_name", "c_mktsegment", "c_nationkey").alias("c")
-    n = bounded_broadcast(nations, MAX_NATIONS, label="nations").alias("n")
+    n = nations.alias("n")
     j = (o.join(c, F.col("o.o_custkey") == F.col("c.c_custkey"), "left")
           .join(n, F.col("c.c_nationkey") == F.col("n.nation_key"), "left"))
     od = F.col("o.o_orderdate").cast("timestamp_ntz")

@@ -1,7 +1,7 @@
 """Named queries over a test-data directory: (spark, sf_dir) -> DataFrame.
 
 Every query reads the supplied tables through the feed adapters, so its
-work grows with them; none reads fixed or generated input alone.
+work grows with them.
 """
 
 from __future__ import annotations
@@ -99,8 +99,10 @@ def q_dim_location(spark, sf_dir):
 
 @query
 def q_dim_time(spark, sf_dir):
-    # the spine covers the analysis window the trips are filtered to
-    return pipeline(spark, sf_dir).dim_time
+    """Hours of every month that the events reach into, first to last."""
+    from metroflux.operators import star
+    prepare(spark)
+    return star.dim_time(star.spine_of(fx.table(spark, sf_dir, "events"), "ts"))
 
 
 @query
@@ -133,8 +135,13 @@ FRESHNESS_AS_OF = "2024-02-14 00:00:00"
 
 
 def _suite_report(spark, sf_dir, kinds=None):
+    """Build the models that tests read once, as tables in a new folder, and test the tables."""
+    import uuid
     p = pipeline(spark, sf_dir)
     tests = [t for t in suite() if kinds is None or t.kind in kinds]
+    needed = {t.model for t in tests} | {t.ref[0] for t in tests if t.ref}
+    p.materialize(f"{checkpoint_dir(spark).rstrip('/')}/suite/{uuid.uuid4().hex}",
+                  tables=[t for t in p.SUITE_TABLES if t in needed or t in ("stg_trips", "trip_metrics")])
     return dq.run_suite(models_of(p), tests)
 
 
@@ -316,20 +323,45 @@ def q_flatten_alerts(spark, sf_dir):
     return jf.flatten_alert_json(parsed, ingested_at=INGESTED_AT)
 
 
+def _monthly(df, ts, source, opts):
+    """Batches of a feed, one per month that its rows reach into (a row per month comes to the driver)."""
+    month = F.date_format(ts, "yyyy-MM")
+    months = [r.m for r in df.select(month.alias("m")).where("m is not null").distinct().orderBy("m").collect()]
+    return [(source, int(m[:4]), int(m[5:]), df.where(month == m), opts) for m in months]
+
+
+def _batches(p):
+    from metroflux.functions.calendar import from_epoch_seconds, parse_iso_minute
+    pickup, hour = F.col("tpep_pickup_datetime"), parse_iso_minute("datetime_hour")
+    start = from_epoch_seconds(F.expr("try_cast(start_time as bigint)"))
+    return (_monthly(p.trips_raw, pickup, "trips", {"ts": pickup, "cluster_by": ["PULocationID", "DOLocationID"]})
+            + _monthly(p.weather_raw, hour, "weather", {"ts": hour})
+            + _monthly(p.alerts_raw, start, "mta_alerts", {}))
+
+
+def _run_folder(spark, name):
+    """A new folder per run: what an earlier run or another table folder landed is never read."""
+    import uuid
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}/{uuid.uuid4().hex}"
+
+
 @query
 def q_load_manifest(spark, sf_dir):
-    """Land the three raw feeds month by month into the shared lake, report rows per month."""
-    from metroflux.functions.calendar import from_epoch_seconds, parse_iso_minute
-    p = pipeline(spark, sf_dir)
-    tag = sf_dir.rstrip("/").rsplit("/", 1)[-1]
-    root = f"{checkpoint_dir(spark).rstrip('/')}/lake/{tag}"
-    batches = {
-        "trips": (p.trips_raw, "tpep_pickup_datetime",
-                  {"by_day": True, "cluster_by": ["PULocationID", "DOLocationID"]}),
-        "weather": (p.weather_raw, parse_iso_minute("datetime_hour"), {"by_day": True}),
-        "mta_alerts": (p.alerts_raw, from_epoch_seconds(F.expr("try_cast(start_time as bigint)")), {}),
-    }
-    return load_all(spark, batches, root, INGESTED_AT)
+    """Land the three raw feeds month by month into the shared lake, report rows per batch."""
+    manifest = load_all(spark, _batches(pipeline(spark, sf_dir)), _run_folder(spark, "lake"), INGESTED_AT)
+    return manifest.select("source", "data_year", "data_month", "row_count", "status")
+
+
+@query
+def q_landed_trips(spark, sf_dir):
+    """The landed trips themselves, with their batch, day and audit columns."""
+    from metroflux.sources.readers import read_landed
+    root = _run_folder(spark, "lake")
+    trips = [b for b in _batches(pipeline(spark, sf_dir)) if b[0] == "trips"]
+    load_all(spark, trips, root, INGESTED_AT)
+    landed = read_landed(spark, f"{root}/trips")
+    return landed.withColumns({"year": F.col("year").cast("string"), "month": F.lpad(F.col("month").cast("string"), 2, "0"),
+                               "day": F.col("day").cast("string")})
 
 
 # --- step 8: the same operators on a second shape ----------------------------------
@@ -361,18 +393,20 @@ def q_dq_lineitem_orphans(spark, sf_dir):
 
 @query
 def q_incremental_landing(spark, sf_dir):
-    """Land raw trips by month, stream the new files into the raw table, report rows per month."""
+    """Land raw trips by month, stream the batches into the raw table, land one again, report rows per month."""
     from metroflux.schemas import TRIPS_RAW
-    from metroflux.sources.landing import write_raw
+    from metroflux.sources.landing import load_month
     from metroflux.sources.readers import read_landed
-    from metroflux.streaming.incremental import append_new_batches
-    import uuid
-    p = pipeline(spark, sf_dir)
-    # a fresh run folder: a rerun re-lands the same months as new files, which a
-    # file stream rightly treats as new arrivals, so runs must not share stream state
-    root = f"{checkpoint_dir(spark).rstrip('/')}/incremental/{uuid.uuid4().hex}"
-    landing = write_raw(p.trips_raw, f"{root}/landing", "trips", "tpep_pickup_datetime")
-    append_new_batches(spark, landing, f"{root}/raw_trips", f"{root}/_checkpoint", TRIPS_RAW)
+    from metroflux.streaming.incremental import refresh_new_batches
+    root = _run_folder(spark, "incremental")
+    batches = [b for b in _batches(pipeline(spark, sf_dir)) if b[0] == "trips"]
+    args = (spark, f"{root}/landing/trips", f"{root}/raw_trips", f"{root}/_checkpoint", TRIPS_RAW)
+    for _, year, month, df, _ in batches:
+        load_month(df, f"{root}/landing", "trips", year, month)
+    refresh_new_batches(*args)
+    for _, year, month, df, _ in batches[:1]:
+        load_month(df, f"{root}/landing", "trips", year, month)
+    refresh_new_batches(*args)
     raw = read_landed(spark, f"{root}/raw_trips")
     return raw.groupBy(F.col("year").cast("string").alias("data_year"),
                        F.lpad(F.col("month").cast("string"), 2, "0").alias("data_month")).agg(

@@ -273,3 +273,10 @@ sql("incremental_landing", o.with_models("trips_raw") + """
 select strftime(tpep_pickup_datetime, '%Y') as data_year, strftime(tpep_pickup_datetime, '%m') as data_month,
   count(*) as row_count
 from trips_raw group by 1, 2""")
+
+
+sql("landed_trips", o.with_models("trips_raw") + """
+select t.*, strftime(tpep_pickup_datetime, '%Y') as year, strftime(tpep_pickup_datetime, '%m') as month,
+  strftime(tpep_pickup_datetime, '%Y-%m-%d') as day, '2024-02-01T00:00:00' as _ingested_at, 'trips' as _source,
+  '1.0.0' as _pipeline_version, 'development' as _environment
+from trips_raw t""")

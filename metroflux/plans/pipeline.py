@@ -17,13 +17,14 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from metroflux.operators import demand as dm
 from metroflux.operators import disruption as ds
 from metroflux.operators import enrich as en
 from metroflux.operators import staging as stg
 from metroflux.operators import star
-from metroflux.operators.dedupe import dedupe
+from metroflux.operators.quality import require_unique
 from metroflux.schemas import TRIP_BOUNDS
 from metroflux.session import checkpoint_dir
 
@@ -31,25 +32,26 @@ from metroflux.session import checkpoint_dir
 class Pipeline:
     def __init__(self, spark: SparkSession, trips_raw: DataFrame, weather_raw: DataFrame,
                  alerts_raw: DataFrame, zones: DataFrame, bounds: dict | None = None,
-                 across_midnight: bool = False, unique_dims: bool = True):
+                 across_midnight: bool = False, assert_unique: bool = False, alert_tz: str | None = None):
         self.spark = spark
         self.trips_raw, self.weather_raw, self.alerts_raw, self.zones = trips_raw, weather_raw, alerts_raw, zones
         self.bounds = dict(TRIP_BOUNDS, **(bounds or {}))
         self.across_midnight = across_midnight
-        # Keep one weather reading per hour and one zone row per id before joining.
-        # The source's own tests assert both keys unique; enforcing it here means no
-        # join can fan a trip out, so the fact needs no final trip_id dedupe.
-        # unique_dims=False reproduces the fan-out and the last-line dedupe.
-        self.unique_dims = unique_dims
+        self.alert_tz = alert_tz
+        # As in the source, a repeated weather hour or zone fans trips out and the fact keeps
+        # one row per trip_id at the end. With assert_unique such a repeat makes the run
+        # fail and is named; no join can then fan out, and the last dedupe (a shuffle of the
+        # widest table) is left out.
+        self.assert_unique = assert_unique
         self._written: dict[str, DataFrame] = {}
 
     def _model(self, name: str, build) -> DataFrame:
         return self._written[name] if name in self._written else build()
 
     # --- staging (views) ----------------------------------------------------
-    @cached_property
+    @property
     def stg_trips(self) -> DataFrame:
-        return stg.stage_trips(self.trips_raw, self.bounds)
+        return self._model("stg_trips", lambda: stg.stage_trips(self.trips_raw, self.bounds))
 
     @cached_property
     def stg_weather(self) -> DataFrame:
@@ -57,13 +59,13 @@ class Pipeline:
 
     @cached_property
     def stg_alerts(self) -> DataFrame:
-        return stg.stage_alerts(self.alerts_raw)
+        return stg.stage_alerts(self.alerts_raw, self.alert_tz)
 
     # --- intermediate (tables) ----------------------------------------------
     @property
     def trips_weather(self) -> DataFrame:
         return self._model("trips_weather", lambda: en.join_weather(
-            self.stg_trips, self.stg_weather, assert_unique=self.unique_dims))
+            self.stg_trips, self.stg_weather, assert_unique=self.assert_unique))
 
     @property
     def trip_metrics(self) -> DataFrame:
@@ -78,10 +80,16 @@ class Pipeline:
         return self._model("hourly_disruptions", lambda: ds.hourly_disruptions(
             self.stg_alerts, self.across_midnight))
 
+    @property
+    def window_disruptions(self) -> DataFrame:
+        """Hourly disruptions of the analysis window: at most `time_rows` rows, all that trips can meet."""
+        start, end = (F.to_date(F.lit(self.bounds[k])) for k in ("window_start", "window_end"))
+        return self.hourly_disruptions.where(F.col("alert_date").between(start, end))
+
     @property
     def subway_impact(self) -> DataFrame:
         return self._model("subway_impact", lambda: ds.subway_impact(
-            self.demand_zone_hour, self.hourly_disruptions))
+            self.demand_zone_hour, self.window_disruptions, at_most_rows=self.time_rows + 24))
 
     # --- marts (tables) -----------------------------------------------------
     @property
@@ -91,7 +99,7 @@ class Pipeline:
     @property
     def fact_locations(self) -> DataFrame:
         loc = self.dim_location
-        return dedupe(loc, ["location_id"]) if self.unique_dims else loc
+        return require_unique(loc, ["location_id"]) if self.assert_unique else loc
 
     @property
     def time_rows(self) -> int:
@@ -109,26 +117,33 @@ class Pipeline:
     @property
     def fact_trips(self) -> DataFrame:
         return self._model("fact_trips", lambda: star.fact_trips(
-            self.trip_metrics, self.hourly_disruptions, self.fact_locations, self.dim_time,
-            time_rows=self.time_rows, final_dedupe=not self.unique_dims))
+            self.trip_metrics, self.window_disruptions, self.fact_locations, self.dim_time,
+            time_rows=self.time_rows, disruption_rows=self.time_rows + 24, final_dedupe=not self.assert_unique))
 
     # --- materialisation ------------------------------------------------------
-    TABLES = ["trip_metrics", "demand_zone_hour", "hourly_disruptions", "subway_impact",
+    TABLES = ["trips_weather", "trip_metrics", "demand_zone_hour", "hourly_disruptions", "subway_impact",
               "dim_location", "dim_time", "dim_weather", "fact_trips"]
-    PARTITION_BY = {"trip_metrics": ["pickup_date"], "fact_trips": ["pickup_date"],
+    # for the test suite also the staged trips are worth a table: three models read them
+    SUITE_TABLES = ["stg_trips", *TABLES]
+    PARTITION_BY = {"stg_trips": ["pickup_date"], "trips_weather": ["pickup_date"], "trip_metrics": ["pickup_date"], "fact_trips": ["pickup_date"],
                     "demand_zone_hour": ["pickup_date"], "subway_impact": ["pickup_date"]}
 
     def materialize(self, root: str | None = None, tables: list[str] | None = None) -> dict[str, str]:
-        """Write the table models in dependency order (full refresh) and read them back."""
+        """Write the table models in dependency order (full refresh) and read them back.
+
+        A refresh replaces the whole table, whatever the session's overwrite mode. Rows are
+        rebalanced by date first, so that a date is one file or several of the advisory
+        size and not one per task; AQE splits a large date and merges small ones.
+        """
         root = (root or f"{checkpoint_dir(self.spark).rstrip('/')}/models").rstrip("/")
         paths = {}
         for name in tables or self.TABLES:
             df = getattr(self, name)
             path = f"{root}/{name}"
-            w = df.write.mode("overwrite")
-            if name in self.PARTITION_BY:
-                w = w.partitionBy(*self.PARTITION_BY[name])
-            w.parquet(path)
+            by = self.PARTITION_BY.get(name, [])
+            if by:
+                df = df.hint("rebalance", *[F.col(c) for c in by])
+            df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*by).parquet(path)
             # explicit schema: partition columns come back typed, not as text
             self._written[name] = self.spark.read.schema(df.schema).parquet(path).select(*df.columns)
             paths[name] = path

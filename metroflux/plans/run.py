@@ -18,7 +18,7 @@ from pyspark.sql import SparkSession
 from metroflux.operators import quality as dq
 from metroflux.plans.pipeline import Pipeline
 from metroflux.plans.suite import models_of, suite
-from metroflux.session import DEFAULTS, checkpoint_dir
+from metroflux.session import build_session, checkpoint_dir
 from metroflux.sources import readers
 
 
@@ -42,10 +42,7 @@ def main(argv=None) -> None:
     ap.add_argument("--window-start", default="2025-11-01")
     ap.add_argument("--window-end", default="2026-02-01")
     a = ap.parse_args(argv)
-    builder = SparkSession.builder.appName("metroflux")
-    for k, v in DEFAULTS.items():
-        builder = builder.config(k, v)
-    spark = builder.getOrCreate()
+    spark = build_session()
     bounds = {"window_start": f"{a.window_start} 00:00:00", "window_end": f"{a.window_end} 00:00:00"}
     print(build_and_test(spark, a.trips, a.weather, a.alerts, a.zones, a.out, bounds))
 

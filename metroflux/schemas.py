@@ -152,6 +152,19 @@ DEMAND_CATEGORIES = [
     ("Airports", "airport"), ("EWR", "airport"), ("N/A", "unassigned"),
 ]
 
+# weather rules in order of precedence: measure, comparison, limit, severity, impact score
+WEATHER_RULES = [
+    ("snow", ">", 2.0, "heavy_snow", 5),
+    ("snow", ">", 0.5, "light_snow", 4),
+    ("rain", ">", 5.0, "heavy_rain", 3),
+    ("rain", ">", 1.0, "light_rain", 2),
+    ("temp", "<", -5, "extreme_cold", 2),
+    ("temp", ">", 30, "extreme_heat", 1),
+    ("temp", ">", 22, "warm", 1),
+]
+
+DURATION_EDGES = [10, 30, 60]
+DISTANCE_EDGES = [1, 6, 21, 51, 100]
 DURATION_BUCKETS = ["short", "medium", "long", "very_long"]
 DISTANCE_BUCKETS = ["under_1_mile", "1_to_5_miles", "6_to_20_miles",
                     "21_to_50_miles", "51_to_100_miles", "over_100_miles"]

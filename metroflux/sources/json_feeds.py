@@ -16,16 +16,24 @@ from metroflux.schemas import (ALERT_ENTITY_JSON, DEFAULT_CAUSE, DEFAULT_EFFECT,
 WEATHER_MEASURES = ["temperature_2m", "precipitation", "snowfall", "windspeed_10m", "weathercode", "visibility"]
 
 
+def _parsed_weather(docs: DataFrame, text_col: str) -> DataFrame:
+    return docs.select(F.col(text_col).alias("raw_text"), F.from_json(F.col(text_col), WEATHER_JSON).alias("d"))
+
+
 def flatten_weather_json(docs: DataFrame, text_col: str = "value") -> DataFrame:
-    """A10: one row per hour from `{latitude, longitude, timezone, hourly: {time: [...], ...}}`."""
-    d = docs.select(F.from_json(F.col(text_col), WEATHER_JSON).alias("d")).where(F.col("d").isNotNull())
-    zipped = F.arrays_zip(*[F.col(f"d.hourly.{c}").alias(c) for c in ["time"] + WEATHER_MEASURES])
-    rows = d.select("d.latitude", "d.longitude", "d.timezone", F.explode(zipped).alias("h"))
-    return rows.select(
-        F.col("h.time").alias("datetime_hour"),
-        *[F.col(f"h.{c}").alias(c) for c in WEATHER_MEASURES],
-        "latitude", "longitude", "timezone",
-    )
+    """A10: one row per hour from `{latitude, longitude, timezone, hourly: {time: [...], ...}}`.
+
+    A measure that the document lacks, or has fewer values of than hours, is NULL for those hours.
+    """
+    d = _parsed_weather(docs, text_col).where(F.col("d.hourly.time").isNotNull())
+    rows = d.select("d", F.posexplode("d.hourly.time").alias("i", "datetime_hour"))
+    return rows.select("datetime_hour", *[F.get(F.col(f"d.hourly.{c}"), F.col("i")).alias(c) for c in WEATHER_MEASURES],
+                       "d.latitude", "d.longitude", "d.timezone")
+
+
+def weather_rejects(docs: DataFrame, text_col: str = "value") -> DataFrame:
+    """Weather documents without readable hours."""
+    return _parsed_weather(docs, text_col).where(F.col("d.hourly.time").isNull()).select("raw_text")
 
 
 def _known_routes(entities: Column) -> Column:
@@ -35,14 +43,26 @@ def _known_routes(entities: Column) -> Column:
 
 
 def parse_alert_entities(docs: DataFrame, text_col: str = "value") -> DataFrame:
-    """Parse one entity per row; malformed text gives `entity` NULL (kept for `alert_rejects`)."""
-    return docs.select(F.col(text_col).alias("raw_text"),
-                       F.from_json(F.col(text_col), ALERT_ENTITY_JSON).alias("entity"))
+    """One row (raw_text, entity) per entity of each document; malformed text gives `entity` NULL.
+
+    A document is a feed envelope `{"entity": [...]}`, a bare list of entities, or one entity. An entity
+    holds its alert under "alert", or is the alert itself; such flat ones are wrapped here.
+    """
+    text = F.col(text_col)
+    listed = F.coalesce(F.from_json(F.get_json_object(text, "$.entity"), "array<string>"),
+                        F.when(F.ltrim(text).startswith("["), F.from_json(text, "array<string>")), F.array(text))
+    each = docs.select(F.explode_outer(F.when(F.size(listed) > 0, listed)).alias("raw_text"))
+    each = each.where(F.col("raw_text").isNotNull())
+    parsed = each.select("raw_text", F.from_json("raw_text", ALERT_ENTITY_JSON).alias("entity"),
+                         F.from_json("raw_text", ALERT_ENTITY_JSON["alert"].dataType).alias("flat"))
+    is_flat = F.col("entity.alert").isNull() & F.col("flat.informed_entity").isNotNull()
+    wrapped = F.struct(F.col("entity.id").alias("id"), F.col("flat").alias("alert"))
+    return parsed.select("raw_text", F.when(is_flat, wrapped).otherwise(F.col("entity")).alias("entity"))
 
 
 def _unreadable() -> Column:
-    # PERMISSIVE from_json turns malformed text into a struct of NULLs
-    return F.col("entity").isNull() | (F.col("entity.id").isNull() & F.col("entity.alert").isNull())
+    # PERMISSIVE from_json turns malformed text into a struct of NULLs; an entity without an alert says nothing
+    return F.col("entity").isNull() | F.col("entity.alert").isNull()
 
 
 def alert_rejects(parsed: DataFrame) -> DataFrame:

@@ -1,9 +1,9 @@
 """Landing raw batches in a lake laid out as {root}/{source}/year=YYYY/month=MM.
 
-Writes use dynamic partition overwrite, so re-loading a month replaces that
-month instead of appending a second copy (the warehouse loads appended, and a
-rerun doubled the rows). Each write is one Spark job over the whole batch;
-`partitionBy` routes rows to their month (and day) folders on the executors.
+A batch is one month of one source, and its folder is named by the batch, not by
+the rows: a stray row of another month stays in the batch that brought it
+and touches no other one. Loading a batch again replaces exactly its folder (the warehouse
+loads appended, and a rerun doubled the rows).
 """
 
 from __future__ import annotations
@@ -13,18 +13,11 @@ import logging
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from metroflux.sources.readers import read_landed
-
 log = logging.getLogger(__name__)
 
 PIPELINE_VERSION = "1.0.0"
 
 
-def with_partition_columns(df: DataFrame, ts: Column | str) -> DataFrame:
-    t = F.col(ts) if isinstance(ts, str) else ts
-    return df.withColumns({"year": F.date_format(t, "yyyy"), "month": F.date_format(t, "MM")})
-
-
 def with_audit(df: DataFrame, source: str, ingested_at: str, pipeline_version: str = PIPELINE_VERSION,
                environment: str = "development") -> DataFrame:
     """Stamp every landed row with its load metadata."""
@@ -36,71 +29,62 @@ def with_audit(df: DataFrame, source: str, ingested_at: str, pipeline_version: s
     })
 
 
-def write_raw(df: DataFrame, root: str, source: str, ts, by_day: bool = False,
-              cluster_by: list[str] | None = None, files_per_day: int = 8) -> str:
-    """Write a batch under {root}/{source}/year=/month=[/day=].
+def load_month(df: DataFrame, root: str, source: str, year: int, month: int, ts: Column | str | None = None,
+               cluster_by: list[str] | None = None) -> str:
+    """Replace one batch, {root}/{source}/year=/month=, by `df`; returns the batch's folder.
 
-    `by_day` adds a day partition (trips, weather); `cluster_by` sorts rows
-    inside each file by those columns so Parquet min/max statistics skip row
-    groups on zone filters. Rows of one day are spread over `files_per_day`
-    tasks by a hash of the clustering columns, so a busy day is not one task.
+    With `ts` the batch is split into day=YYYY-MM-DD folders by that time (rows without one go to the
+    default folder). Rows are rebalanced by day, so AQE makes files of the advisory size: a busy day, or a
+    zone pair that holds most of it, becomes several tasks and files. `cluster_by` sorts inside each file, so Parquet
+    statistics skip row groups on zone filters. Without `ts` (alerts) the batch is a plain folder.
     """
-    out = with_partition_columns(df, ts)
-    parts = ["year", "month"]
-    if by_day:
+    path = f"{root.rstrip('/')}/{source}/year={int(year):04d}/month={int(month):02d}"
+    parts = []
+    if ts is not None:
         t = F.col(ts) if isinstance(ts, str) else ts
-        out = out.withColumn("day", F.date_format(t, "dd"))
-        parts.append("day")
+        df = df.withColumn("day", F.date_format(t, "yyyy-MM-dd"))
+        parts = ["day"]
+    out = df.hint("rebalance", *[F.col(p) for p in parts])
     if cluster_by:
-        spread = F.pmod(F.hash(*[F.col(c) for c in cluster_by]), F.lit(files_per_day))
-        out = out.repartition(*[F.col(p) for p in parts], spread).sortWithinPartitions(*cluster_by)
-    path = f"{root.rstrip('/')}/{source}"
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*parts).parquet(path))
+        out = out.sortWithinPartitions(*parts, *cluster_by)
+    out.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*parts).parquet(path)
+    return path
+
+
+def append_alerts(df: DataFrame, root: str, source: str, batch_id: str) -> str:
+    """The small alert table without date partitions: one folder per batch, which a rerun replaces."""
+    path = f"{root.rstrip('/')}/{source}/batch={batch_id}"
+    df.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
     return path
 
 
-def load_all(spark: SparkSession, batches: dict, root: str, ingested_at: str,
+MANIFEST = ("source string, data_year string, data_month string, row_count bigint, column_count bigint, "
+            "status string, error string")
+
+
+def load_all(spark: SparkSession, batches: list, root: str, ingested_at: str,
              environment: str = "development") -> DataFrame:
-    """Land every source, isolating failures, and report what the lake now holds.
+    """Load a list of batches, each for itself, and report what the lake now holds of them.
 
-    `batches` maps source -> (DataFrame, timestamp column or expression,
-    write options). Returns one manifest row per landed (source, year,
-    month) with its row count, plus a 'failed' row per source whose load
-    raised. Counting reads the partition folders back (A09: schema from the
-    Parquet footers), so it reports what was written, not what was meant.
+    A batch is (source, year, month, DataFrame, options of `load_month`). One manifest row per
+    batch: rows and columns read back from its folder, or status 'failed' with the whole error text; a
+    batch that fails stops no other one. The manifest is also appended to {root}/_audit.
     """
-    status = []
-    landed = []
-    for source, (df, ts, opts) in batches.items():
+    rows = []
+    for source, year, month, df, opts in batches:
+        at = (source, f"{int(year):04d}", f"{int(month):02d}")
         try:
-            path = write_raw(with_audit(df, source, ingested_at, environment=environment), root, source, ts,
-                             **(opts or {}))
-            landed.append((source, path))
-            status.append((source, "success", None))
-        except Exception as exc:  # one failing source must not stop the others
-            log.error("load failed: %s: %s", source, exc)
-            status.append((source, "failed", str(exc)[:500]))
-    parts = []
-    for source, path in landed:
-        d = read_landed(spark, path)
-        parts.append(d.groupBy("year", "month").agg(F.count(F.lit(1)).alias("row_count"))
-                     # folder names as text even where the session infers partition types
-                     .select(F.lit(source).alias("source"), F.col("year").cast("string").alias("data_year"),
-                             F.lpad(F.col("month").cast("string"), 2, "0").alias("data_month"), "row_count",
-                             F.lit("success").alias("status")))
-    failed = [s for s in status if s[1] == "failed"]
-    if failed or not parts:
-        parts.append(spark.createDataFrame(
-            [(s, None, None, 0, "failed") for s, _, _ in failed],
-            "source string, data_year string, data_month string, row_count bigint, status string"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+            path = load_month(with_audit(df, source, ingested_at, environment=environment), root, source, year, month, **(opts or {}))
+            landed = spark.read.parquet(path)
+            rows.append((*at, landed.count(), len(df.columns), "success", None))
+        except Exception as exc:  # noqa: BLE001  one failing batch must not stop the others; its error is kept
+            log.error("load failed: %s: %s", at, exc)
+            rows.append((*at, 0, len(df.columns), "failed", str(exc)))
+    out = spark.createDataFrame(rows, MANIFEST)
+    out.withColumn("_ingested_at", F.lit(ingested_at)).coalesce(1).write.mode("append").parquet(f"{root.rstrip('/')}/_audit")
     return out
 
 
 def load_summary(manifest: DataFrame) -> DataFrame:
-    """Success / total over the sources of a manifest."""
-    per_source = manifest.groupBy("source").agg(F.min(F.col("status") == "success").alias("ok"))
-    return per_source.agg(F.count_if("ok").alias("successful"), F.count(F.lit(1)).alias("total"))
+    """Success / total over the batches of a manifest."""
+    return manifest.agg(F.count_if(F.col("status") == "success").alias("successful"), F.count(F.lit(1)).alias("total"))

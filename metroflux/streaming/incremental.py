@@ -1,17 +1,16 @@
 """Incremental landing of monthly batches with Structured Streaming.
 
-The source loads one month at a time and appends it to the raw table. Here
-the landed folders are a file stream: each run picks up only the files that
-arrived since the last run (`availableNow`), writes them to the raw table
-through the file sink, and records progress in a checkpoint under the shared
-checkpoint folder. The file sink's commit log makes each file land exactly
-once, so a rerun after a lost executor or a crashed driver neither skips nor
-doubles a month.
+The landed batch folders are a file stream: each run sees only the files that
+arrived since the last run (`availableNow`). For every batch that files arrived for,
+the batch's folder is read whole and replaces that batch in the raw table. So a batch that
+is landed again, which looks like new files to the stream, replaces itself and is never
+doubled, and a rerun after a crash writes the same state again.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -23,16 +22,23 @@ def stream_landed(spark: SparkSession, landing_path: str, schema: T.StructType,
             .option("maxFilesPerTrigger", 64).parquet(landing_path))
 
 
-def append_new_batches(spark: SparkSession, landing_path: str, table_path: str, checkpoint: str,
-                       schema: T.StructType, partition_cols: tuple = ("year", "month")) -> dict:
-    """Land every file not yet landed into `table_path`, then stop. Returns the last progress."""
+def refresh_new_batches(spark: SparkSession, landing_path: str, table_path: str, checkpoint: str,
+                        schema: T.StructType, partition_cols: tuple = ("year", "month")) -> dict:
+    """Bring `table_path` up to date with every batch that has new files, then stop. Returns the last progress."""
+    full = T.StructType(list(schema.fields) + [T.StructField(c, T.StringType()) for c in partition_cols])
+
+    def replace(files: DataFrame, _: int) -> None:
+        touched = files.select(*partition_cols).distinct()  # a row per month: small whatever the files hold
+        whole = spark.read.schema(full).option("basePath", landing_path).parquet(landing_path)
+        batches = whole.join(F.broadcast(touched), list(partition_cols), "left_semi").select(*full.names)
+        (batches.hint("rebalance", *[F.col(c) for c in partition_cols]).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_cols).parquet(table_path))
+
     q = (stream_landed(spark, landing_path, schema, partition_cols)
-         .writeStream.format("parquet")
+         .writeStream.foreachBatch(replace)
          .option("checkpointLocation", checkpoint)
-         .partitionBy(*partition_cols)
-         .outputMode("append")
          .trigger(availableNow=True)
-         .start(table_path))
+         .start())
     q.awaitTermination()
     progress = q.lastProgress or {}
     return {"id": str(q.id), "num_input_rows": progress.get("numInputRows", 0)}

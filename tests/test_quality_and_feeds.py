@@ -68,3 +68,66 @@ def test_weather_json_flatten(spark):
     out = jf.flatten_weather_json(spark.createDataFrame([(doc,)], "value string")).orderBy("datetime_hour").collect()
     assert [(r.datetime_hour, r.temperature_2m, r.timezone) for r in out] == [
         ("2025-11-01T00:00", 1.5, "America/New_York"), ("2025-11-01T01:00", 2.0, "America/New_York")]
+
+
+def test_alert_feed_shapes(spark):
+    one, two = json.loads(_entity(1, ["A"])), json.loads(_entity(2, ["7", "Q"]))
+    flat = {"id": "e3", **json.loads(_entity(3, ["F"]))["alert"]}
+    docs = [json.dumps({"header": {}, "entity": [one, two]}), json.dumps([one]), json.dumps(flat), json.dumps({"entity": []}),
+            json.dumps({"id": "e9"}), "{", ""]
+    parsed = jf.parse_alert_entities(spark.createDataFrame([(d,) for d in docs] + [(None,)], "value string"))
+    rows = jf.flatten_alert_json(parsed).collect()
+    assert sorted((r.alert_id, r.subway_line) for r in rows) == [("e1", "A"), ("e1", "A"), ("e2", "7"), ("e2", "Q"), ("e3", "F")]
+    rejects = {r.raw_text for r in jf.alert_rejects(parsed).collect()}
+    assert json.dumps({"id": "e9"}) in rejects and "{" in rejects
+
+
+def test_weather_without_a_measure_keeps_its_hours(spark):
+    doc = json.dumps({"latitude": 1.0, "longitude": 2.0, "timezone": "UTC",
+                      "hourly": {"time": ["2025-11-01T00:00", "2025-11-01T01:00"], "temperature_2m": [1.5]}})
+    docs = spark.createDataFrame([(doc,), ("{broken",), ("{}",)], "value string")
+    out = jf.flatten_weather_json(docs).orderBy("datetime_hour").collect()
+    assert [(r.temperature_2m, r.snowfall) for r in out] == [(1.5, None), (None, None)]
+    assert {r.raw_text for r in jf.weather_rejects(docs).collect()} == {"{broken", "{}"}
+
+
+def test_readers_refuse_files_without_a_required_column(spark, tmp_path):
+    from metroflux.sources import readers
+    from metroflux.sources.fixtures import Feeds
+    f = Feeds(spark, "/root/testdata/sf0.001")
+    f.trips_raw().drop("fare_amount").write.parquet(str(tmp_path / "t"))
+    with pytest.raises(dq.SchemaValidationError, match="fare_amount"):
+        readers.read_trips(spark, str(tmp_path / "t"))
+    w = f.weather_raw()
+    w.selectExpr("* except (datetime_hour)", "to_timestamp_ntz(datetime_hour, \"yyyy-MM-dd'T'HH:mm\") as datetime_hour").write.parquet(str(tmp_path / "w"))
+    from metroflux.operators.staging import stage_weather
+    typed = stage_weather(readers.read_weather(spark, str(tmp_path / "w")))
+    assert typed.exceptAll(stage_weather(w).select(*typed.columns)).count() == 0 and typed.count() == w.count()
+
+
+def test_scratch_folder_must_be_named_on_a_cluster(spark):
+    from types import SimpleNamespace
+    from metroflux.session import checkpoint_dir
+    conf = SimpleNamespace(get=lambda k, d=None: None)
+    context = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None)
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_dir(SimpleNamespace(conf=conf, sparkContext=context))
+
+
+def test_live_session_settings_stay(spark):
+    from metroflux.session import build_session
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "512m")
+    try:
+        assert build_session().conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "512m"
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "128m")
+
+
+def test_alert_zone_moves_alert_hours(spark):
+    from metroflux.operators.staging import stage_alerts
+    raw = spark.createDataFrame([("a", "7", "c", "NO_SERVICE", "1704085200", "1704088800", "x", True)],
+                                "alert_id string, subway_line string, cause string, effect string, start_time string, "
+                                "end_time string, ingested_at string, is_synthetic boolean")
+    utc, local = stage_alerts(raw).first(), stage_alerts(raw, "America/New_York").first()
+    assert (utc.alert_date, utc.alert_start_datetime.hour) == (dt.date(2024, 1, 1), 5)
+    assert (local.alert_date, local.alert_start_datetime.hour) == (dt.date(2024, 1, 1), 0)
