@@ -202,7 +202,7 @@ _line_list = "[" + ", ".join(f"'{x}'" for x in _LINES) + "]"
 sql("flatten_alerts", f"""
 with e as (
   select *, cast(epoch(date_trunc('hour', ts)) as bigint) as st from events
-  where event_type = 'error' and event_id % 7 = 0 and event_id % 101 <> 0 and event_id % 83 <> 0
+  where event_type = 'error' and event_id % 101 <> 0 and event_id % 83 <> 0
     and event_id % 5 <> 0
 ),
 l as (
@@ -267,7 +267,7 @@ from s""")
 
 sql("dq_lineitem_orphans", """
 select l.l_orderkey, l.l_linenumber from lineitem l
-where not exists (select 1 from orders o where o.o_orderkey = l.l_orderkey)""")
+where not exists (select 1 from orders o where o.o_orderkey = l.l_orderkey and o.o_orderstatus <> 'P')""")
 
 sql("incremental_landing", o.with_models("trips_raw") + """
 select strftime(tpep_pickup_datetime, '%Y') as data_year, strftime(tpep_pickup_datetime, '%m') as data_month,

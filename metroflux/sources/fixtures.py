@@ -20,10 +20,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def trips_raw(events: DataFrame) -> DataFrame:
-    """One trip per event, plus an exact second copy of every 50th event."""
-    e = events.select("event_id", "ts", "value")
-    e = e.unionByName(e.where(F.col("event_id") % 50 == 0))
+    """One trip per event, a second copy of every 49th, and of some a trip a month later, a month earlier, or long ago.
+
+    A third of all trips starts in one zone, most others in four, some in zones that the registry lacks.
+    """
     i = F.col("event_id")
+    e = events.select("event_id", "ts", "value")
+    days = F.when(i % 97 == 1, 31).when(i % 97 == 2, -31).when(i % 97 == 3, -8000).otherwise(0)
+    more = e.where((i % 49 == 0) | (i % 97).between(1, 3)).withColumn("ts", F.timestamp_add("DAY", days, F.col("ts")))
+    e = e.unionByName(more)
+    pickup = F.when(i % 3 == 0, 132).when(i % 40 == 1, 251 + i % 15).otherwise(1 + i * 13 % 4)
     tip = (i * 7 % 1500).cast("double") / 100
     return e.select(
         (1 + i % 2).cast("bigint").alias("VendorID"),
@@ -33,7 +39,7 @@ def trips_raw(events: DataFrame) -> DataFrame:
         ((i * 31 % 4500).cast("double") / 100).alias("trip_distance"),
         (1 + i % 4).cast("bigint").alias("RatecodeID"),
         F.lit("N").alias("store_and_fwd_flag"),
-        (1 + i * 13 % 265).cast("bigint").alias("PULocationID"),
+        pickup.cast("bigint").alias("PULocationID"),
         (1 + i * 29 % 265).cast("bigint").alias("DOLocationID"),
         (1 + i % 4).cast("bigint").alias("payment_type"),
         F.col("value").alias("fare_amount"),
@@ -50,8 +56,9 @@ def trips_raw(events: DataFrame) -> DataFrame:
 
 
 def weather_raw(events: DataFrame) -> DataFrame:
-    """One weather row for every hour that has at least one event."""
-    hours = events.select(truncate_hour("ts").alias("h")).distinct()
+    """One weather row for every hour that has at least one event, but for a few hours that the feed lacks."""
+    hours = events.select(truncate_hour("ts").alias("h")).distinct().where(
+        (F.dayofmonth("h") % 11 != 5) | (F.hour("h") != 3))
     d, hr = F.dayofmonth("h"), F.hour("h")
     return hours.select(
         F.date_format("h", "yyyy-MM-dd'T'HH:mm").alias("datetime_hour"),
@@ -68,10 +75,10 @@ def weather_raw(events: DataFrame) -> DataFrame:
 
 
 def alerts_raw(events: DataFrame) -> DataFrame:
-    """Alerts from every 7th error event: start on the hour, 1-9 h long, some blank ends."""
+    """Alerts from the error events: start on the hour, 1-9 h long, some blank ends."""
     i = F.col("event_id")
     start = epoch_seconds(truncate_hour("ts"))
-    return events.where((F.col("event_type") == "error") & (i % 7 == 0)).select(
+    return events.where(F.col("event_type") == "error").select(
         F.concat(F.lit("a"), i.cast("string")).alias("alert_id"),
         F.concat(F.lit("L"), (F.col("user_id") % 23).cast("string")).alias("subway_line"),
         F.when(i % 5 == 0, "MAINTENANCE").when(i % 5 == 1, "ACCIDENT")
@@ -89,13 +96,13 @@ def alerts_raw(events: DataFrame) -> DataFrame:
 
 
 def zones(nation: DataFrame) -> DataFrame:
-    """Ten zones per nation: 250 zone rows with every borough rule reached."""
+    """Ten zones per nation: 250 zone rows with every borough rule reached, some in a borough that is not accepted."""
     k = F.explode(F.sequence(F.lit(0), F.lit(9))).alias("k")
     n = nation.select("n_nationkey", "n_name", "n_regionkey", k)
     rk, nk = F.col("n_regionkey"), F.col("n_nationkey")
     return n.select(
         (1 + nk + 25 * F.col("k")).cast("bigint").alias("LocationID"),
-        F.when(rk == 0, "Manhattan").when(rk == 1, "Queens").when(rk == 2, "Brooklyn")
+        F.when((F.col("k") == 9) & (nk % 5 == 0), "Harbour").when(rk == 0, "Manhattan").when(rk == 1, "Queens").when(rk == 2, "Brooklyn")
          .when(rk == 3, "Bronx").otherwise("N/A").alias("Borough"),
         F.concat(F.col("n_name"), F.lit("/"), F.col("k").cast("string")).alias("Zone"),
         F.when(nk % 5 == 0, "Yellow Zone").when(nk % 5 == 1, "Boro Zone")
@@ -142,7 +149,7 @@ def weather_json_docs(events: DataFrame) -> DataFrame:
 
 
 def alert_json_docs(events: DataFrame) -> DataFrame:
-    """One service-alert entity per 7th error event, covering the feed's edge cases:
+    """One service-alert entity per error event, covering the feed's edge cases:
     unknown routes, alerts with no known line, two lines, a missing or empty period
     list, a missing cause, long headers, and malformed text."""
     from metroflux.schemas import SUBWAY_LINES
@@ -171,4 +178,4 @@ def alert_json_docs(events: DataFrame) -> DataFrame:
                                effect.alias("effect")).alias("alert"))
     text = F.to_json(entity)
     text = F.when(i % 101 == 0, F.substring(text, 1, 25)).otherwise(text)
-    return events.where((F.col("event_type") == "error") & (i % 7 == 0)).select(text.alias("value"))
+    return events.where(F.col("event_type") == "error").select(text.alias("value"))
