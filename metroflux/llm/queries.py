@@ -65,11 +65,12 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per document: number of lines, the cut runs, and the text that stays with its SHA-256."""
+    """Per document: the cut runs as first-last line numbers, how many lines went, and the text that stays."""
     from metroflux.llm.line_dedup import drop_repeated_lines
     out = drop_repeated_lines(read_table(spark, sf_dir, "documents").select("doc_id", "text"), with_runs=True)
     gone = F.aggregate("runs", F.lit(0), lambda n, r: n + r["last"] - r["first"] + 1)
-    return out.select("doc_id", "runs", gone.cast("long").alias("lines_removed"), "text")
+    runs = F.array_join(F.transform("runs", lambda r: F.concat_ws("-", r["first"].cast("string"), r["last"].cast("string"))), ",")
+    return out.select("doc_id", runs.alias("runs"), gone.cast("long").alias("lines_removed"), "text")
 
 
 @query
@@ -82,3 +83,54 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     from metroflux.llm.secrets import scan
     return scan(read_table(spark, sf_dir, "documents"))
+
+
+# --- DuckDB SQL of the operators that SQL can express -------------------------------------
+
+ORACLE["op6_topk"] = """
+with v as (
+  select vec_id, list_transform(embedding, lambda x: floor(256 * cast(x as double))) as w from embeddings
+  where vec_id is not null and len(embedding) > 0
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+),
+s as (
+  select q.vec_id as query_id, c.vec_id as vec_id, cast(list_dot_product(q.w, c.w) as bigint) as score
+  from v q join v c on q.vec_id <> c.vec_id and len(q.w) = len(c.w) where q.vec_id % 50 = 0
+),
+r as (select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank from s)
+select query_id, rank, vec_id, score from r where rank <= 5"""
+
+ORACLE["op8_line_dedup"] = """
+with d as (select doc_id, string_split(text, chr(10)) as lines from documents),
+l as (select doc_id, unnest(lines) as line, unnest(range(len(lines))) as i from d),
+w as (
+  select doc_id, i, row_number() over (partition by line, two, three order by doc_id, i) as copy
+  from (select doc_id, i, line, lead(line, 1) over o as two, lead(line, 2) over o as three from l
+        window o as (partition by doc_id order by i)) x
+  where three is not null
+),
+gone as (select distinct doc_id, i + k as i from w, (values (0), (1), (2)) as t(k) where copy > 1),
+island as (select doc_id, i, i - row_number() over (partition by doc_id order by i) as island from gone),
+runs as (select doc_id, min(i) as a, max(i) as b from island group by doc_id, island),
+listed as (select doc_id, string_agg(a || '-' || b, ',' order by a) as runs, cast(sum(b - a + 1) as bigint) as n from runs group by doc_id),
+kept as (select l.doc_id, string_agg(l.line, chr(10) order by l.i) as text from l anti join gone g on g.doc_id = l.doc_id and g.i = l.i group by l.doc_id)
+select doc_id, coalesce(listed.runs, '') as runs, coalesce(listed.n, 0) as lines_removed, coalesce(kept.text, '') as text
+from documents left join listed using (doc_id) left join kept using (doc_id)"""
+
+ORACLE["op5_jaccard"] = r"""
+with recursive w as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') as ws from documents
+),
+c as (
+  select doc_id, case when len(ws) = 0 then [] when len(ws) < 5 then [array_to_string(ws, ' ')]
+    else list_distinct(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))) end as s from w
+),
+s as (select doc_id, len(s) as n, unnest(s) as x from c),
+links as (
+  select a.doc_id as a, b.doc_id as b from s a join s b on a.x = b.x and a.doc_id <> b.doc_id
+  group by a.doc_id, b.doc_id, a.n, b.n having 100 * count(*) >= 80 * (a.n + b.n - count(*))
+),
+reach as (select doc_id as a, doc_id as b from documents union select r.a, l.b from reach r join links l on l.a = r.b)
+select c.doc_id, cast(len(c.s) as bigint) as n_shingles, m.b as component_id
+from c join (select a, min(b) as b from reach group by a) m on m.a = c.doc_id"""
