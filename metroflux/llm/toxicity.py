@@ -61,6 +61,15 @@ def _sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
+def _scatter(out: np.ndarray, at: np.ndarray, values: np.ndarray) -> None:
+    """out[at] += values, rows of equal index added up."""
+    if len(at):
+        order = np.argsort(at, kind="stable")
+        ordered = at[order]
+        first = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
+        out[ordered[first]] += np.add.reduceat(values[order], first, axis=0)
+
+
 @dataclass
 class Network:
     """Parameters by name. Word row 0 stands for words outside the vocabulary."""
@@ -161,14 +170,14 @@ class Network:
                 dh = dh * z + d_hu @ u.T
             g[f"u{name}"] = gu
         rows = np.zeros_like(both)
-        np.add.at(rows, at[real], d_gates[real])
+        _scatter(rows, at[real], d_gates[real])
         df, db = rows[:, :3 * k], rows[:, 3 * k:]
         g |= {"wf": x.T @ df, "wb": x.T @ db, "cf": df.sum(axis=0), "cb": db.sum(axis=0)}
         dx = df @ p["wf"].T + db @ p["wb"].T
         g["word"], g["char"] = np.zeros_like(p["word"]), np.zeros_like(p["char"])
-        np.add.at(g["word"], ids, dx[:, :WORD_DIM])
+        _scatter(g["word"], ids, dx[:, :WORD_DIM])
         g["word"][0] = 0
-        np.add.at(g["char"], flat, np.repeat(dx[:, WORD_DIM:] / np.sqrt(sizes)[:, None], sizes, axis=0))
+        _scatter(g["char"], flat, np.repeat(dx[:, WORD_DIM:] / np.sqrt(sizes)[:, None], sizes, axis=0))
         return g
 
 
@@ -197,7 +206,7 @@ def _batch(words: list[list[str]], places: list[tuple[int, np.ndarray]]) -> tupl
     return list(index), at
 
 
-def train(texts: list[str], labels: list[int], vocabulary_size: int = 20_000, per_text: int = 8, steps: int = 500,
+def train(texts: list[str], labels: list[int], vocabulary_size: int = 20_000, per_text: int = 8, steps: int = 400,
           refine: int = 2, batch: int = 256, rate: float = 0.01, seed: int = 5) -> Network:
     """A network from labelled texts; texts without a word count for the base rate only.
 
@@ -234,7 +243,7 @@ def train(texts: list[str], labels: list[int], vocabulary_size: int = 20_000, pe
     for _ in range(refine):
         adam.rate = rate / 3
         scorer.forget()
-        best = [int(np.argmax(scorer.window_logits(w))) for w in words]
+        best = [int(np.argmax(z)) for z in scorer.window_logits(words)]
         learn(lambda: [(d, all_windows[d][i]) for d, i in enumerate(best)], steps // 10)  # noqa: B023
     return net
 
@@ -263,34 +272,27 @@ class Scorer:
             self.rows.update(zip(new, range(start, start + len(new)), strict=True))
         return np.array([self.rows[w] for w in words], np.int64)
 
-    def window_logits(self, words: list[str]) -> np.ndarray:
-        at = windows(len(words))
-        rows = np.append(self.index(words), 0)
-        return np.concatenate([self.net.logits(self.gates[rows[at[a:a + 4096]]], at[a:a + 4096] >= 0)
-                               for a in range(0, len(at), 4096)])
+    def window_logits(self, texts: list[list[str]], chunk: int = 64) -> Iterator[np.ndarray]:
+        """The logits of the windows of each text, given as its words (one at least)."""
+        for a in range(0, len(texts), chunk):
+            part = texts[a:a + chunk]
+            rows = np.append(self.index([w for words in part for w in words]), 0)
+            shift, places = 0, []
+            for words in part:
+                at = windows(len(words))
+                places.append(np.where(at >= 0, at + shift, len(rows) - 1))
+                shift += len(words)
+            at = np.concatenate(places)
+            logits = np.concatenate([self.net.logits(self.gates[rows[at[i:i + 4096]]], at[i:i + 4096] < len(rows) - 1)
+                                     for i in range(0, len(at), 4096)])
+            yield from np.split(logits, np.cumsum([len(p) for p in places])[:-1])
 
     def scores(self, texts: list[str | None]) -> np.ndarray:
         """The largest window score of each text; the training base rate for a text without a word."""
         words = [words_of(t) for t in texts]
-        joined = [w for doc in words for w in doc]
         out = np.full(len(texts), min(self.net.base_rate, 0.49))
-        if not joined:
-            return out
-        rows = np.append(self.index(joined), 0)
-        shift, owners, places = 0, [], []
-        for i, doc in enumerate(words):
-            if doc:
-                at = windows(len(doc))
-                places.append(np.where(at >= 0, at + shift, len(joined)))
-                owners.append(np.full(len(at), i))
-            shift += len(doc)
-        at, owner = np.concatenate(places), np.concatenate(owners)
-        best = np.full(len(texts), -np.inf)
-        for a in range(0, len(at), 4096):
-            part = at[a:a + 4096]
-            np.maximum.at(best, owner[a:a + 4096], self.net.logits(self.gates[rows[part]], part < len(joined)))
-        full = np.isfinite(best)
-        out[full] = _sigmoid(best[full])
+        full = [i for i, w in enumerate(words) if w]
+        out[full] = [_sigmoid(z.max()) for z in self.window_logits([words[i] for i in full], 256)]
         return out
 
 
