@@ -323,6 +323,17 @@ def q_flatten_alerts(spark, sf_dir):
     return jf.flatten_alert_json(parsed, ingested_at=INGESTED_AT)
 
 
+@query
+def q_feed_rejects(spark, sf_dir):
+    """How many documents or entities of each JSON feed could not be read."""
+    prepare(spark)
+    events = fx.table(spark, sf_dir, "events")
+    rejects = {"alerts": jf.alert_rejects(jf.parse_alert_entities(fx.alert_json_docs(events))),
+               "weather": jf.weather_rejects(fx.weather_json_docs(events))}
+    counts = [df.agg(F.count(F.lit(1)).alias("rejects")).select(F.lit(feed).alias("feed"), "rejects") for feed, df in rejects.items()]
+    return counts[0].unionByName(counts[1])
+
+
 def _monthly(df, ts, source, opts):
     """Batches of a feed, one per month that its rows reach into (a row per month comes to the driver)."""
     month = F.date_format(ts, "yyyy-MM")

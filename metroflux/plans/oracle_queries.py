@@ -280,3 +280,8 @@ select t.*, strftime(tpep_pickup_datetime, '%Y') as year, strftime(tpep_pickup_d
   strftime(tpep_pickup_datetime, '%Y-%m-%d') as day, '2024-02-01T00:00:00' as _ingested_at, 'trips' as _source,
   '1.0.0' as _pipeline_version, 'development' as _environment
 from trips_raw t""")
+
+sql("feed_rejects", """
+select 'alerts' as feed, count(*) as rejects from events
+where event_type = 'error' and (event_id % 101 = 0 or event_id % 83 = 0)
+union all select 'weather', 0""")
