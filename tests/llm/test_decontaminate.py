@@ -88,3 +88,4 @@ def test_best_end():
     assert D.best_end(a, np.array([1, 2, 3, 4, 9], np.uint64)) == (0, 4)
     assert D.best_end(a, np.array([1, 2, 9, 3, 4, 9], np.uint64)) == (1, 5)
     assert D.best_end(a, np.array([2, 3, 4], np.uint64)) == (1, 3)
+    assert D.best_end(a, np.array([9, 9, 9, 9, 9, 1, 2, 3, 4, 9], np.uint64), free_start=True) == (0, 9)
