@@ -23,6 +23,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -197,24 +198,19 @@ def encoder(path: str) -> BpeEncoder:
 def _encode_batches(path: str, text_at: int, memo_entries: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
-        memo = Memo(enc.encode_pretoken, memo_entries)
+        memo = Memo(lambda p: np.array(enc.encode_pretoken(p), np.int32).tobytes(), memo_entries)
         known = memo.__getitem__
+        specials = {i: np.array([i], np.int32).tobytes() for i in enc.special.values()}
         for batch in batches:
             for a, b in text_slices(batch.column(text_at), 2 << 20):
                 part = batch.slice(a, b - a)
-                values, sizes = [], []
+                values = []
                 for text in part.column(text_at).to_pylist():
-                    before = len(values)
-                    if text:
-                        for piece, special in enc.parts(text):
-                            if special is not None:
-                                values.append(special)
-                            else:
-                                for ids in map(known, enc.pretokens(piece)):
-                                    values += ids
-                    sizes.append(len(values) - before)
-                offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-                ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.array(values, np.int32)))
+                    packed = [specials[special] if special is not None else b"".join(map(known, enc.pretokens(piece)))
+                              for piece, special in enc.parts(text)] if text else ()
+                    values.append(b"".join(packed))
+                offsets = np.concatenate([[0], np.cumsum([len(v) // 4 for v in values])]).astype(np.int32)
+                ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(values), np.int32)))
                 yield pa.RecordBatch.from_arrays([*part.columns, ids], names=[*part.schema.names, "ids"])
     return run
 
@@ -222,13 +218,16 @@ def _encode_batches(path: str, text_at: int, memo_entries: int):
 def _decode_batches(path: str, ids_at: int, name: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
+        tokens = pa.array([enc.token_of.get(i) for i in range(max(enc.token_of) + 1)], pa.string())
         for batch in batches:
             column = batch.column(ids_at)
             step = 256  # decoded texts are several times as large as their ids
             for a in range(0, batch.num_rows, step):
-                part = batch.slice(a, step)
-                texts = pa.array([None if x is None else enc.decode(x) for x in column.slice(a, step).to_pylist()],
-                                 pa.string())
+                part, ids = batch.slice(a, step), column.slice(a, step)
+                sizes = pc.list_value_length(ids).fill_null(0).to_numpy()
+                offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+                texts = pc.binary_join(pa.ListArray.from_arrays(offsets, tokens.take(ids.flatten())), " ")
+                texts = pc.if_else(ids.is_null(), pa.scalar(None, pa.string()), texts)
                 yield pa.RecordBatch.from_arrays([*part.columns, texts], names=[*part.schema.names, name])
     return run
 
