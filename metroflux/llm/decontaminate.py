@@ -10,11 +10,12 @@ few differing steps, so edit distance becomes Hamming distance. A key is a hash
 sampled steps (bit sampling); `repeats` walks with new randomness give as many keys, and a
 window that shares a key with an item is a candidate. Candidates are verified by the exact edit distance.
 
-Windows are item-sized: item lengths fall into classes, and every class has its own walks. Of
-the windows at all places, those go first that no item can match: K edits destroy at
-most 3 K of an item's n - 2 three-word pieces, so a window with fewer known pieces is out, whatever the walks say.
+Windows are item-sized: item lengths fall into classes, and every class has its own walks. K edits destroy
+at most 3 K of an item's n - 2 three-word pieces, so a window with fewer known pieces is out, whatever the
+walks say. A window starts where a piece from an item's head (its first K + 4 pieces) stands, and items are walked from
+each of these places, so edits at the very start cost no match; verification looks left of the window as well.
 
-What every task gets are two bitmaps of fixed size (pieces and keys of all items); items
+What every task gets are three bitmaps of fixed size (pieces, head pieces and keys of all items); items
 themselves meet candidates in a join, so a large benchmark is never broadcast whole.
 """
 
@@ -33,6 +34,7 @@ from metroflux.llm.words import U, mix, plain, word_hashes, word_spans
 PIECE = 3
 RATIO = 1.15
 SAMPLED = 3
+HEAD = 4
 
 
 def most_edits(n):
@@ -89,12 +91,14 @@ def _item_batches(repeats: int):
                     if n < PIECE:
                         continue
                     number = int(class_of(n))
-                    keys = walk_keys(w, np.zeros(1, np.int64), np.full(1, n), number, repeats)[0]
+                    head = np.arange(min(int(most_edits(n)) + HEAD, n - PIECE + 1))
+                    keys = np.unique(walk_keys(w, head, np.full(len(head), n), number, repeats))
                     rows.append({"item_id": batch.column(0)[i].as_py(), "n": n, "class": number, "item": w.tobytes(),
-                                 "keys": keys.astype(np.int64).tolist(), "pieces": piece_hashes(w).astype(np.int64).tolist()})
+                                 "keys": keys.astype(np.int64).tolist(), "pieces": piece_hashes(w).astype(np.int64).tolist(),
+                                 "heads": len(head)})
             yield pa.RecordBatch.from_pylist(rows, schema=pa.schema(
                 [("item_id", pa.int64()), ("n", pa.int64()), ("class", pa.int64()), ("item", pa.binary()),
-                 ("keys", pa.list_(pa.int64())), ("pieces", pa.list_(pa.int64()))]))
+                 ("keys", pa.list_(pa.int64())), ("pieces", pa.list_(pa.int64())), ("heads", pa.int64())]))
     return run
 
 
@@ -115,7 +119,7 @@ def _window_batches(shared, repeats: int):
                         ("ends", pa.list_(pa.int64())), ("window", pa.binary()), ("keys", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces, known_keys, classes = shared.value
+        pieces, heads, known_keys, classes = shared.value
         for batch in batches:
             for a, b in text_slices(batch.column(2)):
                 data, offsets, starts, ends, firsts, words = _words(batch.column(2).slice(a, b - a))
@@ -130,17 +134,15 @@ def _window_batches(shared, repeats: int):
                 fine = where + PIECE <= firsts[doc + 1]
                 hit[where[~fine]] = False
                 total = np.concatenate([[0], np.cumsum(hit)])
+                at = np.flatnonzero(hit)
+                at = at[_bit_at(heads, found[at])]
+                in_doc = np.searchsorted(firsts, at, side="right") - 1
                 chars = None
                 rows = []
-                for number, least, longest in classes:
-                    near = _near(np.flatnonzero(hit), longest, len(words))
-                    if not len(near):
-                        continue
-                    doc = np.searchsorted(firsts, near, side="right") - 1
-                    stop = np.minimum(near + longest, firsts[doc + 1])
-                    last_piece = np.clip(stop - PIECE + 1, near, len(found))
-                    ok = total[last_piece] - total[np.minimum(near, len(found))] >= least
-                    near, stop, doc = near[ok], stop[ok], doc[ok]
+                for number, least, longest, lead in classes:
+                    stop = np.minimum(at + longest, firsts[in_doc + 1])
+                    ok = total[stop - PIECE + 1] - total[at] >= least
+                    near, stop, doc = at[ok], stop[ok], in_doc[ok]
                     for c in range(0, len(near), 65536):
                         s, e, d = near[c:c + 65536], stop[c:c + 65536], doc[c:c + 65536]
                         keys = walk_keys(words, s, e, number, repeats)
@@ -148,10 +150,10 @@ def _window_batches(shared, repeats: int):
                         if match.any() and chars is None:
                             chars = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
                         for i in np.flatnonzero(match.any(axis=1)).tolist():
-                            base = chars[offsets[d[i]]]
+                            base, left = chars[offsets[d[i]]], max(int(s[i]) - lead, int(firsts[d[i]]))
                             rows.append({"row": batch.column(0)[a + int(d[i])].as_py(), "doc_id": batch.column(1)[a + int(d[i])].as_py(),
-                                         "class": number, "starts": (chars[starts[s[i]:e[i]]] - base).tolist(),
-                                         "ends": (chars[ends[s[i]:e[i]]] - base).tolist(), "window": words[s[i]:e[i]].tobytes(),
+                                         "class": number, "starts": (chars[starts[left:e[i]]] - base).tolist(),
+                                         "ends": (chars[ends[left:e[i]]] - base).tolist(), "window": words[left:e[i]].tobytes(),
                                          "keys": keys[i][match[i]].astype(np.int64).tolist()})
                             if len(rows) >= 2000:
                                 yield pa.RecordBatch.from_pylist(rows, schema=schema)
@@ -161,17 +163,12 @@ def _window_batches(shared, repeats: int):
     return run
 
 
-def _near(hits: np.ndarray, reach: int, n: int) -> np.ndarray:
-    """All places from which a hit is less than `reach` words away."""
-    mark = np.zeros(n + 1, np.int32)
-    np.add.at(mark, np.maximum(hits - reach, 0), 1)
-    np.add.at(mark, np.minimum(hits + 1, n), -1)
-    return np.flatnonzero(np.cumsum(mark[:n]) > 0)
-
+def best_end(item: np.ndarray, window: np.ndarray, free_start: bool = False) -> tuple[int, int]:
+    """Least word edit distance of the item to a prefix of the window, and the length of that prefix.
 
-def best_end(item: np.ndarray, window: np.ndarray) -> tuple[int, int]:
-    """Least word edit distance of the item to a prefix of the window, and the length of that prefix."""
-    line = np.arange(len(window) + 1)
+    With `free_start`, of all stretches of the window instead, and where the best one ends.
+    """
+    line = np.zeros(len(window) + 1, np.int64) if free_start else np.arange(len(window) + 1)
     places = np.arange(len(window) + 1)
     for i, w in enumerate(item):
         new = np.empty_like(line)
@@ -190,14 +187,16 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = []
         for r in batch.to_pylist():
             item, window = np.frombuffer(r["item"], U), np.frombuffer(r["window"], U)
-            distance, end = best_end(item, window)
+            distance, end = best_end(item, window, free_start=True)
             if distance <= most_edits(len(item)) and end:
-                rows.append({"row": r["row"], "doc_id": r["doc_id"], "item_id": r["item_id"], "distance": distance,
-                             "start": r["starts"][0], "end": r["ends"][end - 1]})
+                _, size = best_end(item[::-1], window[:end][::-1])
+                if size:
+                    rows.append({"row": r["row"], "doc_id": r["doc_id"], "item_id": r["item_id"], "distance": distance,
+                                 "start": r["starts"][end - size], "end": r["ends"][end - 1]})
         yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, repeats: int = 12) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, repeats: int = 8) -> DataFrame:
     """(row, doc_id, item_id, distance, start, end): the best stretch of every row of `docs` for every item it holds.
 
     start and end are character offsets, distance counts word edits. `row` is a number of the row given here.
@@ -209,14 +208,16 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, repeats: int = 12) -> Da
     scratch = Scratch(spark, "decontaminate")
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where(F.col("text").isNotNull()).distinct()
     items = scratch.keep(items.mapInArrow(
-        _item_batches(repeats), "item_id long, n long, class long, item binary, keys array<long>, pieces array<long>"), "items")
+        _item_batches(repeats), "item_id long, n long, class long, item binary, keys array<long>, pieces array<long>, heads long"), "items")
     # every class with its weakest demand: known pieces that a window must hold, and the longest window
     n = F.col("n")
     edits = F.least(F.floor(n / 5), F.floor((n - PIECE) / PIECE))
-    classes = items.groupBy("class").agg(F.min(n - PIECE + 1 - PIECE * edits).alias("least"), F.max(n + edits).alias("longest")).orderBy("class").collect()
+    classes = items.groupBy("class").agg(F.min(n - PIECE + 1 - PIECE * edits).alias("least"), F.max(n + edits).alias("longest"),
+                                          F.max(edits + HEAD).alias("lead")).orderBy("class").collect()
     pieces = _bitmap(items.select(F.explode("pieces").alias("h")))
+    heads = _bitmap(items.select(F.explode(F.slice("pieces", F.lit(1), F.col("heads").cast("int"))).alias("h")))
     known_keys = _bitmap(items.select(F.explode("keys").alias("h")))
-    shared = spark.sparkContext.broadcast((pieces, known_keys, [(r["class"], r.least, r.longest) for r in classes]))
+    shared = spark.sparkContext.broadcast((pieces, heads, known_keys, [(r["class"], r.least, r.longest, r.lead) for r in classes]))
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
     windows = rows.mapInArrow(_window_batches(shared, repeats),
                               "row long, doc_id long, class long, starts array<long>, ends array<long>, window binary, keys array<long>")
@@ -228,7 +229,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, repeats: int = 12) -> Da
     return best.select("row", "doc_id", "item_id", "b.distance", "b.start", "b.end")
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, repeats: int = 12) -> DataFrame:
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, repeats: int = 8) -> DataFrame:
     """The rows of `docs` that hold no benchmark item; all columns stay."""
     names = docs.columns
     data = docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*[F.col(f"`{c}`") for c in names]).alias("d"))
