@@ -15,9 +15,10 @@ in. With more than d parts in use, one part in use must agree (pigeonhole), so
 equal (band, part, word) keys bring every linked pair together. A set that uses d
 parts or fewer also enters its empty parts; two such sets can meet there.
 
-Groups. Under one key, sets are not paired with one another. First every set is
-verified against the smallest of its key. Verified links form components; where a key
-still holds different components, only pairs across them are compared, in cells of
+Groups. Under one key, sets are not paired with one another. Every set is a candidate
+with the smallest of its key. First each set is verified against the one of these that it shares
+the most keys with; then against the others, unless both are in one component by now.
+Where a key still holds different components, only pairs across them are compared, in cells of
 bounded size, by a wider one-bit-per-shingle parity sketch whose Hamming distance
 is also bounded by the symmetric difference; what passes is verified on the sets.
 So no link between different components is lost, copies cost one node, and a large
@@ -273,21 +274,33 @@ def similar_groups(docs: DataFrame, percent: int = 80) -> DataFrame:
     keys = docs.select("text").mapInArrow(_keys(percent), "key long, node long")
     members = scratch.keep(keys.repartition("key").sortWithinPartitions("key", "node")
                            .mapInArrow(_runs, "key long, node long, centre long"), "members")
-    stars = scratch.keep(members.select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct(), "stars")
+    stars = members.groupBy(F.col("centre").alias("a"), F.col("node").alias("b")).agg(F.count(F.lit(1)).alias("keys"))
+    stars = scratch.keep(stars, "stars")
     nodes = stars.select(F.col("a").alias("node")).unionByName(stars.select(F.col("b").alias("node"))).distinct()
     sources = info.where(F.col("n") > 0).groupBy("node").agg(F.min("text_hash").alias("text_hash")).join(nodes, "node")
     sources = scratch.keep(sources.select("node", "text_hash"), "sources")
     wanted = prune_by_ids(docs.select("text", F.xxhash64("text").alias("text_hash")), "text_hash", sources, "text_hash")
     sets = wanted.select("text").mapInArrow(_wanted_sets, "node long, n long, bits binary, members binary")
     sets = scratch.keep(sets.join(sources.select("node"), "node", "left_semi").dropDuplicates(["node"]), "sets")
-    links = scratch.keep(verify(stars, sets, percent), "links")
+    best = stars.groupBy("b").agg(F.max_by("a", F.struct("keys", -F.col("a"))).alias("a")).select("a", "b")
+    links = scratch.keep(verify(best, sets, percent), "links")
     comps = scratch.keep(components(links, scratch), "components")
-    more = scratch.keep(verify(_open_pairs(members, comps, sets, percent), sets, percent), "more")
-    if not more.isEmpty():
-        comps = scratch.keep(components(links.unionByName(more), scratch), "components")
+    for pairs in (lambda: _across_components(stars.select("a", "b").join(best, ["a", "b"], "left_anti"), comps),
+                  lambda: _open_pairs(members, comps, sets, percent)):
+        more = scratch.keep(verify(pairs(), sets, percent), "more")
+        if not more.isEmpty():
+            links = links.unionByName(more)
+            comps = scratch.keep(components(links, scratch), "components")
     return _label(info, comps)
 
 
+def _across_components(pairs: DataFrame, comps: DataFrame) -> DataFrame:
+    """The pairs (a, b) that are in different components; a node without links is its own."""
+    of = lambda side: comps.select(F.col("node").alias(side), F.col("component").alias(f"of_{side}"))
+    both = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left")
+    return both.where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b")
+
+
 def _label(info: DataFrame, comps: DataFrame) -> DataFrame:
     least = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row"))
     per_node = info.where(F.col("n") > 0).groupBy("node").agg(least.alias("first"))
