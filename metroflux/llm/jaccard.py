@@ -188,8 +188,26 @@ def _linked(percent: int):
     return run
 
 
-def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets reach the similarity."""
+def _plausible(percent: int):
+    """The pairs whose bit sketches do not rule the similarity out."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                n = [batch.column(i).to_numpy() for i in (2, 3)]
+                x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), U).reshape(batch.num_rows, -1) for i in (4, 5))
+                far = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
+                fine = pa.array(far <= (n[0] + n[1]) * (100 - percent) // (100 + percent))
+                yield pa.RecordBatch.from_arrays([batch.column(0).filter(fine), batch.column(1).filter(fine)], names=["a", "b"])
+    return run
+
+
+def verify(pairs: DataFrame, sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """The pairs (a, b) whose sets reach the similarity; only sets of pairs that pass the bit sketches are moved."""
+    of = lambda side, n, bits: sets.select(F.col("node").alias(side), F.col("n").alias(n), F.col("bits").alias(bits))
+    close = pairs.join(of("a", "m", "x"), "a").join(of("b", "n", "y"), "b").select("a", "b", "m", "n", "x", "y")
+    pairs = scratch.keep(close.mapInArrow(_plausible(percent), "a long, b long"), "plausible")
+    nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    sets = prune_by_ids(sets, "node", nodes, "node")
     left = sets.select(F.col("node").alias("a"), F.col("members").alias("x"))
     right = sets.select(F.col("node").alias("b"), F.col("members").alias("y"))
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(_linked(percent), "a long, b long")
@@ -283,11 +301,11 @@ def similar_groups(docs: DataFrame, percent: int = 80) -> DataFrame:
     sets = wanted.select("text").mapInArrow(_wanted_sets, "node long, n long, bits binary, members binary")
     sets = scratch.keep(sets.join(sources.select("node"), "node", "left_semi").dropDuplicates(["node"]), "sets")
     best = stars.groupBy("b").agg(F.max_by("a", F.struct("keys", -F.col("a"))).alias("a")).select("a", "b")
-    links = scratch.keep(verify(best, sets, percent), "links")
+    links = scratch.keep(verify(best, sets, percent, scratch), "links")
     comps = scratch.keep(components(links, scratch), "components")
     for pairs in (lambda: _across_components(stars.select("a", "b").join(best, ["a", "b"], "left_anti"), comps),
                   lambda: _open_pairs(members, comps, sets, percent)):
-        more = scratch.keep(verify(pairs(), sets, percent), "more")
+        more = scratch.keep(verify(pairs(), sets, percent, scratch), "more")
         if not more.isEmpty():
             links = links.unionByName(more)
             comps = scratch.keep(components(links, scratch), "components")

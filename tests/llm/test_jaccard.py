@@ -99,9 +99,9 @@ def test_pairs_across_components_are_found_without_the_stars(spark, frame, rng,
     real = J.verify
     calls = []
 
-    def blind(pairs, sets, percent):
+    def blind(pairs, sets, percent, scratch):
         calls.append(1)
-        out = real(pairs, sets, percent)
+        out = real(pairs, sets, percent, scratch)
         return out.limit(0) if len(calls) == 1 else out
 
     monkeypatch.setattr(J, "verify", blind)
