@@ -10,12 +10,15 @@ few differing steps, so edit distance becomes Hamming distance. A key is a hash
 sampled steps (bit sampling); `repeats` walks with new randomness give as many keys, and a
 window that shares a key with an item is a candidate. Candidates are verified by the exact edit distance.
 
-Windows are item-sized: item lengths fall into classes, and every class has its own walks. K edits destroy
-at most 3 K of an item's n - 2 three-word pieces, so a window with fewer known pieces is out, whatever the
-walks say. A window starts where a piece from an item's head (its first K + 4 pieces) stands, and items are walked from
-each of these places, so edits at the very start cost no match; verification looks left of the window as well.
+Sampled keys may all miss, and walks start in an item's head only (its first K + 4 pieces), so segments complete
+them: an item is cut into K + 1 segments of three to five words, K edits touch at most K of them, and one
+stands unchanged in every stretch within K edits. A segment's hash is a key too, so no match is lost, wherever its edits are.
 
-What every task gets are three bitmaps of fixed size (pieces, head pieces and keys of all items); items
+Item lengths fall into classes, and every class has its own walks. K edits destroy at most 3 K of an item's n - 2
+three-word pieces, so a window of the class' greatest length with fewer known pieces is out. Places of keys
+that stand close together share one stretch of text, wide enough on both sides for any item of the class.
+
+What every task gets are four bitmaps of fixed size (pieces, head pieces, segments and keys of all items); items
 themselves meet candidates in a join, so a large benchmark is never broadcast whole.
 """
 
@@ -35,6 +38,8 @@ PIECE = 3
 RATIO = 1.15
 SAMPLED = 3
 HEAD = 4
+SEGMENT_SIZES = (3, 4, 5)  # of n words cut into K + 1, for any n
+STRETCH = 4
 
 
 def most_edits(n):
@@ -56,6 +61,22 @@ def piece_hashes(words: np.ndarray) -> np.ndarray:
     return mix(words[:-2] * U(3) + mix(words[1:-1]) * U(5) + mix(mix(words[2:]) + U(9)))
 
 
+def segment_hashes(words: np.ndarray, places: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of the `size` words from every place."""
+    out = np.full(len(places), size, U)
+    for j in range(size):
+        out = mix(out * U(31) + words[places + j])
+    return out
+
+
+def item_segments(words: np.ndarray) -> np.ndarray:
+    """Hashes of the K + 1 segments of an item."""
+    parts = int(most_edits(len(words))) + 1
+    cuts = np.arange(parts + 1) * len(words) // parts
+    sizes = np.diff(cuts)
+    return np.concatenate([segment_hashes(words, cuts[:-1][sizes == size], size) for size in SEGMENT_SIZES])
+
+
 def walk_keys(words: np.ndarray, starts: np.ndarray, ends: np.ndarray, number: int, repeats: int) -> np.ndarray:
     """Keys (windows x repeats) of the windows [start, end) of a word array, in the walks of class `number`."""
     steps = max(SAMPLED, int(1.5 * RATIO ** number))
@@ -93,12 +114,14 @@ def _item_batches(repeats: int):
                     number = int(class_of(n))
                     head = np.arange(min(int(most_edits(n)) + HEAD, n - PIECE + 1))
                     keys = np.unique(walk_keys(w, head, np.full(len(head), n), number, repeats))
+                    parts = np.unique(item_segments(w))
                     rows.append({"item_id": batch.column(0)[i].as_py(), "n": n, "class": number, "item": w.tobytes(),
                                  "keys": keys.astype(np.int64).tolist(), "pieces": piece_hashes(w).astype(np.int64).tolist(),
-                                 "heads": len(head)})
+                                 "heads": len(head), "segments": parts.astype(np.int64).tolist()})
             yield pa.RecordBatch.from_pylist(rows, schema=pa.schema(
                 [("item_id", pa.int64()), ("n", pa.int64()), ("class", pa.int64()), ("item", pa.binary()),
-                 ("keys", pa.list_(pa.int64())), ("pieces", pa.list_(pa.int64())), ("heads", pa.int64())]))
+                 ("keys", pa.list_(pa.int64())), ("pieces", pa.list_(pa.int64())), ("heads", pa.int64()),
+                 ("segments", pa.list_(pa.int64()))]))
     return run
 
 
@@ -113,51 +136,81 @@ def _bitmap(hashes: DataFrame) -> np.ndarray:
     return out.view(U)
 
 
+def _segments_at(words: np.ndarray, places: np.ndarray, stops: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Indices into `places` where a known segment may begin that ends by `stops`, and the segments' hashes."""
+    index, keys = [], []
+    for size in SEGMENT_SIZES:
+        i = np.flatnonzero(places + size <= stops)
+        h = segment_hashes(words, places[i], size)
+        fine = _bit_at(known, h)
+        index.append(i[fine])
+        keys.append(h[fine])
+    return np.concatenate(index), np.concatenate(keys)
+
+
+def _stretches(places: np.ndarray, docs: np.ndarray, keys: np.ndarray, longest: int) -> Iterator[tuple[int, int, int, np.ndarray]]:
+    """Places that share a stretch, as (text, first place, last place, distinct keys); a stretch has a bounded length."""
+    order = np.argsort(places, kind="stable")
+    places, docs, keys = places[order], docs[order], keys[order]
+    begin = 0
+    for i in range(1, len(places) + 1):
+        if i == len(places) or docs[i] != docs[begin] or places[i] > places[i - 1] + longest or places[i] > places[begin] + STRETCH * longest:
+            yield int(docs[begin]), int(places[begin]), int(places[i - 1]), np.unique(keys[begin:i])
+            begin = i
+
+
 def _window_batches(shared, repeats: int):
-    """Candidate windows of every text, each with its words and those keys that some item may have."""
-    schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("class", pa.int64()), ("starts", pa.list_(pa.int64())),
-                        ("ends", pa.list_(pa.int64())), ("window", pa.binary()), ("keys", pa.list_(pa.int64()))])
+    """Candidate stretches of every text, each with its words and those keys that some item may have."""
+    schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("class", pa.int64()), ("begin", pa.int64()),
+                        ("starts", pa.list_(pa.int64())), ("ends", pa.list_(pa.int64())), ("window", pa.binary()),
+                        ("keys", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces, heads, known_keys, classes = shared.value
+        pieces, heads, segments, known_keys, classes = shared.value
         for batch in batches:
             for a, b in text_slices(batch.column(2)):
                 data, offsets, starts, ends, firsts, words = _words(batch.column(2).slice(a, b - a))
                 found = piece_hashes(words)
                 if not len(found):
                     continue
-                hit = _bit_at(pieces, found)
-                where = np.flatnonzero(hit)
-                if not len(where):
-                    continue
-                doc = np.searchsorted(firsts, where, side="right") - 1
-                fine = where + PIECE <= firsts[doc + 1]
-                hit[where[~fine]] = False
-                total = np.concatenate([[0], np.cumsum(hit)])
-                at = np.flatnonzero(hit)
-                at = at[_bit_at(heads, found[at])]
+                at = np.flatnonzero(_bit_at(pieces, found))
                 in_doc = np.searchsorted(firsts, at, side="right") - 1
+                fine = at + PIECE <= firsts[in_doc + 1]
+                at, in_doc = at[fine], in_doc[fine]
+                if not len(at):
+                    continue
+                from_head = _bit_at(heads, found[at])
+                cut, cut_keys = _segments_at(words, at, firsts[in_doc + 1], segments)
                 chars = None
                 rows = []
-                for number, least, longest, lead in classes:
+                for number, least, longest in classes:
                     stop = np.minimum(at + longest, firsts[in_doc + 1])
-                    ok = total[stop - PIECE + 1] - total[at] >= least
-                    near, stop, doc = at[ok], stop[ok], in_doc[ok]
-                    for c in range(0, len(near), 65536):
-                        s, e, d = near[c:c + 65536], stop[c:c + 65536], doc[c:c + 65536]
-                        keys = walk_keys(words, s, e, number, repeats)
-                        match = _bit_at(known_keys, keys)
-                        if match.any() and chars is None:
+                    ok = np.searchsorted(at, stop - PIECE, side="right") - np.arange(len(at)) >= least
+                    # some window that begins with a known piece and reaches over the segment must hold enough
+                    total = np.concatenate([[0], np.cumsum(ok)])
+                    earliest = np.searchsorted(at, np.maximum(at[cut] - longest + 1, firsts[in_doc[cut]]))
+                    held = total[cut + 1] > total[earliest]
+                    places, keys = [at[cut[held]]], [cut_keys[held]]
+                    walked = np.flatnonzero(ok & from_head)
+                    for c in range(0, len(walked), 65536):
+                        w = walked[c:c + 65536]
+                        some = walk_keys(words, at[w], stop[w], number, repeats)
+                        i, r = np.nonzero(_bit_at(known_keys, some))
+                        places.append(at[w[i]])
+                        keys.append(some[i, r])
+                    places, keys = np.concatenate(places), np.concatenate(keys)
+                    docs = np.searchsorted(firsts, places, side="right") - 1
+                    for d, first, last, mine in _stretches(places, docs, keys, longest):
+                        if chars is None:
                             chars = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
-                        for i in np.flatnonzero(match.any(axis=1)).tolist():
-                            base, left = chars[offsets[d[i]]], max(int(s[i]) - lead, int(firsts[d[i]]))
-                            rows.append({"row": batch.column(0)[a + int(d[i])].as_py(), "doc_id": batch.column(1)[a + int(d[i])].as_py(),
-                                         "class": number, "starts": (chars[starts[left:e[i]]] - base).tolist(),
-                                         "ends": (chars[ends[left:e[i]]] - base).tolist(), "window": words[left:e[i]].tobytes(),
-                                         "keys": keys[i][match[i]].astype(np.int64).tolist()})
-                            if len(rows) >= 2000:
-                                yield pa.RecordBatch.from_pylist(rows, schema=schema)
-                                rows = []
+                        base, left, right = chars[offsets[d]], max(first - longest, int(firsts[d])), min(last + longest, int(firsts[d + 1]))
+                        rows.append({"row": batch.column(0)[a + d].as_py(), "doc_id": batch.column(1)[a + d].as_py(),
+                                     "class": number, "begin": left - int(firsts[d]), "starts": (chars[starts[left:right]] - base).tolist(),
+                                     "ends": (chars[ends[left:right]] - base).tolist(), "window": words[left:right].tobytes(),
+                                     "keys": mine.astype(np.int64).tolist()})
+                        if len(rows) >= 2000:
+                            yield pa.RecordBatch.from_pylist(rows, schema=schema)
+                            rows = []
                 if rows:
                     yield pa.RecordBatch.from_pylist(rows, schema=schema)
     return run
@@ -196,7 +249,7 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, repeats: int = 8) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, repeats: int = 12) -> DataFrame:
     """(row, doc_id, item_id, distance, start, end): the best stretch of every row of `docs` for every item it holds.
 
     start and end are character offsets, distance counts word edits. `row` is a number of the row given here.
@@ -208,28 +261,30 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, repeats: int = 8) -> Dat
     scratch = Scratch(spark, "decontaminate")
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where(F.col("text").isNotNull()).distinct()
     items = scratch.keep(items.mapInArrow(
-        _item_batches(repeats), "item_id long, n long, class long, item binary, keys array<long>, pieces array<long>, heads long"), "items")
+        _item_batches(repeats), "item_id long, n long, class long, item binary, keys array<long>, pieces array<long>, heads long, segments array<long>"), "items")
     # every class with its weakest demand: known pieces that a window must hold, and the longest window
     n = F.col("n")
     edits = F.least(F.floor(n / 5), F.floor((n - PIECE) / PIECE))
-    classes = items.groupBy("class").agg(F.min(n - PIECE + 1 - PIECE * edits).alias("least"), F.max(n + edits).alias("longest"),
-                                          F.max(edits + HEAD).alias("lead")).orderBy("class").collect()
+    classes = items.groupBy("class").agg(F.min(n - PIECE + 1 - PIECE * edits).alias("least"), F.max(n + edits).alias("longest")).orderBy("class").collect()
     pieces = _bitmap(items.select(F.explode("pieces").alias("h")))
     heads = _bitmap(items.select(F.explode(F.slice("pieces", F.lit(1), F.col("heads").cast("int"))).alias("h")))
+    segments = _bitmap(items.select(F.explode("segments").alias("h")))
     known_keys = _bitmap(items.select(F.explode("keys").alias("h")))
-    shared = spark.sparkContext.broadcast((pieces, heads, known_keys, [(r["class"], r.least, r.longest, r.lead) for r in classes]))
+    shared = spark.sparkContext.broadcast((pieces, heads, segments, known_keys, [(r["class"], r.least, r.longest) for r in classes]))
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
     windows = rows.mapInArrow(_window_batches(shared, repeats),
-                              "row long, doc_id long, class long, starts array<long>, ends array<long>, window binary, keys array<long>")
+                              "row long, doc_id long, class long, begin long, starts array<long>, ends array<long>, window binary, keys array<long>")
     asked = windows.withColumn("key", F.explode("keys")).drop("keys")
-    offered = items.select(F.explode("keys").alias("key"), "item_id", "class", "item")
-    pairs = asked.join(offered, ["key", "class"]).drop("key", "class")
+    offered = items.select(F.explode(F.concat("keys", "segments")).alias("key"), "item_id", "class", "item")
+    # keys that agree several times ask for one verification
+    pairs = asked.join(offered, ["key", "class"]).dropDuplicates(["row", "class", "begin", "item_id", "item"]).select(
+        "row", "doc_id", "starts", "ends", "window", "item_id", "item")
     found = pairs.mapInArrow(_verified, "row long, doc_id long, item_id long, distance int, start long, end long")
     best = found.groupBy("row", "doc_id", "item_id").agg(F.min(F.struct("distance", "start", "end")).alias("b"))
     return best.select("row", "doc_id", "item_id", "b.distance", "b.start", "b.end")
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, repeats: int = 8) -> DataFrame:
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, repeats: int = 12) -> DataFrame:
     """The rows of `docs` that hold no benchmark item; all columns stay."""
     names = docs.columns
     data = docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*[F.col(f"`{c}`") for c in names]).alias("d"))

@@ -89,3 +89,24 @@ def test_best_end():
     assert D.best_end(a, np.array([1, 2, 9, 3, 4, 9], np.uint64)) == (1, 5)
     assert D.best_end(a, np.array([2, 3, 4], np.uint64)) == (1, 3)
     assert D.best_end(a, np.array([9, 9, 9, 9, 9, 1, 2, 3, 4, 9], np.uint64), free_start=True) == (0, 9)
+
+
+def test_every_item_at_the_edit_limit_is_found(spark, frame):
+    rng = random.Random(5)
+    items, docs = [], []
+    for i, n in enumerate([6, 9, 12, 15, 16, 19, 25, 34, 50, 59, 80]):
+        text = [f"i{i}w{j}" for j in range(n)]
+        items.append((i, " ".join(text)))
+        most = int(D.most_edits(np.array(n)))
+        for kind in ("head", "tail", "even", "random", "random"):
+            at = {"head": range(2, n, 3), "tail": range(n - 3, -1, -3), "even": range(0, n, max(1, n // most)),
+                  "random": rng.sample(range(n), most)}[kind]
+            t = list(text)
+            for j in sorted(at[:most], reverse=True):
+                t[j:j + 1] = {"head": ["zz"], "tail": ["zz"], "even": ["zz"], "random": rng.choice([[], ["zz"], [t[j], "zz"]])}[kind]
+            docs.append((100 * i + len(docs), " ".join([f"p{rng.random()}" for _ in range(30)] + t + [f"s{rng.random()}" for _ in range(30)])))
+    docs.append((9000, " ".join([f"p{j}" for j in range(20)] + ["zz" if j in (2, 5, 8, 11, 14) else f"i8w{j}" for j in range(50)])))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = {(r.doc_id, r.item_id) for r in D.contaminated(frame(docs), bench).collect()}
+    want = {(d, i) for d, t in docs for i, item in items if least_distance(words(item), words(t)) <= D.most_edits(np.array(len(words(item))))}
+    assert len(want) == len(docs) and found == want
