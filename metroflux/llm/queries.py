@@ -60,7 +60,7 @@ def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from metroflux.llm.substring_dedup import repeated_units
-    return repeated_units(read_table(spark, sf_dir, "documents")).drop("row")
+    return repeated_units(read_table(spark, sf_dir, "documents"), whole=True).drop("row")
 
 
 @query

@@ -53,3 +53,34 @@ def test_rows_of_one_id_and_empty(frame):
     text = "one two three four five six seven eight nine"
     assert repeated_units(frame([(1, text), (1, text), (1, text)])).count() == 2
     assert repeated_units(frame([])).count() == 0
+
+
+def test_passages_of_short_sentences_go_as_one(frame):
+    talk = "Who is there? Only me. Come in then. It is late. I know. Sit down."
+    verse = "red as a rose\nblue as the sea\ngreen as a leaf"
+    rows = [(1, f"Alpha one.\n{talk}\n\n{verse}\n\nend of one"), (2, f"{talk}\nother"), (3, f"x\n\n{verse}\n \ny"),
+            (4, f"Alpha one.\n{talk}\n\n{verse}\n\nend of one"), (5, "Yes. No. I do.\nred as a rose"), (6, "\n" + talk + " More.")]
+    texts = dict(rows)
+    out = repeated_units(frame(rows), whole=True).collect()
+    assert sorted((r.doc_id, texts[r.doc_id][r.start:r.end]) for r in out) == [(2, talk), (3, verse), (4, texts[4])]
+    assert {r.kept_doc_id for r in out} == {1} and all(texts[1][r.kept_start:].startswith(texts[r.doc_id][r.start:r.end]) for r in out)
+    assert not repeated_units(frame(rows)).collect()
+
+
+def test_whole_units_take_at_least_what_sentences_take(frame):
+    rng = random.Random(8)
+    pool = [" ".join(rng.choice(["één", "two", "Three", "fo-ur", "5"]) for _ in range(rng.randint(1, 7))) for _ in range(30)]
+    rows = [(i, "".join(rng.choice(pool) + rng.choice([". ", "\n", "! ", ".\n", "\n\n", " \n \n"]) for _ in range(rng.randint(0, 9)))) for i in range(150)]
+    rows += [(200 + i, rows[i][1]) for i in range(0, 150, 9)] + [(300, None), (301, "")]
+
+    def places(out):
+        spans = sorted((r.doc_id, r.start, r.end) for r in out)
+        assert all(a[0] != b[0] or a[2] <= b[1] for a, b in zip(spans, spans[1:]))
+        return {(d, k) for d, a, b in spans for k in range(a, b)}
+
+    big = repeated_units(frame(rows), 3, whole=True).collect()
+    assert places(repeated_units(frame(rows), 3).collect()) < places(big)
+    texts, copies = dict(rows), {r.doc_id: r for r in big if r.doc_id >= 200}
+    for i in range(0, 150, 9):
+        if len(re.findall(r"[\wé]+", texts[i])) >= 6:
+            assert texts[200 + i][copies[200 + i].start:copies[200 + i].end] == texts[200 + i].strip()
