@@ -1,12 +1,14 @@
 """Secret scan: candidate strings in text, and a random forest that removes false positives; DataFrame functions only.
 
-Candidates are stretches of at least `MIN_LENGTH` key-like characters with a digit among them.
-Each gets features of five kinds: its length; the transitions between character classes in it;
+Candidates are stretches of at least `MIN_LENGTH` key-like characters with a digit or a change from lower to upper
+case among them, keys with a known prefix (dots included, as in signed tokens), and whatever of at least `SHORT` characters is
+assigned to a credential's name. A name and its value (NAME=value) are separate stretches. Each gets features of five kinds: its length; the transitions between character classes in it;
 how much of it the dictionary covers (the corpus' most frequent words, a table of bounded size);
 whether it is part of a path or an address; and the words beside it. The forest
 is trained on labelled findings, a bounded sample of them, and scores every candidate.
 
-The given tables hold no labelled findings, so the query labels them by a written rule (`label_by_rule`);
+The given tables hold no labelled findings, so the query labels by written evidence (`label_by_rule`), both ways;
+findings without evidence are not taught, only scored.
 `scan` takes any table of labels instead.
 """
 
@@ -21,11 +23,33 @@ from pyspark.sql import functions as F
 from metroflux.llm.common import Scratch
 
 MIN_LENGTH = 16
-KEY = "[A-Za-z0-9+/_=-]"
-CANDIDATE = f"(?<!{KEY})(?=[A-Za-z+/_=-]*[0-9]){KEY}{{{MIN_LENGTH},}}"
+SHORT = 6
+KEY = "[A-Za-z0-9+/_-]"
+PREFIX = "(?:AKIA|ASIA|AIza|gh[pousr]_|github_pat_|glpat-|xox[abeoprs]-|[srp]k-|[srp]k_live_|SG[.]|hf_|npm_|eyJ)"
+NAMES = ["pwd", "token", "secret", "bearer", "passwd", "apikey", "api_key", "api-key", "api key", "password", "passwort", "auth_key",
+         "accesskey", "secretkey", "access_key", "access-key", "access key", "secret_key", "secret-key", "secret key", "passphrase",
+         "credential", "credentials", "private_key", "private-key", "auth"]
+
+
+def _assigned() -> str:
+    """Right after a credential's name, = or :, and what quotes and blanks are there; every lookbehind has a fixed width."""
+    signs = [a + b + "[=:]" + c + d for a in ("", "[\"']") for b in ("", " ") for c in ("", " ") for d in ("", "[\"']")]
+    by_width = {len(x): [y for y in NAMES if len(y) == len(x)] for x in NAMES}
+    behind = "|".join(f"(?<=(?:{'|'.join(names)}){sign})" for names in by_width.values() for sign in signs)
+    return f"(?:(?<=[=:])|(?<=[=:][\"' ])|(?<=[=:] [\"']))(?i:{behind})"
+
+
+_PADDING = "(?:={1,2}(?![A-Za-z0-9+/_=-]))?"
+CANDIDATE = (f"(?:{_assigned()}[^\\s\"'`,;&<>(){{}}\\[\\]]{{{SHORT},}}"
+             f"|(?<![A-Za-z0-9+/_-]){PREFIX}[A-Za-z0-9._+/-]{{15,}}{KEY}{_PADDING}"
+             f"|(?<!{KEY})(?={KEY}{{{MIN_LENGTH}}})(?=[A-Za-z+/_-]*(?:[0-9]|[a-z][A-Z])){KEY}{{{MIN_LENGTH},}}{_PADDING})")
+MAYBE = f"[=:]|[A-Za-z0-9._+/-]{{{MIN_LENGTH}}}"  # every line with a candidate has this
+BESIDE = 200
 CREDENTIAL = "(?i)(token|secret|passw|pwd|api.?key|auth|credential|access.?key|private.?key|bearer)"
+HASH_BEFORE = "(?i)\\b(commit|sha-?[0-9]*|md5|digest|checksum|hash|rev|revision|uuid|guid|isbn|doi)\\W{0,3}$"
 FEATURES = ["f_length", "f_runs", "f_run_share", "f_digit_share", "f_upper_share", "f_lower_share", "f_sign_share",
-            "f_hex", "f_dictionary", "f_slashes", "f_address", "f_credential", "f_assigned", "f_quoted", "f_words_before"]
+            "f_hex", "f_dictionary", "f_slashes", "f_address", "f_credential", "f_assigned", "f_quoted", "f_words_before",
+            "f_distinct", "f_prefix", "f_bearer", "f_hash_before", "f_name"]
 
 
 def _share(pattern: str, of: Column) -> Column:
@@ -33,13 +57,13 @@ def _share(pattern: str, of: Column) -> Column:
 
 
 def candidates(docs: DataFrame) -> DataFrame:
-    """(doc_id, line, start, finding, before, after): every candidate with the rest of its line beside it.
+    """(doc_id, line, start, finding, before, after): every candidate with its line beside it, BESIDE characters each way.
 
     `line` counts from 0, `start` counts the characters of the line before the finding.
     """
     lines = docs.where(F.col("text").isNotNull()).select(
         F.col("doc_id").cast("long").alias("doc_id"), F.posexplode(F.split("text", "\n", -1)).alias("line", "body"))
-    lines = lines.where(F.col("body").rlike(CANDIDATE))
+    lines = lines.where(F.col("body").rlike(MAYBE)).where(F.col("body").rlike(CANDIDATE))
     # the stretches between the findings of a line say where each finding starts
     found = F.regexp_extract_all("body", F.lit(CANDIDATE), F.lit(0))
     gaps = F.split("body", CANDIDATE, -1)
@@ -47,8 +71,10 @@ def candidates(docs: DataFrame) -> DataFrame:
     each = each.select("doc_id", "line", "body", "gaps", F.posexplode("found").alias("i", "finding"), "found")
     start = F.aggregate(F.slice("gaps", 1, F.col("i") + 1), F.lit(0), lambda n, g: n + F.length(g)) + F.aggregate(
         F.slice("found", 1, F.col("i")), F.lit(0), lambda n, g: n + F.length(g))
-    return each.select("doc_id", "line", start.cast("int").alias("start"), "finding",
-                       F.get("gaps", F.col("i")).alias("before"), F.get("gaps", F.col("i") + 1).alias("after"))
+    each = each.select("doc_id", "line", start.cast("int").alias("start"), "finding", "body")
+    head = F.greatest(F.col("start") - BESIDE, F.lit(0))
+    return each.select("doc_id", "line", "start", "finding", F.substring("body", head + 1, F.col("start") - head).alias("before"),
+                       F.substring("body", F.col("start") + F.length("finding") + 1, F.lit(BESIDE)).alias("after"))
 
 
 def dictionary(docs: DataFrame, size: int = 20_000, least: int = 3, longest: int = 32) -> DataFrame:
@@ -79,14 +105,28 @@ def with_features(found: DataFrame, words: DataFrame) -> DataFrame:
         "f_address": tail.rlike("[@:/.]$") | after.rlike("^[@.][A-Za-z0-9]"),
         "f_credential": near.rlike(CREDENTIAL), "f_assigned": before.rlike("[=:]\\s*[\"']?$"),
         "f_quoted": before.rlike("[\"'`]$") & after.rlike("^[\"'`]"),
-        "f_words_before": F.size(F.split(F.trim(near), "\\s+"))})
+        "f_words_before": F.size(F.split(F.trim(near), "\\s+")),
+        "f_distinct": F.size(F.array_distinct(F.split(x, ""))), "f_prefix": x.rlike(f"^{PREFIX}"),
+        "f_bearer": before.rlike("(?i)bearer\\s+$"), "f_hash_before": before.rlike(HASH_BEFORE), "f_name": after.rlike("^ ?=")})
     return out.withColumns({f: F.col(f).cast("double") for f in FEATURES}).drop("covered")
 
 
 def label_by_rule(found: DataFrame) -> DataFrame:
-    """(finding_no, label): 1 for a quoted value assigned to a credential's name, else 0."""
-    positive = (F.col("f_credential") == 1) & (F.col("f_assigned") == 1) & (F.col("f_quoted") == 1)
-    return found.select("finding_no", positive.cast("double").alias("label"))
+    """(finding_no, label): 1 and 0 where there is evidence, else NULL.
+
+    For a secret: a known prefix; a value that mixes character classes and is no dictionary word, assigned to a
+    credential's name, quoted or not; what follows `bearer`. Against one, away from credentials' names: no
+    letters, paths and addresses, hashes named as such, mostly dictionary words, names that are assigned to.
+    """
+    c = {f: F.col(f) for f in FEATURES}
+    mixed = (c["f_runs"] >= 2) & (c["f_distinct"] >= 5) & (c["f_dictionary"] < 0.5) & (c["f_digit_share"] < 1)
+    named = (c["f_credential"] == 1) & (c["f_assigned"] == 1)
+    key = (c["f_prefix"] == 1) & (c["f_distinct"] >= 8)
+    secret = key | (mixed & (named | (c["f_bearer"] == 1)))
+    plain = (c["f_digit_share"] + c["f_sign_share"] >= 1) | (c["f_slashes"] >= 2) | (c["f_address"] == 1) | (
+        c["f_hash_before"] == 1) | (c["f_dictionary"] >= 0.5)
+    label = F.when(c["f_name"] == 1, 0.0).when(secret, 1.0).when(plain & (c["f_credential"] == 0), 0.0)
+    return found.select("finding_no", label.alias("label"))
 
 
 def scan(docs: DataFrame, labels: DataFrame | None = None, train_rows: int = 20_000, trees: int = 20, depth: int = 5,
@@ -95,7 +135,7 @@ def scan(docs: DataFrame, labels: DataFrame | None = None, train_rows: int = 20_
 
     `labels` is (finding_no, label) with finding_no = xxhash64(doc_id, line, start, finding); without it
     `label_by_rule` labels. At most `train_rows` findings, chosen by a hash, train the forest; all are
-    scored. With labels of one kind only, every score is that label; without findings there are no rows. NULL and
+    scored. With labels of one kind only, every score is that label (0 without any); without findings there are no rows. NULL and
     empty texts hold no candidates. Repeated rows give their findings repeatedly.
     """
     scratch = Scratch(docs.sparkSession, "secrets")
@@ -110,7 +150,7 @@ def scan(docs: DataFrame, labels: DataFrame | None = None, train_rows: int = 20_
     span = train.agg(F.min("label").alias("lo"), F.max("label").alias("hi")).first()
     plain = ["doc_id", "line", "start", "finding"]
     if span.lo == span.hi:
-        scored = found.select(*plain, F.lit(span.hi).cast("double").alias("score"))
+        scored = found.select(*plain, F.lit(span.hi or 0.0).cast("double").alias("score"))
     else:
         model = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed).fit(assembler.transform(train))
         out = model.transform(assembler.transform(found.select(*plain, *FEATURES)))

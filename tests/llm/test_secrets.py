@@ -49,3 +49,27 @@ def test_given_labels_rule_and_small_tables(spark, frame):
 def test_no_python_in_the_plan(frame):
     plan = S.scan(frame(rows()))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_secrets_of_other_shapes_are_found(frame):
+    rng = random.Random(6)
+    key = lambda n: "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789") for _ in range(n))
+    data, want, plain = rows(), set(), set()
+    for i in range(40):
+        made = [(f"export AWS_SECRET_ACCESS_KEY={(k := key(20) + '/' + key(19))}", k),
+                (f"see http://host.example/a?user=me&token={(k := 'Z9' + key(28))}&x=1", k),
+                (f'use "{(k := "eyJ" + key(20) + "." + key(30) + "." + key(30))}" here', k),
+                (f"password: {(k := 'hu9' + key(5))}", k),
+                (f"sent with {(k := 'ghp_' + key(36))} to all", k),
+                (f"Authorization: Bearer {(k := 'Q1' + key(30))}", k)]
+        for j, (line, k) in enumerate(made):
+            data.append((1000 + 10 * i + j, line))
+            want.add((1000 + 10 * i + j, k))
+        data.append((3000 + i, f"md5 {key(32).lower()}1 and AB{i}_WITH_A_LONG_NAME_1=on"))
+    # no digit, and no name before it
+    data.append((4000, "key abcdefGHIJKLmnopqrSTUV"))
+    out = S.scan(frame(data)).collect()
+    secret = {(r.doc_id, r.finding) for r in out if r.is_secret}
+    assert want <= secret
+    assert not [x for x in secret if x[0] is not None and 3000 <= x[0] < 4000]
+    assert (4000, "abcdefGHIJKLmnopqrSTUV") in {(r.doc_id, r.finding) for r in out}
