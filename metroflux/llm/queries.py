@@ -33,6 +33,13 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(read_table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
 
+@query
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from metroflux.llm.byte_bpe import encode_digest
+    return encode_digest(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
+                         public_tokenizers.PATTERN)
+
+
 @query
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     from metroflux.llm.language_id import identify
