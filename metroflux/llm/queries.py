@@ -33,6 +33,14 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(read_table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
 
+@query
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row against the manifest; where 2 divides the id's checksum, with the line breaks taken out of its text."""
+    from metroflux.llm.merkle import check_documents
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    return check_documents(read_table(spark, sf_dir, "documents"), tampered, F.replace("text", F.lit("\n"), F.lit("")))
+
+
 @query
 def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from metroflux.llm.byte_bpe import encode_digest
@@ -107,6 +115,70 @@ s as (
 r as (select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank from s)
 select query_id, rank, vec_id, score from r where rank <= 5"""
 
+ORACLE["op11_merkle"] = """
+with recursive crc_table as (
+  select list_transform(range(256), lambda n: list_reduce(range(8), lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, n)) as t
+),
+crc as (
+  select doc_id, xor(4294967295, list_reduce(list_transform(string_split(cast(doc_id as varchar), ''), lambda x: cast(ascii(x) as bigint)),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295)) as c from (select distinct doc_id from documents where doc_id is not null), crc_table
+),
+f as (
+  select doc_id, source, text, (select c from crc where crc.doc_id = d.doc_id) % 2 = 0 as tampered,
+    coalesce(strlen(cast(doc_id as varchar)) || ':' || cast(doc_id as varchar), '-') || coalesce(strlen(source) || ':' || source, '-')
+    || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(cast(n_chars as varchar)) || ':' || cast(n_chars as varchar), '-') as head
+  from documents d
+),
+leaf as (
+  select doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) as d,
+    case when tampered then sha256(head || coalesce(strlen(replace(text, chr(10), '')) || ':' || replace(text, chr(10), ''), '-')) end as other from f
+),
+placed as (select *, row_number() over (partition by source order by doc_id nulls first, d) - 1 as i from leaf),
+node as (
+  select 0 as lv, source, i, d from placed
+  union all
+  select max(lv) + 1, source, i // 3, sha256(string_agg(d, '' order by i))
+  from (select *, count(*) over (partition by source) as n from node) x where n > 1 group by source, i // 3
+),
+subroot as (select source, d, row_number() over (order by source nulls first) - 1 as i from (
+  select *, max(lv) over (partition by source) as top from node) x where lv = top),
+upper as (
+  select 0 as lv, i, d from subroot
+  union all
+  select max(lv) + 1, i // 3, sha256(string_agg(d, '' order by i)) from (select *, count(*) over () as n from upper) x where n > 1 group by i // 3
+),
+run as (  -- siblings of every node: the digests before and after it in its run
+  select lv, source, i, coalesce(string_agg(d, '') over (w rows between unbounded preceding and 1 preceding), '') as before,
+    coalesce(string_agg(d, '') over (w rows between 1 following and unbounded following), '') as after, max(lv) over (partition by source) as top
+  from node window w as (partition by source, lv, i // 3 order by i)
+),
+upper_run as (
+  select lv, i, coalesce(string_agg(d, '') over (w rows between unbounded preceding and 1 preceding), '') as before,
+    coalesce(string_agg(d, '') over (w rows between 1 following and unbounded following), '') as after, max(lv) over () as top
+  from upper window w as (partition by lv, i // 3 order by i)
+),
+step as (  -- lv counts on from the leaf to the root
+  select p.source, p.i, r.lv, r.before, r.after from placed p
+  join run r on r.source is not distinct from p.source and r.i = cast(floor(p.i / pow(3, r.lv)) as bigint) and r.lv < r.top
+  union all
+  select p.source, p.i, s.top + u.lv, u.before, u.after from placed p
+  join (select b.source, b.i, max(n.lv) as top from subroot b join node n on n.source is not distinct from b.source group by 1, 2) s
+    on s.source is not distinct from p.source
+  join upper_run u on u.i = cast(floor(s.i / pow(3, u.lv)) as bigint) and u.lv < u.top
+),
+folded as (
+  select source, i, 0 as lv, coalesce(other, d) as d from placed
+  union all
+  select f.source, f.i, cast(f.lv + 1 as integer), sha256(s.before || f.d || s.after) from folded f
+  join step s on s.source is not distinct from f.source and s.i = f.i and s.lv = f.lv
+),
+proof as (select source, i, sha256(string_agg(before || after, '' order by lv)) as h, count(*) as steps from step group by 1, 2),
+root as (select d from upper order by lv desc limit 1)
+select p.doc_id, p.d as leaf, b.d as subroot, root.d as root, coalesce(h, sha256('')) as proof_sha256, f.d as folded_root, f.d = root.d as verified
+from placed p join subroot b on b.source is not distinct from p.source cross join root
+left join proof on proof.source is not distinct from p.source and proof.i = p.i
+join folded f on f.source is not distinct from p.source and f.i = p.i and f.lv = coalesce(proof.steps, 0)"""
+
 ORACLE["op8_line_dedup"] = """
 with d as (select doc_id, string_split(text, chr(10)) as lines from documents),
 l as (select doc_id, unnest(lines) as line, unnest(range(len(lines))) as i from d),
