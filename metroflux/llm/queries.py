@@ -41,6 +41,15 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return check_documents(read_table(spark, sf_dir, "documents"), tampered, F.replace("text", F.lit("\n"), F.lit("")))
 
 
+@query
+def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth row; where 7 divides the id, the row counts as of the next label."""
+    from metroflux.llm.negatives import mine
+    rows = read_table(spark, sf_dir, "embeddings")
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine(rows.withColumn("label", shifted), every=100, positives=5, negatives=10, low=30, high=90, scale=256)
+
+
 @query
 def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from metroflux.llm.byte_bpe import encode_digest
@@ -179,6 +188,26 @@ from placed p join subroot b on b.source is not distinct from p.source cross joi
 left join proof on proof.source is not distinct from p.source and proof.i = p.i
 join folded f on f.source is not distinct from p.source and f.i = p.i and f.lv = coalesce(proof.steps, 0)"""
 
+ORACLE["op12_negatives"] = """
+with v as (
+  select vec_id, cast(case when vec_id % 7 = 0 then (label + 1) % 10 else label end as bigint) as label,
+    list_transform(embedding, lambda x: floor(256 * cast(x as double))) as w from embeddings
+  where vec_id is not null and label is not null and len(embedding) > 0
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+),
+s as (
+  select a.vec_id as anchor_id, a.label = c.label as same, c.vec_id, cast(list_dot_product(a.w, c.w) as bigint) as score
+  from v a join v c on a.vec_id <> c.vec_id and len(a.w) = len(c.w) where a.vec_id % 100 = 0
+),
+p as (select *, row_number() over (partition by anchor_id order by score desc, vec_id) as i from s where same),
+n as (
+  select p.anchor_id, p.vec_id as positive_id, s.vec_id as negative_id, p.score as positive_score, s.score as negative_score,
+    cast(row_number() over (partition by p.anchor_id, p.vec_id order by s.score desc, s.vec_id) as integer) as rank
+  from p join s on s.anchor_id = p.anchor_id and not s.same and 30 * p.score <= 100 * s.score and 100 * s.score <= 90 * p.score
+  where p.i <= 5
+)
+select anchor_id, positive_id, rank, negative_id, positive_score, negative_score from n where rank <= 10"""
+
 ORACLE["op8_line_dedup"] = """
 with d as (select doc_id, string_split(text, chr(10)) as lines from documents),
 l as (select doc_id, unnest(lines) as line, unnest(range(len(lines))) as i from d),
