@@ -1,8 +1,8 @@
 """Surrogate keys with a portable text form.
 
 The key hashes a canonical text of each part, so any engine that renders the
-same text produces the same key: integers as digits, two-decimal amounts as
-integer hundredths, timestamps as 'yyyy-MM-dd HH:mm:ss.SSSSSS', NULL as a
+same text produces the same key: integers as digits, doubles as whole part and
+fraction (`exact_text`: no digit is cut), decimals as they print, timestamps as 'yyyy-MM-dd HH:mm:ss.SSSSSS', NULL as a
 sentinel, parts joined by a separator.
 """
 
@@ -12,15 +12,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from metroflux.functions.numeric import hundredths
+from metroflux.functions.numeric import exact_text
 from metroflux.schemas import KEY_NULL, KEY_SEPARATOR
 
 
 def key_text(c: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, (T.TimestampNTZType, T.TimestampType)):
         txt = F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")
-    elif isinstance(dtype, (T.DoubleType, T.FloatType, T.DecimalType)):
-        txt = hundredths(c).cast("string")
+    elif isinstance(dtype, (T.DoubleType, T.FloatType)):
+        txt = exact_text(c)
     elif isinstance(dtype, T.DateType):
         txt = F.date_format(c, "yyyy-MM-dd")
     else:

@@ -1,58 +1,140 @@
-"""Exact money and ratio arithmetic.
-
-Trip money and miles are stored as doubles with two decimals. Summing or
-averaging them as doubles gives results that differ in the last bits between
-engines and between partitionings, and rounding a double at a tie (10.015) is
-not reproducible. Everything here goes through DECIMAL so that a result does
-not depend on how Spark splits the data:
-
-* values are read as DECIMAL(18,2) (hundredths; half-up from the double's text),
-* sums stay DECIMAL, averages divide the exact sum by the count with enough
-  scale that the final half-up rounding sees the exact quotient,
-* the result is cast back to DOUBLE at the end.
+"""Order-independent arithmetic on doubles.
+
+A sum of doubles in floating point depends on the order of its terms, and so on how Spark splits the data. Here a
+double is cut into LIMBS: whole numbers of 24 bits that weigh 2^21, 2^-3, 2^-27, 2^-51 and 2^-75. The cut is exact (the
+remainder of a division by a power of two always is), limbs are summed as integers, and integer sums merge in any order
+to the same result. Only the finished total becomes a double, rounded once. Nothing is rounded or cut before that: a value takes part
+with all its bits.
+
+Range: values below 2^45 in size, and groups of up to 2^39 rows, are exact to 2^-75 (about 2.6e-23). What lies outside (larger
+values, infinities, NaN, bits below 2^-75) is kept in a sixth term, a plain double, and added last; a limb sum that
+leaves 64 bits is an error, not a wrong number.
+
+Averages divide the total by the count, and `round` halves away from zero at the shortest decimal text of the double. A sum
+can also be kept unfinished: `state` gives its columns, `merge` adds up such columns, and
+`total` or `mean` finish them, so a table of states answers any coarser grouping exactly.
 """
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY = "decimal(18,2)"
-# sum buffer with 20 integer digits: the quotient by a bigint count keeps 18
-# decimals, far more than any half-up tie test needs
-SUM = "decimal(22,2)"
+LIMBS = (21, -3, -27, -51, -75)  # binary weight of each limb, 24 bits apart
+_LARGEST = 2.0 ** 45
 
 
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def hundredths(c) -> Column:
-    """A two-decimal amount as an exact integer number of hundredths."""
-    return (_c(c).cast(MONEY) * 100).cast("bigint")
+def _two(power: int) -> Column:
+    return F.lit(2.0 ** power)
+
+
+def _whole(power: int) -> Column:
+    return F.lit(Decimal(2 ** power))
+
+
+# --- exact sums -------------------------------------------------------------------------
+
+def limbs(c) -> list[Column]:
+    """The limbs of a double as integers, and what they cannot hold as a double."""
+    x = _c(c).cast("double")
+    fits = F.abs(x) < _LARGEST
+    inside = F.when(fits, x)
+    out = []
+    for above, weight in zip((None, *LIMBS), LIMBS, strict=False):
+        part = inside if above is None else inside % _two(above)
+        out.append((part * _two(-weight)).cast("bigint"))
+    return [*out, F.when(fits, x % _two(LIMBS[-1])).otherwise(x)]
+
+
+def _finish(sums: list[Column]) -> Column:
+    """The double nearest to the total of limb sums, plus the rest."""
+    *parts, rest = sums
+    a, b, c, d, e = (p.cast("decimal(38,0)") for p in parts)
+    high = a * _whole(48) + b * _whole(24) + c  # in units of 2^-27
+    low = d * _whole(24) + e  # in units of 2^-75, of either sign and with carries
+    low_part = F.pmod(low, _whole(48))
+    high = high + F.call_function("div", low - low_part, _whole(48))
+    near = (high * _whole(48) + low_part).cast("double") * _two(-75)
+    # beyond 62 bits the low part only tells which way a tie falls: one bit of it is enough
+    far = (high * _whole(1) + F.when(low_part > 0, 1).otherwise(0)).cast("double") * _two(-28)
+    finite = F.when(F.abs(high) < _whole(62), near).otherwise(far)
+    # where no row fits (all infinite or NaN) there are no limbs, only the rest
+    return F.coalesce(finite + rest, rest)
+
+
+def exact_sum(c) -> Column:
+    """Aggregate: the sum of doubles, rounded once, whatever the order and the partitions; NULL without values."""
+    return _finish([F.sum(p) for p in limbs(c)])
+
+
+def exact_mean(c) -> Column:
+    """Aggregate: `exact_sum` divided by the number of values."""
+    return F.try_divide(exact_sum(c), F.count(_c(c)))
+
 
+def state(c, name: str) -> list[Column]:
+    """Aggregates: the columns {name}_0 ... {name}_rest and {name}_n of an unfinished sum."""
+    return [F.sum(p).alias(s) for p, s in zip(limbs(c), _state_names(name), strict=True)] + [F.count(_c(c)).alias(f"{name}_n")]
 
-def money(c) -> Column:
-    return _c(c).cast(MONEY)
 
+def merge(name: str) -> list[Column]:
+    """Aggregates: the same columns over rows that hold unfinished sums."""
+    return [F.sum(s).alias(s) for s in (*_state_names(name), f"{name}_n")]
 
-def money_sum(c) -> Column:
-    """Exact sum of two-decimal amounts, as DOUBLE."""
-    return F.sum(money(c)).cast("double")
 
+def total(name: str) -> Column:
+    """The sum that the columns of a state hold."""
+    return _finish([F.col(s) for s in _state_names(name)])
+
+
+def mean(name: str) -> Column:
+    """The average that the columns of a state hold; NULL without values."""
+    return F.try_divide(total(name), F.nullif(F.col(f"{name}_n"), F.lit(0)))
+
+
+def _state_names(name: str) -> list[str]:
+    return [*(f"{name}_{i}" for i in range(len(LIMBS))), f"{name}_rest"]
+
+
+# --- rounded results ------------------------------------------------------------------------
 
 def mean_rounded(c, places: int) -> Column:
-    """round(avg(c), places) computed exactly over two-decimal values, as DOUBLE."""
-    total = F.sum(money(c)).cast(SUM)
-    return F.round(total / F.count(_c(c)), places).cast("double")
+    """Aggregate: round(avg(c), places) of raw doubles."""
+    return F.round(exact_mean(c), places)
+
+
+def mean_rounded_int(c, places: int) -> Column:
+    """Aggregate: round(avg(c), places) of whole numbers, whose sum is exact as it is."""
+    return F.round(F.try_divide(F.sum(_c(c)).cast("double"), F.count(_c(c))), places)
 
 
 def ratio_rounded(num, den, places: int, scale_by: int = 1) -> Column:
-    """round(num / den * scale_by, places) exactly; NULL when den is 0 or NULL."""
-    # DECIMAL(20,2) / DECIMAL(18,2) keeps 18 decimals before the final rounding
-    n = (money(num) * F.lit(scale_by).cast("decimal(10,0)")).cast("decimal(20,2)")
-    d = _c(den).cast(MONEY)
-    return F.round(F.try_divide(n, F.nullif(d, F.lit(0).cast(MONEY))), places).cast("double")
+    """round(num / den * scale_by, places); NULL when den is 0 or NULL."""
+    quotient = F.try_divide(_c(num).cast("double"), F.nullif(_c(den).cast("double"), F.lit(0.0)))
+    return F.round(quotient * F.lit(float(scale_by)), places)
+
+
+def difference(a: Column, b: Column, places: int) -> Column:
+    """a - b of doubles that are already rounded to `places`, without the noise of binary subtraction."""
+    kind = f"decimal(22,{places})"
+    return (a.cast(kind) - b.cast(kind)).cast("double")
+
+
+def hundredths(c) -> Column:
+    """An amount as an integer number of hundredths: c * 100, halves away from zero."""
+    return F.round(_c(c).cast("double") * 100, 0).cast("bigint")
+
+
+def exact_text(c) -> Column:
+    """A text that two doubles share only if they agree to 2^-60: whole part and signed fraction in units of 2^-60."""
+    x = _c(c).cast("double")
+    return F.concat(x.try_cast("bigint").cast("string"), F.lit(":"), ((x % 1.0) * _two(60)).try_cast("bigint").cast("string"))
 
 
 def round1_exact(c) -> Column:
@@ -60,13 +142,6 @@ def round1_exact(c) -> Column:
     return F.round(_c(c).cast("decimal(22,4)"), 1).cast("double")
 
 
-def mean_rounded_dec(c, places: int, where: Column | None = None) -> Column:
-    """round(avg(c), places) as DECIMAL, optionally over rows where `where` holds."""
-    v = money(c) if where is None else F.when(where, money(c))
-    n = F.count(v)
-    return F.round(F.sum(v).cast(SUM) / n, places)
-
-
 def share_pct(part, whole, places: int = 2) -> Column:
     """round(part * 100 / whole, places) for integer counts, exactly, as DOUBLE."""
     p = (_c(part).cast("decimal(20,0)") * 100).cast("decimal(22,0)")

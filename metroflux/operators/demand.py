@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from metroflux.functions.numeric import mean_rounded, money_sum
+from metroflux.functions.numeric import exact_sum, mean_rounded, mean_rounded_int
 
 DEMAND_KEYS = [
     "pickup_date", "pickup_hour", "pickup_location_id", "is_weekend", "time_of_day",
@@ -22,11 +22,11 @@ def demand_measures() -> list:
         F.count(F.lit(1)).alias("trip_count"),
         mean_rounded("fare_amount", 2).alias("avg_fare"),
         mean_rounded("total_amount", 2).alias("avg_total_amount"),
-        mean_rounded("trip_duration_minutes", 1).alias("avg_duration_minutes"),
+        mean_rounded_int("trip_duration_minutes", 1).alias("avg_duration_minutes"),
         mean_rounded("trip_distance_miles", 2).alias("avg_distance_miles"),
         mean_rounded("tip_percentage", 2).alias("avg_tip_percentage"),
         mean_rounded("avg_speed_mph", 2).alias("avg_speed_mph"),
-        money_sum("fare_amount").alias("total_fare_revenue"),
+        exact_sum("fare_amount").alias("total_fare_revenue"),
         F.count_if(F.col("is_peak_hour")).alias("peak_hour_trips"),
         F.count_if(F.col("is_snow_trip")).alias("snow_trip_count"),
         F.count_if(F.col("is_rain_trip")).alias("rain_trip_count"),
@@ -51,5 +51,5 @@ def demand_basic(trips: DataFrame) -> DataFrame:
     return trips.groupBy(*BASIC_KEYS).agg(
         F.count(F.lit(1)).alias("trip_count"),
         mean_rounded("fare_amount", 2).alias("avg_fare"),
-        money_sum("fare_amount").alias("total_fare_revenue"),
+        exact_sum("fare_amount").alias("total_fare_revenue"),
     )

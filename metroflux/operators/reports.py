@@ -1,7 +1,7 @@
 """Report queries over the trip fact and the zone-hour impact table.
 
 Each report is one aggregation (partial + final hash aggregate); no report
-collects rows to the driver. Averages and shares use exact decimal math.
+collects rows to the driver. Sums and averages are those of raw doubles, exact in any order.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from metroflux.functions.classify import fare_band
-from metroflux.functions.numeric import mean_rounded, mean_rounded_dec, money, money_sum, share_pct
+from metroflux.functions.numeric import difference, exact_mean, exact_sum, mean_rounded, mean_rounded_int, share_pct
 from metroflux.schemas import FARE_BAND_EDGES, TRIP_BOUNDS
 
 FLAG = "has_subway_disruption"
@@ -19,10 +19,10 @@ FLAG = "has_subway_disruption"
 def kpi_measures() -> list[Column]:
     return [
         F.count(F.lit(1)).alias("total_trips"),
-        money_sum("total_amount").alias("total_revenue"),
+        exact_sum("total_amount").alias("total_revenue"),
         mean_rounded("fare_amount", 2).alias("avg_fare"),
         mean_rounded("avg_speed_mph", 1).alias("avg_speed_mph"),
-        mean_rounded("trip_duration_minutes", 2).alias("avg_duration_minutes"),
+        mean_rounded_int("trip_duration_minutes", 2).alias("avg_duration_minutes"),
         F.count_if(F.col(FLAG)).alias("disruption_trips"),
     ]
 
@@ -54,14 +54,14 @@ def trips_by_tod(fact: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("trips"),
         mean_rounded("fare_amount", 2).alias("avg_fare"),
         mean_rounded("avg_speed_mph", 1).alias("avg_speed_mph"),
-        mean_rounded("trip_duration_minutes", 1).alias("avg_duration_minutes"))
+        mean_rounded_int("trip_duration_minutes", 1).alias("avg_duration_minutes"))
 
 
 def monthly_volume(fact: DataFrame) -> DataFrame:
     """Per pickup month and disruption status: trips, revenue, average fare."""
     return fact.groupBy(F.trunc("pickup_date", "month").alias("month_start"), "analysis_month", FLAG).agg(
         F.count(F.lit(1)).alias("trips"),
-        money_sum("total_amount").alias("revenue"),
+        exact_sum("total_amount").alias("revenue"),
         mean_rounded("fare_amount", 2).alias("avg_fare"))
 
 
@@ -107,10 +107,9 @@ def outlier_counts(trips: DataFrame, bounds: dict | None = None) -> DataFrame:
 def negative_adjustments(fact: DataFrame) -> DataFrame:
     """Trips whose total is below the fare: count, average gap, smallest total."""
     neg = fact.where(F.col("total_amount") < F.col("fare_amount"))
-    gap = money("fare_amount") - money("total_amount")
     return neg.agg(
         F.count(F.lit(1)).alias("trips"),
-        F.round(F.sum(gap).cast("decimal(22,2)") / F.count(F.lit(1)), 2).cast("double").alias("avg_gap"),
+        mean_rounded(F.col("fare_amount") - F.col("total_amount"), 2).alias("avg_gap"),
         F.min("total_amount").alias("min_total_amount"))
 
 
@@ -149,7 +148,7 @@ def holiday_split(fact: DataFrame) -> DataFrame:
     """Holiday window against the rest: trips, revenue, average fare."""
     return fact.groupBy("is_holiday_period").agg(
         F.count(F.lit(1)).alias("trips"),
-        money_sum("total_amount").alias("revenue"),
+        exact_sum("total_amount").alias("revenue"),
         mean_rounded("fare_amount", 2).alias("avg_fare"))
 
 
@@ -159,7 +158,7 @@ def disruption_gap(fact: DataFrame) -> DataFrame:
     out = []
     for c, name, places in [("fare_amount", "fare", 2), ("avg_speed_mph", "speed_mph", 2),
                             ("trip_duration_minutes", "duration_minutes", 2)]:
-        out.append((mean_rounded_dec(c, places, d) - mean_rounded_dec(c, places, n))
-                   .cast("double").alias(f"{name}_gap"))
+        of = lambda rows: F.round(exact_mean(F.when(rows, F.col(c))), places)  # noqa: E731, B023
+        out.append(difference(of(d), of(n), places).alias(f"{name}_gap"))
     return fact.groupBy("time_of_day").agg(
         F.count_if(d).alias("disrupted_trips"), F.count_if(n).alias("normal_trips"), *out)

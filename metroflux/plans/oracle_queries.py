@@ -51,14 +51,12 @@ select trip_id, pickup_datetime, weather_severity from fact_trips where weather_
 
 sql("dq_amount", o.with_models("fact_trips") + f"""
 select trip_id, fare_amount, total_amount,
-  cast(({o.cents('fare_amount')} - {o.cents('total_amount')}) as double) / 100 as adjustment_amount
+  {o.half_up('(fare_amount - total_amount)', 2)} as adjustment_amount
 from fact_trips where total_amount < fare_amount""")
 
 sql("dq_speed", o.with_models("fact_trips") + f"""
 select trip_id, trip_distance_miles, trip_duration_minutes,
-  case when trip_duration_minutes = 0 then null
-       else cast({o.rha(f"6 * {o.cents('trip_distance_miles')}", 'trip_duration_minutes')} as double) / 10
-  end as implied_speed_mph
+  {o.half_up('(trip_distance_miles / nullif(cast(trip_duration_minutes as double), 0) * 60)', 1)} as implied_speed_mph
 from fact_trips where trip_distance_miles > 100 and trip_duration_minutes < 30""")
 
 sql("batch_stats", o.with_models("trips_raw") + """
@@ -84,9 +82,9 @@ _F = o.with_models("fact_trips")
 
 def _kpi_select(where: str = "") -> str:
     return f"""
-select count(*) as total_trips, {o.money_sum('total_amount')} as total_revenue,
+select count(*) as total_trips, {o.exact_sum('total_amount')} as total_revenue,
   {o.avg_round('fare_amount', 2)} as avg_fare, {o.avg_round('avg_speed_mph', 1)} as avg_speed_mph,
-  {o.avg_round('trip_duration_minutes', 2, integral=True)} as avg_duration_minutes,
+  {o.avg_round('trip_duration_minutes', 2)} as avg_duration_minutes,
   count(*) filter (where has_subway_disruption) as disruption_trips
 from fact_trips {where}"""
 
@@ -109,12 +107,12 @@ from fact_trips group by time_of_day, has_subway_disruption""")
 sql("trips_by_tod", _F + f"""
 select time_of_day, has_subway_disruption, count(*) as trips, {o.avg_round('fare_amount', 2)} as avg_fare,
   {o.avg_round('avg_speed_mph', 1)} as avg_speed_mph,
-  {o.avg_round('trip_duration_minutes', 1, integral=True)} as avg_duration_minutes
+  {o.avg_round('trip_duration_minutes', 1)} as avg_duration_minutes
 from fact_trips group by time_of_day, has_subway_disruption""")
 
 sql("monthly_volume", _F + f"""
 select cast(date_trunc('month', pickup_date) as date) as month_start, analysis_month, has_subway_disruption,
-  count(*) as trips, {o.money_sum('total_amount')} as revenue, {o.avg_round('fare_amount', 2)} as avg_fare
+  count(*) as trips, {o.exact_sum('total_amount')} as revenue, {o.avg_round('fare_amount', 2)} as avg_fare
 from fact_trips group by 1, 2, 3""")
 
 _UNFILTERED = o.with_models("trips_raw", extra=[o.STG_TRIPS.replace("stg_trips as (", "unfiltered as (", 1)
@@ -142,7 +140,7 @@ from unfiltered""")
 
 sql("negative_adjust", _F + f"""
 select count(*) as trips,
-  cast({o.rha(f"sum({o.cents('fare_amount')} - {o.cents('total_amount')})", 'count(*)')} as double) / 100 as avg_gap,
+  {o.avg_round('fare_amount - total_amount', 2)} as avg_gap,
   min(total_amount) as min_total_amount
 from fact_trips where total_amount < fare_amount""")
 
@@ -170,22 +168,15 @@ from (select (select count(*) from stg_trips) as trip_rows,
              (select count(*) from demand_zone_hour) as zone_hour_rows) c""")
 
 sql("holiday", _F + f"""
-select is_holiday_period, count(*) as trips, {o.money_sum('total_amount')} as revenue,
+select is_holiday_period, count(*) as trips, {o.exact_sum('total_amount')} as revenue,
   {o.avg_round('fare_amount', 2)} as avg_fare
 from fact_trips group by is_holiday_period""")
 
 
-def _cond_avg_k(x: str, cond: str, integral: bool = False) -> str:
-    """half-away rounded conditional mean in hundredths (integer)."""
-    v = f"100 * {x}" if integral else o.cents(x)
-    return o.rha(f"sum(case when {cond} then {v} end)", f"count(case when {cond} then {x} end)")
-
-
 _gaps = []
-for _c, _n, _i in [("fare_amount", "fare", False), ("avg_speed_mph", "speed_mph", False),
-                   ("trip_duration_minutes", "duration_minutes", True)]:
-    _gaps.append(f"cast({_cond_avg_k(_c, 'has_subway_disruption', _i)} - "
-                 f"{_cond_avg_k(_c, 'not has_subway_disruption', _i)} as double) / 100 as {_n}_gap")
+for _c, _n in [("fare_amount", "fare"), ("avg_speed_mph", "speed_mph"), ("trip_duration_minutes", "duration_minutes")]:
+    _of = [f"cast({o.avg_round(_c, 2, f' filter (where {w})')} as decimal(22,2))" for w in ("has_subway_disruption", "not has_subway_disruption")]
+    _gaps.append(f"cast({_of[0]} - {_of[1]} as double) as {_n}_gap")
 
 sql("disruption_gap", _F + f"""
 select time_of_day, count(*) filter (where has_subway_disruption) as disrupted_trips,

@@ -22,7 +22,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def trips_raw(events: DataFrame) -> DataFrame:
     """One trip per event, a second copy of every 49th, and of some a trip a month later, a month earlier, or long ago.
 
-    A third of all trips starts in one zone, most others in four, some in zones that the registry lacks.
+    A third of all trips starts in one zone, most others in four, some in zones that the registry lacks. Miles have two,
+    three or five decimals.
     """
     i = F.col("event_id")
     e = events.select("event_id", "ts", "value")
@@ -36,7 +37,8 @@ def trips_raw(events: DataFrame) -> DataFrame:
         F.col("ts").alias("tpep_pickup_datetime"),
         F.timestamp_add("SECOND", i * 37 % 7200 - 600, F.col("ts")).alias("tpep_dropoff_datetime"),
         F.when(i % 89 == 0, F.lit(None)).otherwise(1 + i % 6).cast("bigint").alias("passenger_count"),
-        ((i * 31 % 4500).cast("double") / 100).alias("trip_distance"),
+        ((i * 31 % 4500).cast("double") / 100 + F.when(i % 7 == 0, (i % 997).cast("double") / 100000)
+         .when(i % 7 == 1, (i % 9).cast("double") / 1000).otherwise(0.0)).alias("trip_distance"),
         (1 + i % 4).cast("bigint").alias("RatecodeID"),
         F.lit("N").alias("store_and_fwd_flag"),
         pickup.cast("bigint").alias("PULocationID"),
