@@ -1,14 +1,13 @@
 """Order-independent arithmetic on doubles.
 
 A sum of doubles in floating point depends on the order of its terms, and so on how Spark splits the data. Here a
-double is cut into LIMBS: whole numbers of 24 bits that weigh 2^21, 2^-3, 2^-27, 2^-51 and 2^-75. The cut is exact (the
-remainder of a division by a power of two always is), limbs are summed as integers, and integer sums merge in any order
-to the same result. Only the finished total becomes a double, rounded once. Nothing is rounded or cut before that: a value takes part
-with all its bits.
+double is cut into its whole part and three LIMBS of its fraction, whole numbers of 25 bits each. The cut is exact, limbs are
+summed as integers, and integer sums merge in any order to the same result. Only the finished total becomes a
+double, rounded once. Nothing is rounded or cut before that: a value takes part with all its bits.
 
-Range: values below 2^45 in size, and groups of up to 2^39 rows, are exact to 2^-75 (about 2.6e-23). What lies outside (larger
-values, infinities, NaN, bits below 2^-75) is kept in a sixth term, a plain double, and added last; a limb sum that
-leaves 64 bits is an error, not a wrong number.
+Range: fractions are exact to 2^-75 (about 2.6e-23) in groups of up to 2^38 rows, wholes as long as their sum stays below 2^63; a sum
+that leaves 64 bits is an error, not a wrong number. (A total of 2^50 or more may be rounded twice.) What lies outside, values
+of 2^62 or more, infinities, NaN and bits below 2^-75, is kept in one more term, a plain double, and added last.
 
 Averages divide the total by the count, and `round` halves away from zero at the shortest decimal text of the double. A sum
 can also be kept unfinished: `state` gives its columns, `merge` adds up such columns, and
@@ -22,8 +21,8 @@ from decimal import Decimal
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-LIMBS = (21, -3, -27, -51, -75)  # binary weight of each limb, 24 bits apart
-_LARGEST = 2.0 ** 45
+LIMBS, BITS = 3, 25
+_LARGEST = 2.0 ** 62
 
 
 def _c(c) -> Column:
@@ -34,38 +33,31 @@ def _two(power: int) -> Column:
     return F.lit(2.0 ** power)
 
 
-def _whole(power: int) -> Column:
-    return F.lit(Decimal(2 ** power))
-
-
 # --- exact sums -------------------------------------------------------------------------
 
 def limbs(c) -> list[Column]:
-    """The limbs of a double as integers, and what they cannot hold as a double."""
+    """A double as integers (its whole part, the limbs of its fraction) and, as a double, what they cannot hold."""
     x = _c(c).cast("double")
     fits = F.abs(x) < _LARGEST
-    inside = F.when(fits, x)
-    out = []
-    for above, weight in zip((None, *LIMBS), LIMBS, strict=False):
-        part = inside if above is None else inside % _two(above)
-        out.append((part * _two(-weight)).cast("bigint"))
-    return [*out, F.when(fits, x % _two(LIMBS[-1])).otherwise(x)]
+    left = F.when(fits, x)
+    out = [left.cast("bigint")]
+    for _ in range(LIMBS):  # no step repeats the one before it, so the expression stays small
+        left = (left % 1.0) * _two(BITS)
+        out.append(left.cast("bigint"))
+    return [*out, F.when(fits, (left % 1.0) * _two(-BITS * LIMBS)).otherwise(x)]
 
 
 def _finish(sums: list[Column]) -> Column:
     """The double nearest to the total of limb sums, plus the rest."""
-    *parts, rest = sums
-    a, b, c, d, e = (p.cast("decimal(38,0)") for p in parts)
-    high = a * _whole(48) + b * _whole(24) + c  # in units of 2^-27
-    low = d * _whole(24) + e  # in units of 2^-75, of either sign and with carries
-    low_part = F.pmod(low, _whole(48))
-    high = high + F.call_function("div", low - low_part, _whole(48))
-    near = (high * _whole(48) + low_part).cast("double") * _two(-75)
-    # beyond 62 bits the low part only tells which way a tie falls: one bit of it is enough
-    far = (high * _whole(1) + F.when(low_part > 0, 1).otherwise(0)).cast("double") * _two(-28)
-    finite = F.when(F.abs(high) < _whole(62), near).otherwise(far)
+    whole, *parts, rest = (s if i > LIMBS else s.cast("decimal(38,0)") for i, s in enumerate(sums))
+    fraction = None
+    for p in parts:  # in units of 2^-75, of either sign and with carries
+        fraction = p if fraction is None else fraction * F.lit(Decimal(2 ** BITS)) + p
+    small = (whole * F.lit(Decimal(2 ** (BITS * LIMBS))) + fraction).cast("double") * _two(-BITS * LIMBS)
+    large = whole.cast("double") + fraction.cast("double") * _two(-BITS * LIMBS)
+    total = F.when(F.abs(whole) < Decimal(2 ** 50), small).otherwise(large)
     # where no row fits (all infinite or NaN) there are no limbs, only the rest
-    return F.coalesce(finite + rest, rest)
+    return F.coalesce(total + rest, rest)
 
 
 def exact_sum(c) -> Column:
@@ -99,7 +91,7 @@ def mean(name: str) -> Column:
 
 
 def _state_names(name: str) -> list[str]:
-    return [*(f"{name}_{i}" for i in range(len(LIMBS))), f"{name}_rest"]
+    return [*(f"{name}_{i}" for i in range(LIMBS + 1)), f"{name}_rest"]
 
 
 # --- rounded results ------------------------------------------------------------------------

@@ -19,7 +19,8 @@ CASES = {
     "cancelling": [1e13, 0.1, -1e13, 1e-9, -0.1, 3e12, -3e12] * 5,
     "tenths": [0.1] * 1000,
     "mixed signs": [(-1) ** i * random.Random(i).uniform(0, 10 ** random.Random(i).randint(-6, 12)) for i in range(500)],
-    "large": [2.0 ** 45 - 1, -(2.0 ** 44) + 0.5, 2.0 ** 44 + 2.0 ** -8] * 40,
+    "large": [2.0 ** 44 - 1, -(2.0 ** 43) + 0.5, 2.0 ** 43 + 2.0 ** -8] * 40,
+    "beyond 2^50": [2.0 ** 60, 2.0 ** 52 + 1, -3.5],
     "ties": [2.0 ** 44, 2.0 ** -9, 2.0 ** -70],
     "negative": [-0.1, -0.2, -1e-20, -7.25],
     "one": [-0.3],
