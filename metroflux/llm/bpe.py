@@ -20,18 +20,19 @@ import re
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
+from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from metroflux.llm.common import text_slices
+from metroflux.llm.common import text_slices, tidy
 
 # Characters below this need no table of the library: Python's own case and letter data agree with it there.
 _PLAIN_END = 0x180
+MEMO_BYTES = 48 << 20  # what a task remembers of pre-tokens
 _LONG = 64  # symbols from which a fragment is merged with a heap
 
 
@@ -48,23 +49,28 @@ def _char_class(kind: str) -> str:
 
 
 class Memo(dict):
-    """A dict that computes what is missing and starts anew when it holds `limit` entries."""
+    """A dict that computes what is missing and starts anew when its entries take `limit` bytes (about)."""
+
+    ENTRY = 250  # bytes of an entry besides the characters of its key and the items of its value
 
     def __init__(self, compute, limit: int):
         super().__init__()
-        self._compute, self._limit = compute, limit
+        self._compute, self._limit, self._held = compute, limit, 0
 
     def __missing__(self, key):
         value = self._compute(key)
-        if len(self) >= self._limit:
-            self.clear()
-        if len(key) <= 256:  # a long key would make the memory of `limit` entries unbounded
+        if len(key) <= 256:  # a longer one seldom comes back
+            size = self.ENTRY + len(key) + 8 * len(value)
+            if self._held + size > self._limit:
+                self.clear()
+                self._held = 0
             self[key] = value
+            self._held += size
         return value
 
 
 class BpeEncoder:
-    def __init__(self, path: str, memo_entries: int = 100_000):
+    def __init__(self, path: str, memo_bytes: int = 16 << 20):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]
@@ -91,7 +97,7 @@ class BpeEncoder:
         self._beyond = re.compile(f"[^\\x00-įı-{chr(_PLAIN_END - 1)}]")
         self._specials = re.compile("|".join(map(re.escape, self.special))) if self.special else None
         self._library = None
-        self.fragments = Memo(self._merge_fragment, memo_entries)
+        self.fragments = Memo(self._merge_fragment, memo_bytes)
 
     # --- text to pre-tokens ---------------------------------------------------------
     def pretokens(self, text: str) -> list[str]:
@@ -189,33 +195,64 @@ class BpeEncoder:
         return " ".join([self.token_of[i] for i in ids])
 
 
-@lru_cache(maxsize=4)
+@lru_cache(maxsize=1)
 def encoder(path: str) -> BpeEncoder:
-    """One encoder per worker process and vocabulary."""
+    """The encoder of a worker process; another vocabulary replaces it."""
     return BpeEncoder(path)
 
 
-def _encode_batches(path: str, text_at: int, memo_entries: int):
+class _Packer:
+    """Packed ids of whole texts, with a memo over pre-tokens that lives as long as the task."""
+
+    def __init__(self, path: str, memo_bytes: int):
+        self.enc = enc = encoder(path)
+        self._known = Memo(lambda p: np.array(enc.encode_pretoken(p), np.int32).tobytes(), memo_bytes).__getitem__
+        self._specials = {i: np.array([i], np.int32).tobytes() for i in enc.special.values()}
+
+    def __call__(self, text: str | None) -> bytes:
+        return b"".join([self._specials[special] if special is not None else b"".join(map(self._known, self.enc.pretokens(piece)))
+                         for piece, special in self.enc.parts(text)]) if text else b""
+
+
+def _forget() -> None:
+    encoder.cache_clear()
+
+
+def _encode_batches(path: str, text_at: int, memo_bytes: int):
+    @tidy(_forget)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(path)
-        memo = Memo(lambda p: np.array(enc.encode_pretoken(p), np.int32).tobytes(), memo_entries)
-        known = memo.__getitem__
-        specials = {i: np.array([i], np.int32).tobytes() for i in enc.special.values()}
+        pack = _Packer(path, memo_bytes)
         for batch in batches:
             for a, b in text_slices(batch.column(text_at), 2 << 20):
                 part = batch.slice(a, b - a)
-                values = []
-                for text in part.column(text_at).to_pylist():
-                    packed = [specials[special] if special is not None else b"".join(map(known, enc.pretokens(piece)))
-                              for piece, special in enc.parts(text)] if text else ()
-                    values.append(b"".join(packed))
+                values = [pack(text) for text in part.column(text_at).to_pylist()]
                 offsets = np.concatenate([[0], np.cumsum([len(v) // 4 for v in values])]).astype(np.int32)
                 ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(values), np.int32)))
                 yield pa.RecordBatch.from_arrays([*part.columns, ids], names=[*part.schema.names, "ids"])
     return run
 
 
+def _digest_batches(path: str, memo_bytes: int):
+    """Encode, decode and hash in one pass, a text at a time: neither ids nor decoded texts leave the task."""
+    @tidy(_forget)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = _Packer(path, memo_bytes)
+        enc = pack.enc
+        for batch in batches:
+            sizes, id_digests, text_digests = [], [], []
+            for text in batch.column(1):
+                ids = np.frombuffer(pack(text.as_py()), np.int32).tolist()
+                sizes.append(len(ids))
+                id_digests.append(sha256(" ".join(map(str, ids)).encode()).hexdigest())
+                text_digests.append(sha256(enc.decode(ids).encode()).hexdigest())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(id_digests, pa.string()), pa.array(text_digests, pa.string())],
+                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+    return run
+
+
 def _decode_batches(path: str, ids_at: int, name: str):
+    @tidy(_forget)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
         tokens = pa.array([enc.token_of.get(i) for i in range(max(enc.token_of) + 1)], pa.string())
@@ -232,7 +269,7 @@ def _decode_batches(path: str, ids_at: int, name: str):
     return run
 
 
-def encode(df: DataFrame, path: str, text: str = "text", memo_entries: int = 500_000) -> DataFrame:
+def encode(df: DataFrame, path: str, text: str = "text", memo_bytes: int = MEMO_BYTES) -> DataFrame:
     """`df` with a column `ids`: the token ids of every whole text.
 
     NULL and empty texts have no ids. Special strings inside a text become
@@ -242,7 +279,7 @@ def encode(df: DataFrame, path: str, text: str = "text", memo_entries: int = 500
     """
     df = df.drop("ids")
     schema = T.StructType([*df.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType()))])
-    return df.mapInArrow(_encode_batches(path, df.columns.index(text), memo_entries), schema)
+    return df.mapInArrow(_encode_batches(path, df.columns.index(text), memo_bytes), schema)
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", name: str = "decoded") -> DataFrame:
@@ -252,13 +289,11 @@ def decode(df: DataFrame, path: str, ids: str = "ids", name: str = "decoded") ->
     return df.mapInArrow(_decode_batches(path, df.columns.index(ids), name), schema)
 
 
-def encode_digest(docs: DataFrame, path: str) -> DataFrame:
-    """Per row of `docs`: doc_id, n_tokens, and SHA-256 of the ids and of the text they decode to."""
-    ids = encode(docs.select("doc_id", "text"), path).drop("text")
-    both = decode(ids, path)
-    return both.select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
-        F.sha2(F.col("decoded"), 256).alias("decoded_sha256"),
-    )
+def encode_digest(docs: DataFrame, path: str, memo_bytes: int = MEMO_BYTES) -> DataFrame:
+    """Per row of `docs`: doc_id, n_tokens, and SHA-256 of the ids and of the text they decode to.
+
+    NULL texts count as empty. Texts of any length are read whole, one at a time. Repeated rows and ids are rows
+    of their own; an empty table gives no rows. Other columns are not read.
+    """
+    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text").mapInArrow(
+        _digest_batches(path, memo_bytes), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

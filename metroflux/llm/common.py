@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -76,6 +78,29 @@ def prune_by_ids(df: DataFrame, col: str, ids: DataFrame, id_col: str) -> DataFr
     return may_hold(df, col, id_bitmap(ids, id_col), "__may").where("__may").drop("__may")
 
 
+# --- Python workers ------------------------------------------------------------------
+
+def tidy(*caches: Callable[[], None]):
+    """Decorator of a batch function: at the end of its task the caches are cleared and freed memory goes back.
+
+    Python workers outlive their tasks and serve the stages that follow, so what a stage leaves adds up.
+    """
+    def wrap(run):
+        @functools.wraps(run)
+        def inner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            try:
+                yield from run(batches)
+            finally:
+                for clear in caches:
+                    clear()
+                pa.default_memory_pool().release_unused()
+                trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+                if trim is not None:
+                    trim(0)
+        return inner
+    return wrap
+
+
 # --- Arrow text -------------------------------------------------------------------------
 
 def text_slices(column, limit: int = 1 << 20) -> Iterator[tuple[int, int]]:

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from metroflux.llm.common import BITMAP_WORDS, Scratch, id_bitmap, may_hold, text_buffer, text_slices
+from metroflux.llm.common import BITMAP_WORDS, Scratch, id_bitmap, may_hold, text_buffer, text_slices, tidy
 from metroflux.llm.words import U, mix, plain, word_hashes, word_spans
 
 PIECE = 3
@@ -165,6 +165,7 @@ def _window_batches(shared, repeats: int):
                         ("starts", pa.list_(pa.int64())), ("ends", pa.list_(pa.int64())), ("window", pa.binary()),
                         ("keys", pa.list_(pa.int64()))])
 
+    @tidy()
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces, heads, segments, known_keys, classes = shared.value
         for batch in batches:

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from metroflux.llm.common import Scratch, id_bitmap, may_hold, prune_by_ids, text_buffer, text_slices
+from metroflux.llm.common import Scratch, id_bitmap, may_hold, prune_by_ids, text_buffer, text_slices, tidy
 from metroflux.llm.components import components
 from metroflux.llm.words import U, mix, shingles, word_hashes, word_spans
 
@@ -73,6 +73,7 @@ def _sets(column) -> list[np.ndarray]:
     return shingles(word_hashes(data, starts, ends), firsts, 5)
 
 
+@tidy()
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sizes, nodes = [], []
@@ -111,6 +112,7 @@ def part_keys(sets: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.ndar
 
 
 def _keys(percent: int):
+    @tidy()
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()  # copies within a task enter once
         for batch in batches:
@@ -156,6 +158,7 @@ def bit_sketch(s: np.ndarray) -> bytes:
     return np.packbits(bits.astype(np.uint8)).tobytes()
 
 
+@tidy()
 def _wanted_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     seen: set[int] = set()
     for batch in batches:
@@ -173,6 +176,7 @@ def _wanted_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _linked(percent: int):
+    @tidy()
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fine = np.zeros(batch.num_rows, bool)

@@ -27,14 +27,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from metroflux.llm.common import held_out, text_slices
+from metroflux.llm.common import held_out, text_slices, tidy
 
-WORD = re.compile(r"[^\W\d_]+")
+MAX_WORD = 64
+WORD = re.compile(rf"[^\W\d_]{{1,{MAX_WORD}}}")  # a longer run of letters is read as several words, all of it
 WINDOW, STRIDE = 32, 16
 TRIGRAMS = 4096
 WORD_DIM = CHAR_DIM = 8
 HIDDEN = 8
-MAX_WORD = 64  # letters of a word that its trigrams are taken from; the word itself is never cut
 
 
 def words_of(text: str | None) -> list[str]:
@@ -43,7 +43,7 @@ def words_of(text: str | None) -> list[str]:
 
 @lru_cache(maxsize=100_000)
 def trigrams(word: str) -> list[int]:
-    raw = f"^{word[:MAX_WORD]}$".encode()
+    raw = f"^{word}$".encode()
     return [crc32(raw[i:i + 3]) % TRIGRAMS for i in range(len(raw) - 2)]
 
 
@@ -297,6 +297,7 @@ class Scorer:
 
 
 def _score_batches(shared, text_at: int):
+    @tidy(trigrams.cache_clear)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value)
         for batch in batches:

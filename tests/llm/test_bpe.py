@@ -59,6 +59,16 @@ def test_short_and_long_merging_agree():
         assert enc._merge_short(list(symbols)) == enc._merge_long(list(symbols))
 
 
+def test_memo_stays_within_its_bytes():
+    from metroflux.llm.bpe import Memo
+    made = []
+    memo = Memo(lambda k: made.append(k) or k.encode(), 10_000)
+    for i in range(500):
+        assert memo[f"key{i % 60}"] == f"key{i % 60}".encode()
+        assert len(memo) * Memo.ENTRY <= 10_000
+    assert memo["x" * 300] and "x" * 300 not in memo and len(made) > 60
+
+
 def test_frames(spark, frame, library):
     rows = [(i, t) for i, t in enumerate(ODD)] + [(None, "no id"), (99, None), (3, ODD[3]), (3, "other text")]
     df = frame(rows)

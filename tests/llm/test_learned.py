@@ -37,6 +37,14 @@ def test_language_odd_rows(spark):
     assert {r.lang_pred for r in L.identify(df.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
 
 
+def test_long_runs_of_letters_are_read_to_their_end():
+    run = "a" * 200
+    assert X.words_of(f"x {run}b y") == ["x", "a" * 64, "a" * 64, "a" * 64, "a" * 8 + "b", "y"]
+    net = X.Network.new({}, 0.5, 1)
+    scores = X.Scorer(net).scores(["z" * 64 + tail for tail in ("abc", "xyz", "")])
+    assert len(set(scores.tolist())) == 3  # what follows the first 64 letters counts
+
+
 def test_gradients_of_the_network():
     rng = np.random.default_rng(0)
     net = X.Network.new({"bad": 1, "good": 2}, 0.3, 1)
