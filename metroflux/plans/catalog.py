@@ -303,7 +303,6 @@ def q_disruption_gap(spark, sf_dir):
 
 from metroflux.sources import fixtures as fx  # noqa: E402
 from metroflux.sources import json_feeds as jf  # noqa: E402
-from metroflux.sources.landing import load_all  # noqa: E402
 from metroflux.session import checkpoint_dir  # noqa: E402
 
 # load stamp of the fixture runs (an argument, never the clock)
@@ -334,45 +333,89 @@ def q_feed_rejects(spark, sf_dir):
     return counts[0].unionByName(counts[1])
 
 
-def _monthly(df, ts, source, opts):
-    """Batches of a feed, one per month that its rows reach into (a row per month comes to the driver)."""
-    month = F.date_format(ts, "yyyy-MM")
-    months = [r.m for r in df.select(month.alias("m")).where("m is not null").distinct().orderBy("m").collect()]
-    return [(source, int(m[:4]), int(m[5:]), df.where(month == m), opts) for m in months]
-
-
-def _batches(p):
-    from metroflux.functions.calendar import from_epoch_seconds, parse_iso_minute
-    pickup, hour = F.col("tpep_pickup_datetime"), parse_iso_minute("datetime_hour")
-    start = from_epoch_seconds(F.expr("try_cast(start_time as bigint)"))
-    return (_monthly(p.trips_raw, pickup, "trips", {"ts": pickup, "cluster_by": ["PULocationID", "DOLocationID"]})
-            + _monthly(p.weather_raw, hour, "weather", {"ts": hour})
-            + _monthly(p.alerts_raw, start, "mta_alerts", {}))
-
-
 def _run_folder(spark, name):
     """A new folder per run: what an earlier run or another table folder landed is never read."""
     import uuid
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}/{uuid.uuid4().hex}"
 
 
+def _pickup():
+    return F.col("tpep_pickup_datetime")
+
+
+def _near_zones():
+    """Trips cluster by pickup zone, drop-off zone and hour: zone numbers fit 9 bits, hours 5."""
+    return [(F.col("PULocationID"), 9), (F.col("DOLocationID"), 9), (F.hour(_pickup()), 5)]
+
+
+def _land_all(spark, sf_dir):
+    """The three raw feeds in a new lake, each in one parse and one write; the JSON feeds come with their rejects."""
+    from metroflux.functions.calendar import from_epoch_seconds, parse_iso_minute
+    from metroflux.sources.lake import Lake
+    p = pipeline(spark, sf_dir)
+    lake = Lake(spark, _run_folder(spark, "lake"))
+    lake.land("trips", p.trips_raw, _pickup(), INGESTED_AT, near=_near_zones())
+    weather = jf.weather_rows(fx.weather_json_docs(fx.table(spark, sf_dir, "events")))
+    lake.land("weather", weather, parse_iso_minute("datetime_hour"), INGESTED_AT, reject=F.col("reject"))
+    lake.land("mta_alerts", p.alerts_raw, from_epoch_seconds(F.expr("try_cast(start_time as bigint)")), INGESTED_AT)
+    return lake
+
+
 @query
 def q_load_manifest(spark, sf_dir):
-    """Land the three raw feeds month by month into the shared lake, report rows per batch."""
-    manifest = load_all(spark, _batches(pipeline(spark, sf_dir)), _run_folder(spark, "lake"), INGESTED_AT)
-    return manifest.select("source", "data_year", "data_month", "row_count", "status")
+    """Land the three raw feeds into the shared lake, report rows per batch."""
+    batches = _land_all(spark, sf_dir).batches().where(F.col("outcome") == "accepted")
+    return batches.select("source", "data_year", "data_month", "row_count", F.lit("success").alias("status"))
+
+
+@query
+def q_landing_balance(spark, sf_dir):
+    """Per source how many rows a landing brought, and what became of them."""
+    rows = lambda outcome: F.coalesce(F.sum(F.when(F.col("outcome") == outcome, F.col("row_count"))), F.lit(0))
+    return _land_all(spark, sf_dir).batches().groupBy("source").agg(
+        F.sum("row_count").alias("input_rows"), rows("accepted").alias("accepted"), rows("rejected").alias("rejected"))
 
 
 @query
 def q_landed_trips(spark, sf_dir):
     """The landed trips themselves, with their batch, day and audit columns."""
-    from metroflux.sources.readers import read_landed
-    root = _run_folder(spark, "lake")
-    trips = [b for b in _batches(pipeline(spark, sf_dir)) if b[0] == "trips"]
-    load_all(spark, trips, root, INGESTED_AT)
-    landed = read_landed(spark, f"{root}/trips")
-    return landed.withColumns({"year": F.col("year").cast("string"), "month": F.lpad(F.col("month").cast("string"), 2, "0"),
-                               "day": F.col("day").cast("string")})
+    from metroflux.sources.lake import Lake
+    lake = Lake(spark, _run_folder(spark, "lake"))
+    lake.land("trips", pipeline(spark, sf_dir).trips_raw, _pickup(), INGESTED_AT, near=_near_zones())
+    return lake.read("trips").withColumns({"year": F.col("year").cast("string"), "month": F.lpad(F.col("month").cast("string"), 2, "0"),
+                                           "day": F.col("day").cast("string")})
+
+
+@query
+def q_landed_rejects(spark, sf_dir):
+    """The trips that belong to no batch, as a table, with the reason."""
+    from metroflux.sources.lake import Lake
+    lake = Lake(spark, _run_folder(spark, "lake"))
+    lake.land("trips", pipeline(spark, sf_dir).trips_raw, _pickup(), INGESTED_AT)
+    return lake.rejects("trips").select("tpep_dropoff_datetime", "VendorID", "PULocationID", "DOLocationID", "fare_amount",
+                                        "_ingested_at", F.col("_reject").alias("reason"))
+
+
+@query
+def q_landed_zone(spark, sf_dir):
+    """Trips into one zone from the clustered table: footers rule out the files whose range lacks it."""
+    from metroflux.sources.lake import Lake
+    lake = Lake(spark, _run_folder(spark, "lake"))
+    lake.land("trips", pipeline(spark, sf_dir).trips_raw, _pickup(), INGESTED_AT, near=_near_zones())
+    zone = lake.read("trips").where(F.col("DOLocationID") == 77)
+    return zone.select("tpep_pickup_datetime", "PULocationID", "DOLocationID", "trip_distance", "fare_amount")
+
+
+@query
+def q_landed_alerts(spark, sf_dir):
+    """Alert entities land unpartitioned, a batch twice; readable rows come back once, unreadable entities as their text."""
+    from metroflux.sources.lake import Lake
+    lake = Lake(spark, _run_folder(spark, "lake"))
+    rows = jf.alert_rows(fx.alert_json_docs(fx.table(spark, sf_dir, "events")), ingested_at=INGESTED_AT)
+    for _ in range(2):
+        lake.land("alerts", rows, None, INGESTED_AT, feed="2024-01", reject=F.col("reject"))
+    columns = ["alert_id", "subway_line", "cause", "effect", "header_text", "start_time", "end_time", "reject"]
+    return lake.read("alerts").select(*columns).unionByName(lake.rejects("alerts").select(*columns))
 
 
 # --- step 8: the same operators on a second shape ----------------------------------
@@ -408,17 +451,16 @@ def q_dq_lineitem_orphans(spark, sf_dir):
 def q_incremental_landing(spark, sf_dir):
     """Land raw trips by month, stream the batches into the raw table, land one again, report rows per month."""
     from metroflux.schemas import TRIPS_RAW
-    from metroflux.sources.landing import load_month
+    from metroflux.sources.landing import load_month, load_months
     from metroflux.sources.readers import read_landed
     from metroflux.streaming.incremental import refresh_new_batches
     root = _run_folder(spark, "incremental")
-    batches = [b for b in _batches(pipeline(spark, sf_dir)) if b[0] == "trips"]
+    trips = pipeline(spark, sf_dir).trips_raw
     args = (spark, f"{root}/landing/trips", f"{root}/raw_trips", f"{root}/_checkpoint", TRIPS_RAW)
-    for _, year, month, df, _ in batches:
-        load_month(df, f"{root}/landing", "trips", year, month)
+    load_months(trips, f"{root}/landing", "trips", _pickup())
     refresh_new_batches(*args)
-    for _, year, month, df, _ in batches[:1]:
-        load_month(df, f"{root}/landing", "trips", year, month)
+    january = trips.where(F.date_format(_pickup(), "yyyy-MM") == "2024-01")
+    load_month(january, f"{root}/landing", "trips", 2024, 1)
     refresh_new_batches(*args)
     raw = read_landed(spark, f"{root}/raw_trips")
     return raw.groupBy(F.col("year").cast("string").alias("data_year"),

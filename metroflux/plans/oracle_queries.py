@@ -216,7 +216,7 @@ from l""")
 sql("load_manifest", o.with_models("trips_raw", "weather_raw", "alerts_raw") + """
 select 'trips' as source, strftime(tpep_pickup_datetime, '%Y') as data_year,
   strftime(tpep_pickup_datetime, '%m') as data_month, count(*) as row_count, 'success' as status
-from trips_raw group by 2, 3
+from trips_raw where tpep_pickup_datetime is not null group by 2, 3
 union all
 select 'weather', substr(datetime_hour, 1, 4), substr(datetime_hour, 6, 2), count(*), 'success'
 from weather_raw group by 2, 3
@@ -263,16 +263,41 @@ where not exists (select 1 from orders o where o.o_orderkey = l.l_orderkey and o
 sql("incremental_landing", o.with_models("trips_raw") + """
 select strftime(tpep_pickup_datetime, '%Y') as data_year, strftime(tpep_pickup_datetime, '%m') as data_month,
   count(*) as row_count
-from trips_raw group by 1, 2""")
+from trips_raw where tpep_pickup_datetime is not null group by 1, 2""")
 
 
 sql("landed_trips", o.with_models("trips_raw") + """
 select t.*, strftime(tpep_pickup_datetime, '%Y') as year, strftime(tpep_pickup_datetime, '%m') as month,
   strftime(tpep_pickup_datetime, '%Y-%m-%d') as day, '2024-02-01T00:00:00' as _ingested_at, 'trips' as _source,
   '1.0.0' as _pipeline_version, 'development' as _environment
-from trips_raw t""")
+from trips_raw t where tpep_pickup_datetime is not null""")
 
 sql("feed_rejects", """
 select 'alerts' as feed, count(*) as rejects from events
 where event_type = 'error' and (event_id % 101 = 0 or event_id % 83 = 0)
-union all select 'weather', 0""")
+union all select 'weather', count(distinct date_trunc('month', ts)) from events
+  where extract(day from ts) % 11 <> 5 or extract(hour from ts) <> 3""")
+
+sql("landing_balance", o.with_models("trips_raw", "weather_raw", "alerts_raw") + """
+select 'trips' as source, count(*) as input_rows, count(tpep_pickup_datetime) as accepted,
+  count(*) filter (where tpep_pickup_datetime is null) as rejected from trips_raw
+union all
+select 'weather', hours + months, hours, months
+from (select count(*) as hours, count(distinct substr(datetime_hour, 1, 7)) as months from weather_raw) w
+union all
+select 'mta_alerts', count(*), count(start_time), 0 from alerts_raw""")
+
+sql("landed_rejects", o.with_models("trips_raw") + """
+select tpep_dropoff_datetime, VendorID, PULocationID, DOLocationID, fare_amount, '2024-02-01T00:00:00' as _ingested_at,
+  'no time' as reason
+from trips_raw where tpep_pickup_datetime is null""")
+
+sql("landed_zone", o.with_models("trips_raw") + """
+select tpep_pickup_datetime, PULocationID, DOLocationID, trip_distance, fare_amount
+from trips_raw where tpep_pickup_datetime is not null and DOLocationID = 77""")
+
+sql("landed_alerts", "select alert_id, subway_line, cause, effect, header_text, start_time, end_time, null as reject from ("
+    + ORACLE["flatten_alerts"] + """) a
+union all
+select null, null, null, null, null, null, null, case when event_id % 101 = 0 then 'unreadable entity' else 'empty period list' end
+from events where event_type = 'error' and (event_id % 101 = 0 or event_id % 83 = 0)""")

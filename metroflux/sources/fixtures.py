@@ -23,7 +23,7 @@ def trips_raw(events: DataFrame) -> DataFrame:
     """One trip per event, a second copy of every 49th, and of some a trip a month later, a month earlier, or long ago.
 
     A third of all trips starts in one zone, most others in four, some in zones that the registry lacks. Miles have two,
-    three or five decimals.
+    three or five decimals; some trips have no pickup time.
     """
     i = F.col("event_id")
     e = events.select("event_id", "ts", "value")
@@ -34,7 +34,7 @@ def trips_raw(events: DataFrame) -> DataFrame:
     tip = (i * 7 % 1500).cast("double") / 100
     return e.select(
         (1 + i % 2).cast("bigint").alias("VendorID"),
-        F.col("ts").alias("tpep_pickup_datetime"),
+        F.when(i % 211 != 5, F.col("ts")).alias("tpep_pickup_datetime"),
         F.timestamp_add("SECOND", i * 37 % 7200 - 600, F.col("ts")).alias("tpep_dropoff_datetime"),
         F.when(i % 89 == 0, F.lit(None)).otherwise(1 + i % 6).cast("bigint").alias("passenger_count"),
         ((i * 31 % 4500).cast("double") / 100 + F.when(i % 7 == 0, (i % 997).cast("double") / 100000)
@@ -140,14 +140,16 @@ class Feeds:
 # ---------------------------------------------------------------------------
 
 def weather_json_docs(events: DataFrame) -> DataFrame:
-    """One columnar weather document per month of hours (at most 744 hours per document)."""
+    """One columnar weather document per month of hours (at most 744 hours per document), and per month one without hours."""
     from metroflux.sources.json_feeds import WEATHER_MEASURES
     w = weather_raw(events)
     month = F.substring("datetime_hour", 1, 7)
     g = w.groupBy(month.alias("m"), "latitude", "longitude", "timezone").agg(
         F.sort_array(F.collect_list(F.struct("datetime_hour", *WEATHER_MEASURES))).alias("h"))
     hourly = F.struct(F.col("h.datetime_hour").alias("time"), *[F.col(f"h.{c}").alias(c) for c in WEATHER_MEASURES])
-    return g.select(F.to_json(F.struct("latitude", "longitude", "timezone", hourly.alias("hourly"))).alias("value"))
+    texts = F.array(F.to_json(F.struct("latitude", "longitude", "timezone", hourly.alias("hourly"))),
+                    F.to_json(F.struct("latitude", F.col("m").alias("reason"))))
+    return g.select(F.explode(texts).alias("value"))
 
 
 def alert_json_docs(events: DataFrame) -> DataFrame:

@@ -72,6 +72,50 @@ def alert_rejects(parsed: DataFrame) -> DataFrame:
     return parsed.where(_unreadable() | empty_periods).select("raw_text")
 
 
+def alert_rows(docs: DataFrame, text_col: str = "value", ingested_at: str | None = None) -> DataFrame:
+    """A11-A14 in one parse: the rows of `flatten_alert_json`, and one row per unreadable entity.
+
+    Accepted rows have `reject` and `raw_text` NULL; rejected ones hold their text and the reason, and no other value.
+    """
+    parsed = parse_alert_entities(docs, text_col)
+    a = F.col("entity.alert")
+    empty = a["active_period"].isNotNull() & (F.size(a["active_period"]) == 0)
+    reason = F.when(_unreadable(), "unreadable entity").when(empty, "empty period list")
+    tagged = parsed.withColumn("reject", reason)
+    # one branch per entity: a rejected one is a single line without a name, an accepted one its known lines (none: no row)
+    lines = F.when(F.col("reject").isNotNull(), F.array(F.lit(None).cast("string"))).otherwise(_known_routes(a["informed_entity"]))
+    fine = F.col("reject").isNull()
+    values = _alert_columns(a)
+    return tagged.select(F.explode(lines).alias("subway_line"), *[F.when(fine, v).alias(n) for n, v in values.items()],
+                         F.when(fine, F.lit(ingested_at).cast("string")).alias("ingested_at"), "reject",
+                         F.when(~fine, F.col("raw_text")).alias("raw_text"))
+
+
+def weather_rows(docs: DataFrame, text_col: str = "value") -> DataFrame:
+    """A10, A14 in one parse: the rows of `flatten_weather_json`, and one row (`reject`, `raw_text`) per unreadable document."""
+    d = _parsed_weather(docs, text_col).withColumn("reject", F.when(F.col("d.hourly.time").isNull(), "no readable hours"))
+    times = F.when(F.col("reject").isNotNull(), F.array(F.lit(None).cast("string"))).otherwise(F.col("d.hourly.time"))
+    rows = d.select("d", "reject", F.when(F.col("reject").isNotNull(), F.col("raw_text")).alias("raw_text"),
+                    F.posexplode(times).alias("i", "datetime_hour"))
+    return rows.select("datetime_hour", *[F.get(F.col(f"d.hourly.{c}"), F.col("i")).alias(c) for c in WEATHER_MEASURES],
+                       "d.latitude", "d.longitude", "d.timezone", "reject", "raw_text")
+
+
+def _alert_columns(a: Column) -> dict[str, Column]:
+    """The values of an alert besides its lines, with their defaults."""
+    first_period = F.get(a["active_period"], 0)
+    translation = a["header_text"]["translation"]
+    header = F.when(F.coalesce(F.size(translation), F.lit(0)) <= 0, F.lit("")).otherwise(F.coalesce(F.get(translation, 0)["text"], F.lit("")))
+    return {
+        "alert_id": F.coalesce(F.col("entity.id"), F.lit("")),
+        "cause": F.coalesce(a["cause"], F.lit(DEFAULT_CAUSE)),
+        "effect": F.coalesce(a["effect"], F.lit(DEFAULT_EFFECT)),
+        "header_text": F.substring(header, 1, HEADER_MAX_CHARS),
+        "start_time": F.coalesce(first_period["start"], F.lit("")),
+        "end_time": F.coalesce(first_period["end"], F.lit("")),
+    }
+
+
 def flatten_alert_json(parsed: DataFrame, ingested_at: str | None = None) -> DataFrame:
     """One row per alert x known subway line.
 
@@ -83,20 +127,8 @@ def flatten_alert_json(parsed: DataFrame, ingested_at: str | None = None) -> Dat
     a = F.col("entity.alert")
     periods = a["active_period"]
     ok = ~_unreadable() & ~(periods.isNotNull() & (F.size(periods) == 0))
-    first_period = F.get(periods, 0)
-    first_header = F.get(a["header_text"]["translation"], 0)
-    header = F.when(a["header_text"]["translation"].isNull()
-                    | (F.size(a["header_text"]["translation"]) == 0), F.lit("")) \
-        .otherwise(F.coalesce(first_header["text"], F.lit("")))
-    base = parsed.where(ok).select(
-        F.coalesce(F.col("entity.id"), F.lit("")).alias("alert_id"),
-        _known_routes(a["informed_entity"]).alias("lines"),
-        F.coalesce(a["cause"], F.lit(DEFAULT_CAUSE)).alias("cause"),
-        F.coalesce(a["effect"], F.lit(DEFAULT_EFFECT)).alias("effect"),
-        F.substring(header, 1, HEADER_MAX_CHARS).alias("header_text"),
-        F.coalesce(first_period["start"], F.lit("")).alias("start_time"),
-        F.coalesce(first_period["end"], F.lit("")).alias("end_time"),
-    )
+    base = parsed.where(ok).select(_known_routes(a["informed_entity"]).alias("lines"),
+                                   *[c.alias(n) for n, c in _alert_columns(a).items()])
     # explode drops alerts whose known-line list is empty
     return base.select(
         "alert_id", F.explode("lines").alias("subway_line"), "cause", "effect", "header_text",

@@ -51,10 +51,20 @@ def load_month(df: DataFrame, root: str, source: str, year: int, month: int, ts:
     return path
 
 
+def load_months(df: DataFrame, root: str, source: str, ts: Column) -> str:
+    """Replace all months that `df` reaches into by one write; other months stay. Rows without a time are left out
+    (`Lake.land` keeps them as rejects)."""
+    path = f"{root.rstrip('/')}/{source}"
+    parts = {"year": F.date_format(ts, "yyyy"), "month": F.date_format(ts, "MM")}
+    (df.where(ts.isNotNull()).withColumns(parts).hint("rebalance", F.col("year"), F.col("month"))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path))
+    return path
+
+
 def append_alerts(df: DataFrame, root: str, source: str, batch_id: str) -> str:
-    """The small alert table without date partitions: one folder per batch, which a rerun replaces."""
+    """The alert table without date partitions: one folder per batch, which a rerun replaces; as many files as its bytes ask for."""
     path = f"{root.rstrip('/')}/{source}/batch={batch_id}"
-    df.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+    df.hint("rebalance").write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
     return path
 
 
