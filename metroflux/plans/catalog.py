@@ -215,12 +215,17 @@ def q_alert_profile(spark, sf_dir):
 
 # --- step 6: reports ---------------------------------------------------------------
 
+from metroflux.operators import cube as cb  # noqa: E402
 from metroflux.operators import reports as rp  # noqa: E402
 
 # slicers applied in the sliced KPI report
 SLICE = {"month": "January", "disrupted": True, "severities": ["light_rain", "heavy_rain", "clear"]}
 
 
+def _cube(spark, sf_dir):
+    return cb.build_cube(pipeline(spark, sf_dir).fact_trips)
+
+
 def _unfiltered_trips(p):
     """Deduplicated, standardised trips before the validity filter (for outlier profiles)."""
     return stg.standardise_trips(stg.dedupe_trips(p.trips_raw))
@@ -228,32 +233,32 @@ def _unfiltered_trips(p):
 
 @query
 def q_kpi(spark, sf_dir):
-    return rp.kpi(pipeline(spark, sf_dir).fact_trips)
+    return cb.kpi(_cube(spark, sf_dir))
 
 
 @query
 def q_hourly_by_disruption(spark, sf_dir):
-    return rp.hourly_by_disruption(pipeline(spark, sf_dir).fact_trips)
+    return cb.hourly_by_disruption(_cube(spark, sf_dir))
 
 
 @query
 def q_fare_by_tod(spark, sf_dir):
-    return rp.fare_by_tod(pipeline(spark, sf_dir).fact_trips)
+    return cb.fare_by_tod(_cube(spark, sf_dir))
 
 
 @query
 def q_trips_by_tod(spark, sf_dir):
-    return rp.trips_by_tod(pipeline(spark, sf_dir).fact_trips)
+    return cb.trips_by_tod(_cube(spark, sf_dir))
 
 
 @query
 def q_monthly_volume(spark, sf_dir):
-    return rp.monthly_volume(pipeline(spark, sf_dir).fact_trips)
+    return cb.monthly_volume(_cube(spark, sf_dir))
 
 
 @query
 def q_sliced_kpi(spark, sf_dir):
-    return rp.kpi(rp.slice_by(pipeline(spark, sf_dir).fact_trips, **SLICE))
+    return cb.kpi(rp.slice_by(_cube(spark, sf_dir), **SLICE))
 
 
 @query
@@ -291,12 +296,31 @@ def q_reduction(spark, sf_dir):
 
 @query
 def q_holiday(spark, sf_dir):
-    return rp.holiday_split(pipeline(spark, sf_dir).fact_trips)
+    return cb.holiday_split(_cube(spark, sf_dir))
 
 
 @query
 def q_disruption_gap(spark, sf_dir):
-    return rp.disruption_gap(pipeline(spark, sf_dir).fact_trips)
+    return cb.disruption_gap(_cube(spark, sf_dir))
+
+
+@query
+def q_report_cube(spark, sf_dir):
+    """The cube itself with its sums finished."""
+    from metroflux.functions import numeric as nm
+    cube = cb.with_trip_label(_cube(spark, sf_dir))
+    return cube.select(*cb.KEYS, "trip_time_of_day", "trips", "minutes", *[nm.total(m).alias(m) for m in cb.MEASURES],
+                       *[f"{m}_n" for m in cb.MEASURES])
+
+
+@query
+def q_report_pack(spark, sf_dir):
+    """All eight reports from one written cube: the trips are read once."""
+    path = f"{_run_folder(spark, 'cube')}/report_cube"
+    built = _cube(spark, sf_dir)
+    built.write.parquet(path)
+    cube = spark.read.schema(built.schema).parquet(path)
+    return cb.report_pack(cube, rp.slice_by(cube, **SLICE))
 
 
 # --- step 7: landing and JSON feeds ------------------------------------------------

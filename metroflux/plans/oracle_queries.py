@@ -183,6 +183,28 @@ select time_of_day, count(*) filter (where has_subway_disruption) as disrupted_t
   count(*) filter (where not has_subway_disruption) as normal_trips, {", ".join(_gaps)}
 from fact_trips group by time_of_day""")
 
+_MEASURES = {"fare": "fare_amount", "total": "total_amount", "tip": "tip_amount", "tip_pct": "tip_percentage", "speed": "avg_speed_mph"}
+sql("report_cube", _F + f"""
+select cast(date_trunc('month', pickup_date) as date) as month_start, analysis_month, pickup_hour, time_of_day, has_subway_disruption,
+  weather_severity, is_holiday_period,
+  coalesce({o.TRIP_HOUR_LABELS}[substr({o.TRIP_HOURS}, cast(pickup_hour + 1 as int), 1)], 'off_peak') as trip_time_of_day,
+  count(*) as trips, cast(sum(trip_duration_minutes) as bigint) as minutes,
+  {", ".join(f"{o.exact_sum(c)} as {m}, count({c}) as {m}_n" for m, c in _MEASURES.items())}
+from fact_trips group by 1, 2, 3, 4, 5, 6, 7, 8""")
+
+_PACK = {"kpi": [], "sliced_kpi": [], "hourly_by_disruption": ["pickup_hour", "has_subway_disruption"],
+         "fare_by_tod": ["time_of_day", "has_subway_disruption"], "trips_by_tod": ["time_of_day", "has_subway_disruption"],
+         "monthly_volume": ["month_start", "analysis_month", "has_subway_disruption"], "holiday": ["is_holiday_period"],
+         "disruption_gap": ["time_of_day"]}
+_parts = []
+for _name, _keys in _PACK.items():
+    _slice = f"concat_ws('|', {', '.join(f'cast({k} as varchar)' for k in _keys)})" if _keys else "''"
+    _parts.append(f"select '{_name}' as report, slice, measure, value from (unpivot (select {_slice} as slice, "
+                  f"columns(* exclude ({', '.join(_keys)}))::double from r_{_name}) on columns(* exclude (slice)) into name measure value value)"
+                  .replace("columns(* exclude ())", "columns(*)"))
+sql("report_pack", o.with_models("fact_trips", extra=[f"r_{n} as ({ORACLE[n].removeprefix(_F)})" for n in _PACK])
+    + "\nunion all\n".join(_parts))
+
 # --- landing and JSON feeds ---------------------------------------------------------
 
 from metroflux.schemas import SUBWAY_LINES as _LINES  # noqa: E402
