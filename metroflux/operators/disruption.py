@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from metroflux.functions import calendar as cal
 from metroflux.functions.classify import is_compound
 from metroflux.operators.joins import bounded_broadcast
-from metroflux.schemas import MODERATE_SCORE, SEVERE_SCORE
+from metroflux.schemas import EFFECT_SCORES, MODERATE_SCORE, SEVERE_SCORE
+
+# every score that an alert can have: the fixed ones of its effect, and 0 for any other effect
+SCORES = tuple(sorted({score for _, score in EFFECT_SCORES} | {0}))
 
 
 def alert_hours(alerts: DataFrame) -> DataFrame:
@@ -46,17 +49,65 @@ def explode_hours(df: DataFrame, across_midnight: bool = False, date_col: str =
                .withColumn(hour_col, F.hour("_h").cast("bigint")).drop("_h"))
 
 
-def hourly_disruptions(alerts: DataFrame, across_midnight: bool = False) -> DataFrame:
-    """Per date and hour, severe and moderate alert counts, lines, worst score, synthetic."""
-    hours = explode_hours(alert_hours(alerts), across_midnight)
-    score = F.col("disruption_severity_score")
-    return hours.groupBy("alert_date", "hour_of_day").agg(
-        F.count_if(score >= SEVERE_SCORE).alias("severe_alert_count"),
-        F.count_if(score >= MODERATE_SCORE).alias("moderate_alert_count"),
-        F.count_distinct("subway_line").alias("lines_affected"),
-        F.max(score).alias("max_severity_score"),
-        F.bool_or("is_synthetic").alias("has_synthetic_data"),
-    )
+def covered_span(df: DataFrame, across_midnight: bool = False) -> DataFrame:
+    """`df` with the first and the last covered hour (`first_hour`, `last_hour`); alerts that cover none go. The rules are those of
+    `explode_hours`."""
+    if across_midnight:
+        lo, hi = cal.truncate_hour("alert_start_datetime"), cal.truncate_hour("alert_end_datetime")
+        ok = F.col("alert_start_datetime").isNotNull() & (lo <= F.col("alert_end_datetime"))
+    else:
+        day = F.col("alert_date").cast("timestamp_ntz")
+        last = F.least(F.col("alert_end_hour"), F.lit(23))
+        lo, hi = F.timestamp_add("HOUR", F.col("alert_start_hour"), day), F.timestamp_add("HOUR", last, day)
+        ok = F.col("alert_end_hour").isNotNull() & (F.col("alert_start_hour") <= last)
+    return df.where(ok).select("*", lo.alias("first_hour"), hi.alias("last_hour"))
+
+
+def _changes(spans: DataFrame) -> DataFrame:
+    """Two rows per alert: +1 at its first hour, -1 at the hour after its last."""
+    start = F.struct(F.col("first_hour").alias("at"), F.lit(1).alias("d"))
+    after = F.struct(F.timestamp_add("HOUR", F.lit(1), F.col("last_hour")).alias("at"), F.lit(-1).alias("d"))
+    return spans.select("*", F.explode(F.array(start, after)).alias("_c")).select("*", "_c.at", "_c.d").drop("_c")
+
+
+def _line_changes(changes: DataFrame) -> DataFrame:
+    """(at, d): +1 where a line's first running alert starts, -1 where its last one has ended."""
+    by_line = Window.partitionBy("subway_line").orderBy("at")
+    net = changes.where(F.col("subway_line").isNotNull()).groupBy("subway_line", "at").agg(F.sum("d").alias("d"))
+    running = net.withColumn("n", F.sum("d").over(by_line))  # alerts of the line that run from this hour on
+    before = running.withColumn("before", F.col("n") - F.col("d"))
+    step = F.when((F.col("before") == 0) & (F.col("n") > 0), 1).when((F.col("before") > 0) & (F.col("n") == 0), -1)
+    return before.select("at", step.alias("lines")).where(F.col("lines").isNotNull())
+
+
+def hourly_disruptions(alerts: DataFrame, across_midnight: bool = False, scores: tuple = SCORES) -> DataFrame:
+    """Per date and hour, severe and moderate alert counts, lines, worst score, synthetic.
+
+    A sweep over the hours: each alert is two changes of counters, whatever its length, and the counters' running sums
+    hold from one hour with changes to the next. Lines are counted by a sweep of their own, the worst score by a counter per
+    score in `scores`, the flag by counters of its true and false values. Changes are added up per
+    hour inside the map tasks, so the running sums go over one row per hour (and per line and hour) at most, and
+    only the result is one row per covered hour: work grows with alerts plus hours, not with their product.
+    """
+    changes = _changes(covered_span(alert_hours(alerts), across_midnight))
+    score, flag, d = F.col("disruption_severity_score"), F.col("is_synthetic"), F.col("d")
+    counters = {"severe": F.when(score >= SEVERE_SCORE, d), "moderate": F.when(score >= MODERATE_SCORE, d), "alerts": d,
+                "true": F.when(flag, d), "false": F.when(~flag, d), **{f"score{s}": F.when(score == s, d) for s in scores}}
+    lines = _line_changes(changes)
+    both = changes.select("at", *[c.alias(n) for n, c in counters.items()], F.lit(None).cast("int").alias("lines")).unionByName(
+        lines, allowMissingColumns=True)
+    names = [*counters, "lines"]
+    per_hour = both.groupBy("at").agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names])
+    hours = Window.orderBy("at")  # a row per hour that anything changes in
+    until = F.timestamp_add("HOUR", F.lit(-1), F.lead("at").over(hours))
+    running = per_hour.select("at", until.alias("until"), *[F.sum(n).over(hours).alias(n) for n in names]).where(F.col("alerts") > 0)
+    each = running.select("*", F.explode(F.sequence("at", "until", F.expr("INTERVAL 1 HOUR"))).alias("hour"))
+    return each.select(
+        F.to_date("hour").alias("alert_date"), F.hour("hour").cast("bigint").alias("hour_of_day"),
+        F.col("severe").alias("severe_alert_count"), F.col("moderate").alias("moderate_alert_count"),
+        F.col("lines").alias("lines_affected"),
+        F.coalesce(*[F.when(F.col(f"score{s}") > 0, F.lit(s)) for s in sorted(scores, reverse=True)]).cast("bigint").alias("max_severity_score"),
+        F.when(F.col("true") > 0, True).when(F.col("false") > 0, False).alias("has_synthetic_data"))
 
 
 IMPACT_DEMAND_COLUMNS = [

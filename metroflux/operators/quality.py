@@ -101,13 +101,14 @@ def dq_accepted(df: DataFrame, column: str, values: list) -> DataFrame:
               .groupBy(column).agg(F.count(F.lit(1)).alias("n_records")))
 
 
-def dq_freshness(df: DataFrame, loaded_at: str, as_of: str, warn_days: int = FRESHNESS_WARN_DAYS,
+def dq_freshness(df: DataFrame, loaded_at: str, *as_of: str, warn_days: int = FRESHNESS_WARN_DAYS,
                  error_days: int = FRESHNESS_ERROR_DAYS) -> DataFrame:
-    """age of the newest `loaded_at` at `as_of` (an argument, never the clock)."""
-    asof = F.lit(as_of).cast("timestamp_ntz")
-    age = F.timestamp_diff("SECOND", F.col("max_loaded_at"), asof)
-    return df.agg(F.max(F.col(loaded_at).cast("timestamp_ntz")).alias("max_loaded_at")).select(
-        "max_loaded_at", asof.alias("snapshotted_at"), age.alias("max_loaded_at_time_ago_in_s"),
+    """age of the newest `loaded_at` at each `as_of` (arguments, never the clock); the table is read once."""
+    newest = df.agg(F.max(F.col(loaded_at).cast("timestamp_ntz")).alias("max_loaded_at"))
+    asof = F.explode(F.array(*[F.lit(t).cast("timestamp_ntz") for t in as_of]))
+    age = F.timestamp_diff("SECOND", F.col("max_loaded_at"), F.col("snapshotted_at"))
+    return newest.select("max_loaded_at", asof.alias("snapshotted_at")).select(
+        "max_loaded_at", "snapshotted_at", age.alias("max_loaded_at_time_ago_in_s"),
         F.when(age > error_days * 86400, "error").when(age > warn_days * 86400, "warn")
          .otherwise("pass").alias("status"))
 

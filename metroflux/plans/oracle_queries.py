@@ -35,12 +35,10 @@ sql("dq_summary", "select status, count(*) as tests from (" + o.suite_sql(_tests
     + o.suite_sql(_tests) + ") r2")
 
 sql("dq_freshness", o.with_models("trips_raw") + """
-select max_loaded_at, timestamp '2024-02-14 00:00:00' as snapshotted_at,
-  date_sub('second', max_loaded_at, timestamp '2024-02-14 00:00:00') as max_loaded_at_time_ago_in_s,
-  case when date_sub('second', max_loaded_at, timestamp '2024-02-14 00:00:00') > 30 * 86400 then 'error'
-       when date_sub('second', max_loaded_at, timestamp '2024-02-14 00:00:00') > 7 * 86400 then 'warn'
-       else 'pass' end as status
-from (select max(tpep_pickup_datetime) as max_loaded_at from trips_raw) m""")
+select max_loaded_at, at as snapshotted_at, date_diff('second', max_loaded_at, at) as max_loaded_at_time_ago_in_s,
+  if(at > max_loaded_at + interval 30 day, 'error', if(at > max_loaded_at + interval 7 day, 'warn', 'pass')) as status
+from (select max(tpep_pickup_datetime) as max_loaded_at from trips_raw) m
+cross join (values (timestamp '2024-03-03'), (timestamp '2024-03-14'), (timestamp '2024-05-01')) as t(at)""")
 
 sql("dq_orphans", o.with_models("fact_trips", "dim_location") + """
 select f.trip_id, f.pickup_location_id from fact_trips f
@@ -60,8 +58,24 @@ select trip_id, trip_distance_miles, trip_duration_minutes,
 from fact_trips where trip_distance_miles > 100 and trip_duration_minutes < 30""")
 
 sql("batch_stats", o.with_models("trips_raw") + """
-select count(*) as row_count, cast(20 as bigint) as column_count, '2024' as data_year, '01' as data_month,
-  true as schema_validated from trips_raw""")
+select count(*) as row_count, cast(20 as bigint) as column_count, strftime(tpep_pickup_datetime, '%Y') as data_year,
+  strftime(tpep_pickup_datetime, '%m') as data_month, true as schema_validated
+from trips_raw where tpep_pickup_datetime is not null group by 3, 4""")
+
+sql("disruptions_across_midnight", o.with_models("stg_alerts") + """
+select h::date as alert_date, date_part('hour', h) as hour_of_day,
+  count(*) filter (where disruption_severity_score >= 4) as severe_alert_count,
+  count(*) filter (where disruption_severity_score >= 2) as moderate_alert_count,
+  count(distinct subway_line) as lines_affected, max(disruption_severity_score) as max_severity_score,
+  bool_or(is_synthetic) as has_synthetic_data
+from (select *, unnest(generate_series(date_trunc('hour', alert_start_datetime), alert_end_datetime, interval 1 hour)) as h from stg_alerts) a
+group by 1, 2""")
+
+sql("local_alerts", o.with_models("stg_alerts") + """
+select alert_id, subway_line, s as alert_start_datetime, e as alert_end_datetime, date_sub('minute', s, e) as alert_duration_minutes,
+  cause, effect, disruption_severity_score, is_synthetic, ingested_at, s::date as alert_date
+from (select *, alert_start_datetime at time zone 'UTC' at time zone 'America/New_York' as s,
+        alert_end_datetime at time zone 'UTC' at time zone 'America/New_York' as e from stg_alerts) a""")
 
 sql("hour_completeness", o.with_models("stg_weather") + """
 select data_year, data_month, make_date(data_year, data_month, 1) as first_day,

@@ -192,3 +192,47 @@ def test_generic_dedupe_keeps_smallest(spark):
     df = spark.createDataFrame([(1, 1, "b"), (1, 1, "a"), (1, 2, None), (1, 2, "z")], "k int, l int, v string")
     out = {(r.k, r.l): r.v for r in dedupe(df, ["k", "l"]).collect()}
     assert out == {(1, 1): "a", (1, 2): None}
+
+
+def _by_hours(alerts, across):
+    """The hourly table from one row per alert and hour."""
+    hours = ds.explode_hours(ds.alert_hours(alerts), across)
+    score = F.col("disruption_severity_score")
+    return hours.groupBy("alert_date", "hour_of_day").agg(
+        F.count_if(score >= 4).alias("severe_alert_count"), F.count_if(score >= 2).alias("moderate_alert_count"),
+        F.count_distinct("subway_line").alias("lines_affected"), F.max(score).alias("max_severity_score"),
+        F.bool_or("is_synthetic").alias("has_synthetic_data"))
+
+
+def _staged(spark, rows):
+    schema = ("alert_date date, subway_line string, cause string, effect string, disruption_severity_score bigint, is_synthetic boolean, "
+              "alert_duration_minutes bigint, alert_start_datetime timestamp_ntz, alert_end_datetime timestamp_ntz")
+    return spark.createDataFrame([(s.date() if s else None, line, "c", "e", score, flag, 0, s, e) for line, score, flag, s, e in rows], schema)
+
+
+def test_sweep_equals_one_row_per_alert_and_hour(spark):
+    import random
+    rng = random.Random(9)
+    base = dt.datetime(2024, 1, 5)
+    rows = []
+    for _ in range(300):
+        s = base + dt.timedelta(minutes=rng.randrange(60 * 24 * 6))
+        e = s + dt.timedelta(minutes=rng.choice([0, 20, 59, 60, 61, 300, 1500, 4000, -30]))
+        rows.append((rng.choice(["A", "B", "7", None]), rng.choice([0, 1, 2, 3, 4, 5, None]), rng.choice([True, False, None]), s, e))
+    rows += [("A", 4, None, None, base), ("A", 4, None, base, None), ("C", 5, True, base, base)]
+    alerts = _staged(spark, rows)
+    for across in (False, True):
+        want = _by_hours(alerts, across)
+        got = ds.hourly_disruptions(alerts, across).select(*want.columns)
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert ds.hourly_disruptions(alerts.limit(0)).count() == 0
+
+
+def test_sweep_rows_grow_with_alerts_not_with_their_length(spark):
+    s = dt.datetime(2024, 1, 1, 8, 10)
+    alerts = _staged(spark, [(line, 4, None, s + dt.timedelta(hours=i), s + dt.timedelta(days=365)) for i, line in enumerate("ABCDEFGHIJ")] * 50)
+    changes = ds._changes(ds.covered_span(ds.alert_hours(alerts), across_midnight=True))
+    assert changes.count() == 2 * 500
+    out = ds.hourly_disruptions(alerts, across_midnight=True)
+    assert out.count() == 365 * 24 + 1
+    assert out.where("lines_affected = 10 and severe_alert_count = 500").count() == 365 * 24 + 1 - 9
