@@ -80,6 +80,16 @@ def prune_by_ids(df: DataFrame, col: str, ids: DataFrame, id_col: str) -> DataFr
 
 # --- Python workers ------------------------------------------------------------------
 
+def give_back(*caches: Callable[[], None]) -> None:
+    """Clear the caches and return freed memory to the system."""
+    for clear in caches:
+        clear()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def tidy(*caches: Callable[[], None]):
     """Decorator of a batch function: at the end of its task the caches are cleared and freed memory goes back.
 
@@ -91,12 +101,7 @@ def tidy(*caches: Callable[[], None]):
             try:
                 yield from run(batches)
             finally:
-                for clear in caches:
-                    clear()
-                pa.default_memory_pool().release_unused()
-                trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-                if trim is not None:
-                    trim(0)
+                give_back(*caches)
         return inner
     return wrap
 

@@ -13,14 +13,16 @@ band, their symmetric difference is at most d, a constant of the band. A set
 enters the space of its own band and of every lower band that a partner can lie
 in. With more than d parts in use, one part in use must agree (pigeonhole), so
 equal (band, part, word) keys bring every linked pair together. A set that uses d
-parts or fewer also enters its empty parts; two such sets can meet there.
+parts or fewer enters a further space with another hash, where two such sets can meet (after SPACES of them, its empty parts).
 
 Groups. Under one key, sets are not paired with one another. Every set is a candidate
 with the smallest of its key. First each set is verified against the one of these that it shares
 the most keys with; then against the others, unless both are in one component by now.
 Where a key still holds different components, only pairs across them are compared, in cells of
 bounded size, by a wider one-bit-per-shingle parity sketch whose Hamming distance
-is also bounded by the symmetric difference; what passes is verified on the sets.
+is also bounded by the symmetric difference. Of what passes, a cell first gives a spanning forest of its components (no more
+rows than it has members), which is verified on the sets and joins nearly all; a second forest and
+last every pair that is still open follow.
 So no link between different components is lost, copies cost one node, and a large
 group of near copies collapses after the first round.
 """
@@ -42,6 +44,7 @@ from metroflux.llm.words import U, mix, shingles, word_hashes, word_spans
 BAND = 1.4
 SKETCH_BITS = 2048
 CELL = 512
+SPACES = 6  # hashes that short sets try before they enter empty parts, whose keys are constants of the band
 
 
 @lru_cache(maxsize=4)
@@ -76,39 +79,51 @@ def _sets(column) -> list[np.ndarray]:
 @tidy()
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        sizes, nodes = [], []
+        sizes, nodes, bits = [], [], []
         for a, b in text_slices(batch.column(2)):
             for s in _sets(batch.column(2).slice(a, b - a)):
                 sizes.append(len(s))
                 nodes.append(node_of(s))
+                bits.append(bit_sketch(s))
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), batch.column(3)],
-            names=["row", "doc_id", "n", "node", "text_hash"])
+            [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(bits, pa.binary())],
+            names=["row", "doc_id", "n", "node", "bits"])
 
 
 def part_keys(sets: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of all parts that the sets enter, and the index of the set of each key."""
+    """Keys of all parts that the sets enter, and the index of the set of each key.
+
+    A set that uses too few parts of a space enters one with another hash besides; two linked sets that
+    are both short meet in the first space in which one of them is not.
+    """
     low, most, parts = bands(percent)
     sizes = np.array([len(s) for s in sets])
     own = np.searchsorted(low, sizes, side="right") - 1
     lowest = np.searchsorted(low, -(-sizes * percent // 100), side="right") - 1
     who = np.repeat(np.arange(len(sets)), own - lowest + 1)
-    space = np.concatenate([np.arange(a, b + 1) for a, b in zip(lowest, own, strict=True)])
-    n_parts = parts[space]
-    base = np.concatenate([[0], np.cumsum(n_parts)])
-    sketch, used = np.zeros(base[-1], U), np.zeros(base[-1], bool)
-    at = np.concatenate([b + (sets[i] >> U(20)) % U(p) for i, b, p in zip(who, base[:-1].astype(U), n_parts, strict=True)])
-    value = np.concatenate([mix(s + U(0xD6E8FEB86659FD93)) for s in sets])
-    spans = np.concatenate([[0], np.cumsum(sizes)])
-    np.bitwise_xor.at(sketch, at.astype(np.int64), np.concatenate([value[spans[i]:spans[i + 1]] for i in who]))
-    used[at.astype(np.int64)] = True
-    few = np.add.reduceat(used, base[:-1], dtype=np.int64) <= most[space]
-    entry = np.repeat(np.arange(len(who)), n_parts)
-    part = np.arange(base[-1]) - base[entry]
-    keep = used | few[entry]
-    entry, part = entry[keep], part[keep]
-    place = mix(space[entry].astype(U) * U(0x100000001B3) + part.astype(U) * U(0x9E3779B97F4A7C15) + U(1))
-    return mix(sketch[keep] ^ place).astype(np.int64), who[entry]
+    band = np.concatenate([np.arange(a, b + 1) for a, b in zip(lowest, own, strict=True)])
+    value = [mix(s + U(0xD6E8FEB86659FD93)) for s in sets]
+    keys, owners = [], []
+    for space in range(SPACES):
+        n_parts = parts[band]
+        base = np.concatenate([[0], np.cumsum(n_parts)])
+        sketch, used = np.zeros(base[-1], U), np.zeros(base[-1], bool)
+        spread = {i: sets[i] >> U(20) if space == 0 else mix(sets[i] + U(space)) for i in set(who.tolist())}
+        at = np.concatenate([b + spread[i] % U(p) for i, b, p in zip(who.tolist(), base[:-1].astype(U), n_parts, strict=True)]).astype(np.int64)
+        np.bitwise_xor.at(sketch, at, np.concatenate([value[i] for i in who]))
+        used[at] = True
+        few = np.add.reduceat(used, base[:-1], dtype=np.int64) <= most[band]
+        entry = np.repeat(np.arange(len(who)), n_parts)
+        part = np.arange(base[-1]) - base[entry]
+        keep = used | few[entry] if space == SPACES - 1 else used  # in the last one short sets enter their empty parts
+        entry, part = entry[keep], part[keep]
+        place = mix(band[entry].astype(U) * U(0x100000001B3) + part.astype(U) * U(0x9E3779B97F4A7C15) + U(1) + U(space << 50))
+        keys.append(mix(sketch[keep] ^ place).astype(np.int64))
+        owners.append(who[entry])
+        who, band = who[few], band[few]
+        if not len(who):
+            break
+    return np.concatenate(keys), np.concatenate(owners)
 
 
 def _keys(percent: int):
@@ -167,12 +182,10 @@ def _wanted_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for s in _sets(batch.column(0).slice(a, b - a)):
                 if len(s) and (node := node_of(s)) not in seen:
                     seen.add(node)
-                    rows.append((node, len(s), bit_sketch(s), s.tobytes()))
+                    rows.append((node, s.tobytes()))
             if rows:
-                nodes, sizes, bits, raw = zip(*rows, strict=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), pa.array(bits, pa.binary()), pa.array(raw, pa.binary())],
-                    names=["node", "n", "bits", "members"])
+                nodes, raw = zip(*rows, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(raw, pa.binary())], names=["node", "members"])
 
 
 def _linked(percent: int):
@@ -205,24 +218,66 @@ def _plausible(percent: int):
     return run
 
 
-def verify(pairs: DataFrame, sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
-    """The pairs (a, b) whose sets reach the similarity; only sets of pairs that pass the bit sketches are moved."""
-    of = lambda side, n, bits: sets.select(F.col("node").alias(side), F.col("n").alias(n), F.col("bits").alias(bits))
-    close = pairs.join(of("a", "m", "x"), "a").join(of("b", "n", "y"), "b").select("a", "b", "m", "n", "x", "y")
+class _Texts:
+    """The texts behind the nodes: sketches are at hand, sets are made from the texts when pairs need them."""
+
+    def __init__(self, docs: DataFrame, info: DataFrame, nodes: DataFrame, scratch: Scratch):
+        first = F.min(F.struct("row", "n", "bits")).alias("first")
+        known = info.where(F.col("n") > 0).join(nodes, "node", "left_semi").groupBy("node").agg(first)
+        self.sketches = scratch.keep(known.select("node", "first.row", "first.n", "first.bits"), "sketches")
+        self._rows = docs.select(F.monotonically_increasing_id().alias("row"), "text")
+
+    def sets(self, pairs: DataFrame) -> DataFrame:
+        """(node, members) of every node in `pairs`, perhaps of a few others; one text per node is read."""
+        ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
+        rows = self.sketches.select("node", "row").join(ends, "node", "left_semi")
+        texts = prune_by_ids(self._rows, "row", rows, "row").select("text")
+        return texts.mapInArrow(_wanted_sets, "node long, members binary").dropDuplicates(["node"])
+
+
+def verify(pairs: DataFrame, texts: _Texts, percent: int, scratch: Scratch) -> DataFrame:
+    """The pairs (a, b) whose sets reach the similarity; sets are made and moved only for pairs that pass the bit sketches."""
+    of = lambda side, n, bits: texts.sketches.select(F.col("node").alias(side), F.col("n").alias(n), F.col("bits").alias(bits))
+    fits = 100 * F.least("m", "n") >= percent * F.greatest("m", "n")  # sizes too far apart cannot link
+    sizes = lambda side, n: texts.sketches.select(F.col("node").alias(side), F.col("n").alias(n))
+    near = pairs.join(sizes("a", "m"), "a").join(sizes("b", "n"), "b").where(fits).select("a", "b")
+    close = near.join(of("a", "m", "x"), "a").join(of("b", "n", "y"), "b").select("a", "b", "m", "n", "x", "y")
     pairs = scratch.keep(close.mapInArrow(_plausible(percent), "a long, b long"), "plausible")
-    nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    sets = prune_by_ids(sets, "node", nodes, "node")
+    sets = texts.sets(pairs)
     left = sets.select(F.col("node").alias("a"), F.col("members").alias("x"))
     right = sets.select(F.col("node").alias("b"), F.col("members").alias("y"))
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(_linked(percent), "a long, b long")
 
 
-def _across(percent: int):
-    """Within each cell, the pairs of different components that the bit sketches cannot rule out."""
+def _forest(comp_a: np.ndarray, comp_b: np.ndarray, order: np.ndarray) -> list[int]:
+    """Pairs, taken in `order`, that join components not joined by earlier ones."""
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while (up := parent.get(x, x)) != x:
+            parent[x] = parent.get(up, up)
+            x = up
+        return x
+
+    out = []
+    for i in order.tolist():
+        a, b = root(int(comp_a[i])), root(int(comp_b[i]))
+        if a != b:
+            parent[a] = b
+            out.append(i)
+    return out
+
+
+def _across(percent: int, take: str):
+    """Within each cell, pairs of different components that the bit sketches cannot rule out.
+
+    `take`: "closest" gives a spanning forest of the components by sketch distance, "other" one by a hash of the pair,
+    "all" every pair. What passes between near copies nearly always links, so the forests leave little for the last.
+    """
     def compare(cell) -> list[tuple[int, int]]:
         side, node, comp, n, bits = cell
         left, right = np.flatnonzero(side <= 0), np.flatnonzero(side >= 0)
-        out = []
+        at, dist = [], []
         for a in range(0, len(left), 64):
             i = left[a:a + 64]
             far = np.bitwise_count(bits[i][:, None, :] ^ bits[right][None, :, :]).sum(axis=2, dtype=np.int64)
@@ -230,8 +285,21 @@ def _across(percent: int):
             ok = (far <= most) & (comp[i][:, None] != comp[right][None, :])
             ok &= (side[i][:, None] != 0) | (side[right][None, :] != 0) | (node[i][:, None] < node[right][None, :])
             x, y = np.nonzero(ok)
-            out += zip(np.minimum(node[i][x], node[right][y]).tolist(), np.maximum(node[i][x], node[right][y]).tolist(), strict=True)
-        return out
+            at.append(np.stack([i[x], right[y]]))
+            dist.append(far[x, y])
+            if take != "all" and sum(len(d) for d in dist) > 4 * CELL:  # a forest of forests is a forest of all
+                at, dist = [np.concatenate(at, axis=1)], [np.concatenate(dist)]
+                keep = chosen(at[0], dist[0], node, comp)
+                at, dist = [at[0][:, keep]], [dist[0][keep]]
+        (p, q), far = np.concatenate(at, axis=1), np.concatenate(dist)
+        if take != "all":
+            keep = chosen(np.stack([p, q]), far, node, comp)
+            p, q = p[keep], q[keep]
+        return list(zip(np.minimum(node[p], node[q]).tolist(), np.maximum(node[p], node[q]).tolist(), strict=True))
+
+    def chosen(at, far, node, comp) -> list[int]:
+        weight = far if take == "closest" else mix((node[at[0]] ^ node[at[1]]).astype(U))
+        return _forest(comp[at[0]], comp[at[1]], np.argsort(weight, kind="stable"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting, cell = [], None
@@ -263,7 +331,7 @@ def _across(percent: int):
     return run
 
 
-def _open_pairs(members: DataFrame, comps: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _open_pairs(members: DataFrame, comps: DataFrame, sketches: DataFrame, percent: int, take: str) -> DataFrame:
     """Pairs across components that share a key and have not been verified: see the module's text on groups."""
     with_comp = members.select("key", "node").join(comps, "node", "left").select(
         "key", "node", F.coalesce("component", "node").alias("component"))
@@ -276,8 +344,8 @@ def _open_pairs(members: DataFrame, comps: DataFrame, sets: DataFrame, percent:
     cells = rows.withColumn("other", other).select(
         F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other")).alias("cell"),
         F.signum(F.col("block") - F.col("other")).cast("int").alias("side"), "node", "component")
-    ready = cells.join(sets.select("node", "n", "bits"), "node").select("cell", "side", "node", "component", "n", "bits")
-    return ready.repartition("cell").sortWithinPartitions("cell").mapInArrow(_across(percent), "a long, b long").distinct()
+    ready = cells.join(sketches.select("node", "n", "bits"), "node").select("cell", "side", "node", "component", "n", "bits")
+    return ready.repartition("cell").sortWithinPartitions("cell").mapInArrow(_across(percent, take), "a long, b long").distinct()
 
 
 def similar_groups(docs: DataFrame, percent: int = 80) -> DataFrame:
@@ -290,26 +358,25 @@ def similar_groups(docs: DataFrame, percent: int = 80) -> DataFrame:
     An empty table gives no rows. Other columns of `docs` are not read.
     """
     scratch = Scratch(docs.sparkSession, "jaccard")
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
-                       "text", F.xxhash64("text").alias("text_hash"))
-    info = scratch.keep(rows.mapInArrow(_describe, "row long, doc_id long, n long, node long, text_hash long"), "rows")
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+    info = scratch.keep(rows.mapInArrow(_describe, "row long, doc_id long, n long, node long, bits binary"), "rows")
     keys = docs.select("text").mapInArrow(_keys(percent), "key long, node long")
     members = scratch.keep(keys.repartition("key").sortWithinPartitions("key", "node")
                            .mapInArrow(_runs, "key long, node long, centre long"), "members")
     stars = members.groupBy(F.col("centre").alias("a"), F.col("node").alias("b")).agg(F.count(F.lit(1)).alias("keys"))
     stars = scratch.keep(stars, "stars")
     nodes = stars.select(F.col("a").alias("node")).unionByName(stars.select(F.col("b").alias("node"))).distinct()
-    sources = info.where(F.col("n") > 0).groupBy("node").agg(F.min("text_hash").alias("text_hash")).join(nodes, "node")
-    sources = scratch.keep(sources.select("node", "text_hash"), "sources")
-    wanted = prune_by_ids(docs.select("text", F.xxhash64("text").alias("text_hash")), "text_hash", sources, "text_hash")
-    sets = wanted.select("text").mapInArrow(_wanted_sets, "node long, n long, bits binary, members binary")
-    sets = scratch.keep(sets.join(sources.select("node"), "node", "left_semi").dropDuplicates(["node"]), "sets")
+    texts = _Texts(docs, info, nodes, scratch)
     best = stars.groupBy("b").agg(F.max_by("a", F.struct("keys", -F.col("a"))).alias("a")).select("a", "b")
-    links = scratch.keep(verify(best, sets, percent, scratch), "links")
+    links = scratch.keep(verify(best, texts, percent, scratch), "links")
     comps = scratch.keep(components(links, scratch), "components")
-    for pairs in (lambda: _across_components(stars.select("a", "b").join(best, ["a", "b"], "left_anti"), comps),
-                  lambda: _open_pairs(members, comps, sets, percent)):
-        more = scratch.keep(verify(pairs(), sets, percent, scratch), "more")
+    rest = [lambda: _across_components(stars.select("a", "b").join(best, ["a", "b"], "left_anti"), comps)]
+    rest += [lambda take=take: _open_pairs(members, comps, texts.sketches, percent, take) for take in ("closest", "other", "all")]
+    for pairs in rest:
+        pairs = scratch.keep(pairs(), "pairs")
+        if pairs.isEmpty():
+            continue
+        more = scratch.keep(verify(pairs, texts, percent, scratch), "more")
         if not more.isEmpty():
             links = links.unionByName(more)
             comps = scratch.keep(components(links, scratch), "components")

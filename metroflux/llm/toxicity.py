@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from metroflux.llm.common import held_out, text_slices, tidy
+from metroflux.llm.common import give_back, held_out, text_slices, tidy
 
 MAX_WORD = 64
 WORD = re.compile(rf"[^\W\d_]{{1,{MAX_WORD}}}")  # a longer run of letters is read as several words, all of it
@@ -321,7 +321,10 @@ def learn(docs: DataFrame, labels: DataFrame, train_rows: int = 4000, seed: int
     rows = (docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most train_rows rows
             .groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))
             .orderBy("doc_id").toArrow())
-    return train(rows.column("text").to_pylist(), rows.column("toxic").to_pylist(), seed=seed)
+    net = train(rows.column("text").to_pylist(), rows.column("toxic").to_pylist(), seed=seed)
+    del rows
+    give_back(trigrams.cache_clear)  # the driver's process goes on
+    return net
 
 
 def score(docs: DataFrame, net: Network, text: str = "text") -> DataFrame:

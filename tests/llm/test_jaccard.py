@@ -112,6 +112,28 @@ def test_pairs_across_components_are_found_without_the_stars(spark, frame, rng,
     assert joined > 0.5
 
 
+def test_a_cell_gives_no_more_pairs_than_rows(rng):
+    base = [rng.getrandbits(63) for _ in range(120)]
+    sets = [np.unique(np.array(rng.sample(base, 116) + [rng.getrandbits(63)], np.uint64)) for _ in range(300)]
+    bits = pa.array([J.bit_sketch(s) for s in sets], pa.binary())
+    node = pa.array(range(300), pa.int64())
+    cell = pa.RecordBatch.from_arrays([pa.array([7] * 300, pa.int64()), pa.array([0] * 300, pa.int32()), node, node,
+                                       pa.array([len(s) for s in sets], pa.int64()), bits],
+                                      names=["cell", "side", "node", "component", "n", "bits"])
+    pairs = {take: sum(b.num_rows for b in J._across(80, take)(iter([cell]))) for take in ("closest", "other", "all")}
+    assert pairs == {"closest": 299, "other": 299, "all": 300 * 299 // 2}
+
+
+def test_short_sets_meet_under_no_constant_key(rng):
+    """Unrelated sets share no key, though some use few parts of their band."""
+    sets = [np.unique(np.array([rng.getrandbits(63) for _ in range(n)], np.uint64)) for n in (9, 10, 14, 20, 28, 40, 56, 79) for _ in range(300)]
+    keys, who = J.part_keys(sets, 80)
+    owners = {}
+    for k, w in zip(keys.tolist(), who.tolist()):
+        owners.setdefault(k, set()).add(w)
+    assert max(map(len, owners.values())) == 1
+
+
 def test_every_linked_pair_shares_a_key(rng):
     for _ in range(400):
         n = rng.choice([4, 5, 6, 8, 13, 30, 70, 150, 400])
