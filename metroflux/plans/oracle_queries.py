@@ -35,10 +35,10 @@ sql("dq_summary", "select status, count(*) as tests from (" + o.suite_sql(_tests
     + o.suite_sql(_tests) + ") r2")
 
 sql("dq_freshness", o.with_models("trips_raw") + """
-select max_loaded_at, at as snapshotted_at, date_diff('second', max_loaded_at, at) as max_loaded_at_time_ago_in_s,
-  if(at > max_loaded_at + interval 30 day, 'error', if(at > max_loaded_at + interval 7 day, 'warn', 'pass')) as status
+select max_loaded_at, t.now as snapshotted_at, date_diff('second', max_loaded_at, t.now) as max_loaded_at_time_ago_in_s,
+  if(t.now > max_loaded_at + interval 30 day, 'error', if(t.now > max_loaded_at + interval 7 day, 'warn', 'pass')) as status
 from (select max(tpep_pickup_datetime) as max_loaded_at from trips_raw) m
-cross join (values (timestamp '2024-03-03'), (timestamp '2024-03-14'), (timestamp '2024-05-01')) as t(at)""")
+cross join (values (timestamp '2024-03-03'), (timestamp '2024-03-14'), (timestamp '2024-05-01')) as t(now)""")
 
 sql("dq_orphans", o.with_models("fact_trips", "dim_location") + """
 select f.trip_id, f.pickup_location_id from fact_trips f
