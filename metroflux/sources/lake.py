@@ -8,9 +8,9 @@
 One landing parses its feed once and writes it once: each row goes to one of two outcomes, with the reason if it is
 rejected, and its counts are observed by that same write. Written files are counted from their footers. A landing
 writes aside; only when all counts agree, one row per batch is appended to `_current`, in one file, and from then on
-readers see the new version. A landing that fails at any point leaves what was there. A batch is a month of a
-source, or, where nothing is partitioned by time, what one feed brought; landing it again supersedes it, so a rerun doubles
-nothing. One landing per source at a time.
+readers see the new version. A landing that fails at any point leaves what was there. A feed is what is delivered
+together, such as a month's file; landing it again supersedes all that it brought before and nothing else, so a rerun doubles
+nothing, and a stray row of another month neither replaces that month nor is lost with it. One landing per source at a time.
 
 Files are clustered across the whole day by a space-filling curve over the columns that readers filter on, cut
 into ranges by a sample, so that minima and maxima in the footers rule most files out. Copies of one point
@@ -48,11 +48,10 @@ class Lake:
             return self.spark.createDataFrame([], CURRENT)
 
     def batches(self, source: str | None = None) -> DataFrame:
-        """The batches that readers see: the last version of each month, and of what each feed brought besides."""
+        """The batches that readers see: what the last landing of each feed brought, by month and outcome."""
         rows = self.audit() if source is None else self.audit().where(F.col("source") == source)
-        month = F.when((F.col("outcome") == "accepted") & F.col("by_month"), F.concat_ws("-", "data_year", "data_month"))
-        what = Window.partitionBy("source", "outcome", F.coalesce(month, "feed"))
-        return rows.withColumn("_last", F.max("version").over(what)).where(F.col("version") == F.col("_last")).drop("_last")
+        feed = Window.partitionBy("source", "feed")
+        return rows.withColumn("_last", F.max("version").over(feed)).where(F.col("version") == F.col("_last")).drop("_last")
 
     def _read(self, source: str, outcome: str) -> DataFrame:
         base = f"{self.root}/{source}"
@@ -79,7 +78,7 @@ class Lake:
              environment: str = "development") -> DataFrame:
         """Land a feed of any number of months and return its audit rows (also kept in `_current`).
 
-        `when` is a row's time; rows without one, or with a text in `reject`, become rejects of `feed`. With `when` None the
+        `when` is a row's time; rows without one, or with a text in `reject`, become rejects. With `when` None the
         source is not partitioned and needs no times. `near` gives the columns that files are clustered by, each with its number of
         bits. `files` is the number of ranges that the feed is cut into; without it Spark's partition sizing decides.
         """
@@ -119,9 +118,8 @@ class Lake:
         out = [(source, r.outcome, feed, str(r.year) if by_month and r.year is not None else None,
                 f"{int(r.month):02d}" if by_month and r.month is not None else None, version, r.row_count, columns, r.file_count,
                 by_month, ingested_at) for r in counted]
-        # a feed that brought none of an outcome supersedes what it brought before by nothing
-        out += [(source, o, feed, None, None, version, 0, columns, 0, by_month, ingested_at) for o, n in written.items()
-                if not n and not (o == "accepted" and by_month)]
+        # an empty feed supersedes what it brought before by nothing
+        out = out or [(source, "accepted", feed, None, None, version, 0, columns, 0, by_month, ingested_at)]
         rows = self.spark.createDataFrame(out, CURRENT)
         rows.coalesce(1).write.mode("append").parquet(f"{self.root}/_current")  # a row per month, in one file
         return rows

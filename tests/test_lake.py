@@ -44,16 +44,20 @@ def test_every_row_is_accepted_or_rejected_in_one_write(spark, tmp_path):
     assert "_reject" not in lake.read("trips").columns
 
 
-def test_a_month_landed_again_supersedes_itself_only(spark, tmp_path):
+def test_a_feed_landed_again_supersedes_itself_only(spark, tmp_path):
     lake = Lake(spark, str(tmp_path))
-    lake.land("trips", trips(spark, day(11, 1), day(11, 2), day(12, 1), None), PICKUP, AT, feed="a")
-    lake.land("trips", trips(spark, day(11, 5), None, None), PICKUP, AT, feed="b")
-    assert months(lake.read("trips")) == [("2025", 11, 1), ("2025", 12, 1)]
+    land = lambda feed, *times: lake.land("trips", trips(spark, *times), PICKUP, AT, feed=feed)
+    land("november", day(11, 1), day(11, 2), day(12, 1), None)  # with a stray row of December
+    land("december", day(12, 1), day(12, 2), day(11, 30), None, None)  # and one of November
+    assert months(lake.read("trips")) == [("2025", 11, 3), ("2025", 12, 3)]
     assert lake.rejects("trips").count() == 3
-    lake.land("trips", trips(spark, day(11, 6), day(11, 7)), PICKUP, AT, feed="b")  # the feed was mended: its rejects are gone
-    assert months(lake.read("trips")) == [("2025", 11, 2), ("2025", 12, 1)]
-    assert lake.rejects("trips").count() == 1
+    for _ in range(2):  # the feed was mended: its rejects are gone
+        land("december", day(12, 1), day(12, 2), day(12, 3), day(11, 30))
+        assert months(lake.read("trips")) == [("2025", 11, 3), ("2025", 12, 4)]
+        assert lake.rejects("trips").count() == 1
     assert lake.audit().count() > lake.batches().count()
+    lake.land("trips", trips(spark, day(11, 1)).limit(0), PICKUP, AT, feed="december")
+    assert months(lake.read("trips")) == [("2025", 11, 2), ("2025", 12, 1)]
 
 
 def test_a_landing_that_breaks_midway_leaves_the_old_rows(spark, tmp_path):
@@ -66,7 +70,7 @@ def test_a_landing_that_breaks_midway_leaves_the_old_rows(spark, tmp_path):
         lake.land("trips", broken, PICKUP, AT)
     assert sorted(map(str, lake.read("trips").collect())) == before
     lake.land("trips", new, PICKUP, AT)  # and the next one takes over
-    assert months(lake.read("trips")) == [("2025", 11, 28), ("2025", 12, 1)]
+    assert months(lake.read("trips")) == [("2025", 11, 28)]
 
 
 def test_counts_that_disagree_do_not_switch(spark, tmp_path, monkeypatch):
