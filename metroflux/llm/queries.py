@@ -208,16 +208,21 @@ n as (
 )
 select anchor_id, positive_id, rank, negative_id, positive_score, negative_score from n where rank <= 10"""
 
-ORACLE["op8_line_dedup"] = """
+ORACLE["op8_line_dedup"] = r"""
 with d as (select doc_id, string_split(text, chr(10)) as lines from documents),
-l as (select doc_id, unnest(lines) as line, unnest(range(len(lines))) as i from d),
-w as (
-  select doc_id, i, row_number() over (partition by line, two, three order by doc_id, i) as copy
-  from (select doc_id, i, line, lead(line, 1) over o as two, lead(line, 2) over o as three from l
-        window o as (partition by doc_id order by i)) x
-  where three is not null
-),
-gone as (select distinct doc_id, i + k as i from w, (values (0), (1), (2)) as t(k) where copy > 1),
+l as (select doc_id, unnest(lines) as line, unnest(range(len(lines))) as i, len(lines) as n from d),
+x as (
+  select *, lead(line, 1) over o as two, lead(line, 2) over o as three, words + coalesce(lead(words, 1) over o, 0) as words2
+  from (select *, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) as words from l) y window o as (partition by doc_id order by i)
+),
+w as (  -- runs of one and two lines need 20 words, a whole text of fewer than three lines one word
+  select doc_id, i, 1 as d, false as whole, line as a, null as b, null as c from x where words >= 20
+  union all select doc_id, i, 2, false, line, two, null from x where two is not null and words2 >= 20
+  union all select doc_id, i, 3, false, line, two, three from x where three is not null
+  union all select doc_id, i, n, true, line, two, null from x where i = 0 and n < 3 and words2 > 0
+),
+copies as (select *, row_number() over (partition by d, whole, a, b, c order by doc_id, i) as copy from w),
+gone as (select distinct doc_id, i + k as i from copies, (values (0), (1), (2)) as t(k) where copy > 1 and k < d),
 island as (select doc_id, i, i - row_number() over (partition by doc_id order by i) as island from gone),
 runs as (select doc_id, min(i) as a, max(i) as b from island group by doc_id, island),
 listed as (select doc_id, string_agg(a || '-' || b, ',' order by a) as runs, cast(sum(b - a + 1) as bigint) as n from runs group by doc_id),
