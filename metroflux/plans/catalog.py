@@ -35,7 +35,7 @@ def pipeline(spark: SparkSession, sf_dir: str, **kw) -> Pipeline:
     prepare(spark)
     f = Feeds(spark, sf_dir)
     return Pipeline(spark, f.trips_raw(), f.weather_raw(), f.alerts_raw(), f.zones(),
-                    bounds=FIXTURE_BOUNDS, **kw)
+                    **{"bounds": FIXTURE_BOUNDS, **kw})
 
 
 # --- step 1-3: staging, enrichment, demand, disruption ----------------------------
@@ -197,7 +197,8 @@ def q_dq_amount(spark, sf_dir):
 
 @query
 def q_dq_speed(spark, sf_dir):
-    return dq.dq_impossible_speed(pipeline(spark, sf_dir).fact_trips)
+    # the miles bound of staging is lower than the rule's, so it is lifted here: the rule judges what staging let through
+    return dq.dq_impossible_speed(pipeline(spark, sf_dir, bounds=dict(FIXTURE_BOUNDS, max_miles=200)).fact_trips)
 
 
 @query

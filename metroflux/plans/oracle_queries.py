@@ -23,19 +23,16 @@ from stg_trips m""")
 
 # --- data quality --------------------------------------------------------------
 
-from metroflux.plans.suite import suite as _suite  # noqa: E402
-
-_tests = _suite()
-sql("dq_report", o.suite_sql(_tests))
-sql("dq_not_null", o.suite_sql([t for t in _tests if t.kind == "not_null"]))
-sql("dq_unique", o.suite_sql([t for t in _tests if t.kind == "unique"]))
-sql("dq_accepted", o.suite_sql([t for t in _tests if t.kind == "accepted_values"]))
-sql("dq_summary", "select status, count(*) as tests from (" + o.suite_sql(_tests)
-    + ") r group by status union all select 'TOTAL' as status, count(*) as tests from ("
-    + o.suite_sql(_tests) + ") r2")
+sql("dq_report", o.suite_sql())
+sql("dq_not_null", o.suite_sql({"not_null"}))
+sql("dq_unique", o.suite_sql({"unique"}))
+sql("dq_accepted", o.suite_sql({"accepted_values"}))
+sql("dq_summary", f"""
+with r as ({o.suite_sql()})
+select coalesce(status, 'TOTAL') as status, count(*) as tests from r group by grouping sets ((status), ())""")
 
 sql("dq_freshness", o.with_models("trips_raw") + """
-select max_loaded_at, t.now as snapshotted_at, date_diff('second', max_loaded_at, t.now) as max_loaded_at_time_ago_in_s,
+select max_loaded_at, t.now as snapshotted_at, date_sub('second', max_loaded_at, t.now) as max_loaded_at_time_ago_in_s,
   if(t.now > max_loaded_at + interval 30 day, 'error', if(t.now > max_loaded_at + interval 7 day, 'warn', 'pass')) as status
 from (select max(tpep_pickup_datetime) as max_loaded_at from trips_raw) m
 cross join (values (timestamp '2024-03-03'), (timestamp '2024-03-14'), (timestamp '2024-05-01')) as t(now)""")
@@ -52,7 +49,7 @@ select trip_id, fare_amount, total_amount,
   {o.half_up('(fare_amount - total_amount)', 2)} as adjustment_amount
 from fact_trips where total_amount < fare_amount""")
 
-sql("dq_speed", o.with_models("fact_trips") + f"""
+sql("dq_speed", o.with_models("fact_trips").replace("trip_distance <= 40", "trip_distance <= 200") + f"""
 select trip_id, trip_distance_miles, trip_duration_minutes,
   {o.half_up('(trip_distance_miles / nullif(cast(trip_duration_minutes as double), 0) * 60)', 1)} as implied_speed_mph
 from fact_trips where trip_distance_miles > 100 and trip_duration_minutes < 30""")

@@ -23,7 +23,7 @@ def trips_raw(events: DataFrame) -> DataFrame:
     """One trip per event, a second copy of every 49th, and of some a trip a month later, a month earlier, or long ago.
 
     A third of all trips starts in one zone, most others in four, some in zones that the registry lacks. Miles have two,
-    three or five decimals; some trips have no pickup time.
+    three or five decimals; some trips have no pickup time, some are over 100 miles long.
     """
     i = F.col("event_id")
     e = events.select("event_id", "ts", "value")
@@ -37,8 +37,9 @@ def trips_raw(events: DataFrame) -> DataFrame:
         F.when(i % 211 != 5, F.col("ts")).alias("tpep_pickup_datetime"),
         F.timestamp_add("SECOND", i * 37 % 7200 - 600, F.col("ts")).alias("tpep_dropoff_datetime"),
         F.when(i % 89 == 0, F.lit(None)).otherwise(1 + i % 6).cast("bigint").alias("passenger_count"),
-        ((i * 31 % 4500).cast("double") / 100 + F.when(i % 7 == 0, (i % 997).cast("double") / 100000)
-         .when(i % 7 == 1, (i % 9).cast("double") / 1000).otherwise(0.0)).alias("trip_distance"),
+        F.when(i % 499 == 7, (101 + i % 50).cast("double")).otherwise(
+            (i * 31 % 4500).cast("double") / 100 + F.when(i % 7 == 0, (i % 997).cast("double") / 100000)
+            .when(i % 7 == 1, (i % 9).cast("double") / 1000).otherwise(0.0)).alias("trip_distance"),
         (1 + i % 4).cast("bigint").alias("RatecodeID"),
         F.lit("N").alias("store_and_fwd_flag"),
         pickup.cast("bigint").alias("PULocationID"),
@@ -58,9 +59,10 @@ def trips_raw(events: DataFrame) -> DataFrame:
 
 
 def weather_raw(events: DataFrame) -> DataFrame:
-    """One weather row for every hour that has at least one event, but for a few hours that the feed lacks."""
+    """One weather row for every hour that has at least one event, but for a few hours that the feed lacks and a few it has twice."""
     hours = events.select(truncate_hour("ts").alias("h")).distinct().where(
         (F.dayofmonth("h") % 11 != 5) | (F.hour("h") != 3))
+    hours = hours.unionByName(hours.where((F.dayofmonth("h") == 13) & (F.hour("h") == 7)))
     d, hr = F.dayofmonth("h"), F.hour("h")
     return hours.select(
         F.date_format("h", "yyyy-MM-dd'T'HH:mm").alias("datetime_hour"),
