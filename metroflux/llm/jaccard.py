@@ -43,6 +43,7 @@ from metroflux.llm.words import U, mix, shingles, word_hashes, word_spans
 
 BAND = 1.4
 SKETCH_BITS = 2048
+SMALL = 600  # shingles up to which a quarter of the bits tells unlike sets apart
 CELL = 512
 SPACES = 6  # hashes that short sets try before they enter empty parts, whose keys are constants of the band
 
@@ -168,9 +169,26 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def bit_sketch(s: np.ndarray) -> bytes:
-    """One bit per shingle, XORed: the Hamming distance of two sketches is at most the symmetric difference."""
+    """One bit per shingle, XORed: the Hamming distance of two sketches is at most the symmetric difference.
+
+    Sets of up to SMALL shingles have the sketch folded in four (quarters XORed), which keeps that bound.
+    """
     bits = np.bincount((mix(s ^ U(0xA0761D6478BD642F)) % U(SKETCH_BITS)).astype(np.int64), minlength=SKETCH_BITS) & 1
-    return np.packbits(bits.astype(np.uint8)).tobytes()
+    whole = np.packbits(bits.astype(np.uint8)).view(U)
+    return (fold(whole) if len(s) <= SMALL else whole).tobytes()
+
+
+def fold(sketch: np.ndarray) -> np.ndarray:
+    """A sketch of a quarter of the bits."""
+    return np.bitwise_xor.reduce(sketch.reshape(4, -1), axis=0)
+
+
+def _sketches(*columns: list[bytes]) -> list[np.ndarray]:
+    """Columns of sketches as matrices of one width: with any folded one among them, all are folded."""
+    widths = {len(x) for c in columns for x in c}
+    if len(widths) > 1:
+        columns = [[x if len(x) == min(widths) else fold(np.frombuffer(x, U)).tobytes() for x in c] for c in columns]
+    return [np.frombuffer(b"".join(c), U).reshape(len(c), -1) for c in columns]
 
 
 @tidy()
@@ -211,8 +229,13 @@ def _plausible(percent: int):
         for batch in batches:
             if batch.num_rows:
                 n = [batch.column(i).to_numpy() for i in (2, 3)]
-                x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), U).reshape(batch.num_rows, -1) for i in (4, 5))
-                far = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
+                left, right = (batch.column(i).to_pylist() for i in (4, 5))
+                far = np.zeros(batch.num_rows, np.int64)
+                short = np.array([min(len(u), len(v)) for u, v in zip(left, right, strict=True)])
+                for width in np.unique(short):  # a pair with a folded sketch is compared folded
+                    at = np.flatnonzero(short == width)
+                    x, y = _sketches([left[i] for i in at], [right[i] for i in at])
+                    far[at] = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
                 fine = pa.array(far <= (n[0] + n[1]) * (100 - percent) // (100 + percent))
                 yield pa.RecordBatch.from_arrays([batch.column(0).filter(fine), batch.column(1).filter(fine)], names=["a", "b"])
     return run
@@ -305,19 +328,21 @@ def _across(percent: int, take: str):
         waiting, cell = [], None
 
         def flush():
-            cols = [np.concatenate(c) for c in zip(*waiting, strict=True)]
+            *cols, bits = zip(*waiting, strict=True)
+            cols = [np.concatenate(c) for c in cols]
             if len(cols[0]) < 2:
                 return None
-            found = sorted(set(compare(cols)))
+            found = sorted(set(compare([*cols, _sketches([x for part in bits for x in part])[0]])))
             a, b = zip(*found, strict=True) if found else ((), ())
-            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+            return pa.RecordBatch.from_arrays([pa.array([cell] * len(a), pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64())],
+                                              names=["cell", "a", "b"])
 
         for batch in batches:
             if not batch.num_rows:
                 continue
             cells = batch.column(0).to_numpy()
             cols = [batch.column(i).to_numpy() for i in (1, 2, 3, 4)]
-            bits = np.frombuffer(b"".join(batch.column(5).to_pylist()), U).reshape(len(cells), -1)
+            bits = batch.column(5).to_pylist()
             edges = [0, *(np.flatnonzero(cells[1:] != cells[:-1]) + 1).tolist(), len(cells)]
             for a, b in zip(edges, edges[1:], strict=False):
                 if cell is not None and cells[a] != cell:
@@ -331,8 +356,11 @@ def _across(percent: int, take: str):
     return run
 
 
-def _open_pairs(members: DataFrame, comps: DataFrame, sketches: DataFrame, percent: int, take: str) -> DataFrame:
-    """Pairs across components that share a key and have not been verified: see the module's text on groups."""
+def _open_pairs(members: DataFrame, comps: DataFrame, sketches: DataFrame, percent: int, take: str, cells_open: DataFrame | None) -> DataFrame:
+    """(cell, a, b): pairs across components that share a key and have not been verified; see the module's text on groups.
+
+    `cells_open` are the cells in which an earlier round found a pair; where it found none there never is one, for components only grow.
+    """
     with_comp = members.select("key", "node").join(comps, "node", "left").select(
         "key", "node", F.coalesce("component", "node").alias("component"))
     mixed = with_comp.groupBy("key").agg(
@@ -344,8 +372,10 @@ def _open_pairs(members: DataFrame, comps: DataFrame, sketches: DataFrame, perce
     cells = rows.withColumn("other", other).select(
         F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other")).alias("cell"),
         F.signum(F.col("block") - F.col("other")).cast("int").alias("side"), "node", "component")
+    if cells_open is not None:
+        cells = cells.join(cells_open, "cell", "left_semi")
     ready = cells.join(sketches.select("node", "n", "bits"), "node").select("cell", "side", "node", "component", "n", "bits")
-    return ready.repartition("cell").sortWithinPartitions("cell").mapInArrow(_across(percent, take), "a long, b long").distinct()
+    return ready.repartition("cell").sortWithinPartitions("cell").mapInArrow(_across(percent, take), "cell long, a long, b long")
 
 
 def similar_groups(docs: DataFrame, percent: int = 80) -> DataFrame:
@@ -370,16 +400,22 @@ def similar_groups(docs: DataFrame, percent: int = 80) -> DataFrame:
     best = stars.groupBy("b").agg(F.max_by("a", F.struct("keys", -F.col("a"))).alias("a")).select("a", "b")
     links = scratch.keep(verify(best, texts, percent, scratch), "links")
     comps = scratch.keep(components(links, scratch), "components")
-    rest = [lambda: _across_components(stars.select("a", "b").join(best, ["a", "b"], "left_anti"), comps)]
-    rest += [lambda take=take: _open_pairs(members, comps, texts.sketches, percent, take) for take in ("closest", "other", "all")]
-    for pairs in rest:
-        pairs = scratch.keep(pairs(), "pairs")
-        if pairs.isEmpty():
-            continue
-        more = scratch.keep(verify(pairs, texts, percent, scratch), "more")
+
+    def settle(pairs: DataFrame) -> None:
+        nonlocal links, comps
+        more = scratch.keep(verify(pairs.select("a", "b").distinct(), texts, percent, scratch), "more")
         if not more.isEmpty():
             links = links.unionByName(more)
             comps = scratch.keep(components(links, scratch), "components")
+
+    settle(_across_components(stars.select("a", "b").join(best, ["a", "b"], "left_anti"), comps))
+    cells_open = None
+    for take in ("closest", "other", "all"):
+        pairs = scratch.keep(_open_pairs(members, comps, texts.sketches, percent, take, cells_open), "pairs")
+        if pairs.isEmpty():
+            break
+        settle(pairs)
+        cells_open = pairs.select("cell").distinct()
     return _label(info, comps)
 
 
