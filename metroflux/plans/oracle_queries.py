@@ -49,12 +49,12 @@ select trip_id, fare_amount, total_amount,
   {o.half_up('(fare_amount - total_amount)', 2)} as adjustment_amount
 from fact_trips where total_amount < fare_amount""")
 
-sql("dq_speed", o.with_models("fact_trips").replace("trip_distance <= 40", "trip_distance <= 200") + f"""
+sql("dq_speed", o.with_models("fact_trips", odd=True).replace("trip_distance <= 40", "trip_distance <= 200") + f"""
 select trip_id, trip_distance_miles, trip_duration_minutes,
   {o.half_up('(trip_distance_miles / nullif(cast(trip_duration_minutes as double), 0) * 60)', 1)} as implied_speed_mph
 from fact_trips where trip_distance_miles > 100 and trip_duration_minutes < 30""")
 
-sql("batch_stats", o.with_models("trips_raw") + """
+sql("batch_stats", o.with_models("trips_raw", odd=True) + """
 select count(*) as row_count, cast(20 as bigint) as column_count, strftime(tpep_pickup_datetime, '%Y') as data_year,
   strftime(tpep_pickup_datetime, '%m') as data_month, true as schema_validated
 from trips_raw where tpep_pickup_datetime is not null group by 3, 4""")
@@ -246,7 +246,7 @@ select concat('a', cast(event_id as varchar)) as alert_id, subway_line,
   '2024-02-01T00:00:00' as ingested_at
 from l""")
 
-sql("load_manifest", o.with_models("trips_raw", "weather_raw", "alerts_raw") + """
+sql("load_manifest", o.with_models("trips_raw", "weather_raw", "alerts_raw", odd=True) + """
 select 'trips' as source, strftime(tpep_pickup_datetime, '%Y') as data_year,
   strftime(tpep_pickup_datetime, '%m') as data_month, count(*) as row_count, 'success' as status
 from trips_raw where tpep_pickup_datetime is not null group by 2, 3
@@ -293,13 +293,13 @@ sql("dq_lineitem_orphans", """
 select l.l_orderkey, l.l_linenumber from lineitem l
 where not exists (select 1 from orders o where o.o_orderkey = l.l_orderkey and o.o_orderstatus <> 'P')""")
 
-sql("incremental_landing", o.with_models("trips_raw") + """
+sql("incremental_landing", o.with_models("trips_raw", odd=True) + """
 select strftime(tpep_pickup_datetime, '%Y') as data_year, strftime(tpep_pickup_datetime, '%m') as data_month,
   count(*) as row_count
 from trips_raw where tpep_pickup_datetime is not null group by 1, 2""")
 
 
-sql("landed_trips", o.with_models("trips_raw") + """
+sql("landed_trips", o.with_models("trips_raw", odd=True) + """
 select t.*, strftime(tpep_pickup_datetime, '%Y') as year, strftime(tpep_pickup_datetime, '%m') as month,
   strftime(tpep_pickup_datetime, '%Y-%m-%d') as day, '2024-02-01T00:00:00' as _ingested_at, 'trips' as _source,
   '1.0.0' as _pipeline_version, 'development' as _environment
@@ -311,7 +311,7 @@ where event_type = 'error' and (event_id % 101 = 0 or event_id % 83 = 0)
 union all select 'weather', count(distinct date_trunc('month', ts)) from events
   where extract(day from ts) % 11 <> 5 or extract(hour from ts) <> 3""")
 
-sql("landing_balance", o.with_models("trips_raw", "weather_raw", "alerts_raw") + """
+sql("landing_balance", o.with_models("trips_raw", "weather_raw", "alerts_raw", odd=True) + """
 select 'trips' as source, count(*) as input_rows, count(tpep_pickup_datetime) as accepted,
   count(*) filter (where tpep_pickup_datetime is null) as rejected from trips_raw
 union all
@@ -320,12 +320,12 @@ from (select count(*) as hours, count(distinct substr(datetime_hour, 1, 7)) as m
 union all
 select 'mta_alerts', count(*), count(start_time), 0 from alerts_raw""")
 
-sql("landed_rejects", o.with_models("trips_raw") + """
+sql("landed_rejects", o.with_models("trips_raw", odd=True) + """
 select tpep_dropoff_datetime, VendorID, PULocationID, DOLocationID, fare_amount, '2024-02-01T00:00:00' as _ingested_at,
   'no time' as reason
 from trips_raw where tpep_pickup_datetime is null""")
 
-sql("landed_zone", o.with_models("trips_raw") + """
+sql("landed_zone", o.with_models("trips_raw", odd=True) + """
 select tpep_pickup_datetime, PULocationID, DOLocationID, trip_distance, fare_amount
 from trips_raw where tpep_pickup_datetime is not null and DOLocationID = 77""")
 

@@ -19,25 +19,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def trips_raw(events: DataFrame) -> DataFrame:
+def trips_raw(events: DataFrame, odd: bool = False) -> DataFrame:
     """One trip per event, a second copy of every 49th, and of some a trip a month later, a month earlier, or long ago.
 
     A third of all trips starts in one zone, most others in four, some in zones that the registry lacks. Miles have two,
-    three or five decimals; some trips have no pickup time, some are over 100 miles long.
+    three or five decimals. With `odd` further rows come in, some without a pickup time and some over 100 miles long.
     """
     i = F.col("event_id")
     e = events.select("event_id", "ts", "value")
     days = F.when(i % 97 == 1, 31).when(i % 97 == 2, -31).when(i % 97 == 3, -8000).otherwise(0)
     more = e.where((i % 49 == 0) | (i % 97).between(1, 3)).withColumn("ts", F.timestamp_add("DAY", days, F.col("ts")))
     e = e.unionByName(more)
+    when, long = F.col("ts"), F.lit(False)
+    if odd:
+        rows = events.select("event_id", "ts", "value")
+        e = e.withColumn("odd", F.lit("")).unionByName(rows.where(i % 211 == 5).withColumn("odd", F.lit("undated"))).unionByName(
+            rows.where(i % 499 == 7).withColumn("odd", F.lit("long")))
+        when, long = F.when(F.col("odd") != "undated", F.col("ts")), F.col("odd") == "long"
     pickup = F.when(i % 3 == 0, 132).when(i % 40 == 1, 251 + i % 15).otherwise(1 + i * 13 % 4)
     tip = (i * 7 % 1500).cast("double") / 100
     return e.select(
         (1 + i % 2).cast("bigint").alias("VendorID"),
-        F.when(i % 211 != 5, F.col("ts")).alias("tpep_pickup_datetime"),
+        when.alias("tpep_pickup_datetime"),
         F.timestamp_add("SECOND", i * 37 % 7200 - 600, F.col("ts")).alias("tpep_dropoff_datetime"),
         F.when(i % 89 == 0, F.lit(None)).otherwise(1 + i % 6).cast("bigint").alias("passenger_count"),
-        F.when(i % 499 == 7, (101 + i % 50).cast("double")).otherwise(
+        F.when(long, (101 + i % 50).cast("double")).otherwise(
             (i * 31 % 4500).cast("double") / 100 + F.when(i % 7 == 0, (i % 997).cast("double") / 100000)
             .when(i % 7 == 1, (i % 9).cast("double") / 1000).otherwise(0.0)).alias("trip_distance"),
         (1 + i % 4).cast("bigint").alias("RatecodeID"),
@@ -58,11 +64,12 @@ def trips_raw(events: DataFrame) -> DataFrame:
     )
 
 
-def weather_raw(events: DataFrame) -> DataFrame:
-    """One weather row for every hour that has at least one event, but for a few hours that the feed lacks and a few it has twice."""
+def weather_raw(events: DataFrame, odd: bool = False) -> DataFrame:
+    """One weather row for every hour that has at least one event, but for a few hours that the feed lacks. With `odd` it has some twice."""
     hours = events.select(truncate_hour("ts").alias("h")).distinct().where(
         (F.dayofmonth("h") % 11 != 5) | (F.hour("h") != 3))
-    hours = hours.unionByName(hours.where((F.dayofmonth("h") == 13) & (F.hour("h") == 7)))
+    if odd:
+        hours = hours.unionByName(hours.where((F.dayofmonth("h") == 13) & (F.hour("h") == 7)))
     d, hr = F.dayofmonth("h"), F.hour("h")
     return hours.select(
         F.date_format("h", "yyyy-MM-dd'T'HH:mm").alias("datetime_hour"),
@@ -118,17 +125,17 @@ def zones(nation: DataFrame) -> DataFrame:
 class Feeds:
     """The four raw feeds of one test-data directory, built lazily."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
+    def __init__(self, spark: SparkSession, sf_dir: str, odd: bool = False):
+        self.spark, self.sf_dir, self.odd = spark, sf_dir, odd
 
     def table(self, name: str) -> DataFrame:
         return table(self.spark, self.sf_dir, name)
 
     def trips_raw(self) -> DataFrame:
-        return trips_raw(self.table("events"))
+        return trips_raw(self.table("events"), self.odd)
 
     def weather_raw(self) -> DataFrame:
-        return weather_raw(self.table("events"))
+        return weather_raw(self.table("events"), self.odd)
 
     def alerts_raw(self) -> DataFrame:
         return alerts_raw(self.table("events"))
@@ -141,10 +148,10 @@ class Feeds:
 # JSON feed documents derived from the test tables
 # ---------------------------------------------------------------------------
 
-def weather_json_docs(events: DataFrame) -> DataFrame:
+def weather_json_docs(events: DataFrame, odd: bool = False) -> DataFrame:
     """One columnar weather document per month of hours (at most 744 hours per document), and per month one without hours."""
     from metroflux.sources.json_feeds import WEATHER_MEASURES
-    w = weather_raw(events)
+    w = weather_raw(events, odd)
     month = F.substring("datetime_hour", 1, 7)
     g = w.groupBy(month.alias("m"), "latitude", "longitude", "timezone").agg(
         F.sort_array(F.collect_list(F.struct("datetime_hour", *WEATHER_MEASURES))).alias("h"))
