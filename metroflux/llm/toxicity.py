@@ -32,6 +32,7 @@ from metroflux.llm.common import give_back, held_out, text_slices, tidy
 MAX_WORD = 64
 WORD = re.compile(rf"[^\W\d_]{{1,{MAX_WORD}}}")  # a longer run of letters is read as several words, all of it
 WINDOW, STRIDE = 32, 16
+AT_ONCE = 1024  # windows scored together: about 15 MB of states
 TRIGRAMS = 4096
 WORD_DIM = CHAR_DIM = 8
 HIDDEN = 8
@@ -283,8 +284,8 @@ class Scorer:
                 places.append(np.where(at >= 0, at + shift, len(rows) - 1))
                 shift += len(words)
             at = np.concatenate(places)
-            logits = np.concatenate([self.net.logits(self.gates[rows[at[i:i + 4096]]], at[i:i + 4096] < len(rows) - 1)
-                                     for i in range(0, len(at), 4096)])
+            logits = np.concatenate([self.net.logits(self.gates[rows[at[i:i + AT_ONCE]]], at[i:i + AT_ONCE] < len(rows) - 1)
+                                     for i in range(0, len(at), AT_ONCE)])
             yield from np.split(logits, np.cumsum([len(p) for p in places])[:-1])
 
     def scores(self, texts: list[str | None]) -> np.ndarray:
