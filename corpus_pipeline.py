@@ -50,12 +50,18 @@ def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [("toxicity", toxicity), ("line_dedup", line_dedup), ("jaccard_join", jaccard_join),
           ("decontamination", decontamination), ("bpe", bpe)]
 
+# Rows of an Arrow batch between Spark and its Python workers: whole texts are large rows, and every worker holds a batch on both sides.
+ARROW_ROWS = 2000
+_ARROW_ROWS, _BUILT_IN = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
+
 # The first stage is a trained network, and tokens are not SQL; tests hold every stage against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply all stages to `documents`, each to the written result of the one before."""
+    if spark.conf.get(_ARROW_ROWS) == _BUILT_IN:  # whatever else the session says stays
+        spark.conf.set(_ARROW_ROWS, ARROW_ROWS)
     docs = read_table(spark, sf_dir, "documents")
     scratch = Scratch(spark, "pipeline")
     for name, stage in STAGES[:-1]:
