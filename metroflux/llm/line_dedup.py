@@ -46,7 +46,7 @@ def _entries(n: int, min_words: int) -> Column:
     return F.filter(every, lambda e: words(e) >= min_words) if min_words else every
 
 
-def _starts(docs: DataFrame, min_lines: int, min_words: int) -> DataFrame:
+def _starts(docs: DataFrame, min_lines: int, min_words: int, whole_texts: bool) -> DataFrame:
     """(row, doc_id, line, n, name): every run of n lines that counts, with its first line and its name."""
     lines = _lines(F.col("text"))
     ids = F.transform(lines, lambda x: F.xxhash64(x, F.length(x)))
@@ -60,7 +60,7 @@ def _starts(docs: DataFrame, min_lines: int, min_words: int) -> DataFrame:
         doubled[n] = f"names{n}"
     entries = [_entries(n, 0 if n == min_lines else min_words) for n in range(1, min_lines + 1)]
     size = F.size("names1")
-    whole = F.when((size < min_lines) & F.exists("words", lambda w: w > 0),
+    whole = F.when(F.lit(whole_texts) & (size < min_lines) & F.exists("words", lambda w: w > 0),
                    F.array(F.struct(F.lit(0).alias("line"), size.alias("n"), F.xxhash64("names1", F.lit("whole")).alias("name"))))
     both = F.concat(*entries, F.coalesce(whole, F.array().cast("array<struct<line:int,n:int,name:bigint>>")))
     rows = rows.select("row", "doc_id", both.alias("entries"))
@@ -68,12 +68,12 @@ def _starts(docs: DataFrame, min_lines: int, min_words: int) -> DataFrame:
     return rows.select("row", "doc_id", F.explode_outer("entries").alias("e")).where(F.col("e").isNotNull()).select("row", "doc_id", "e.*")
 
 
-def repeated_runs(docs: DataFrame, min_lines: int = 3, min_words: int = 20) -> DataFrame:
+def repeated_runs(docs: DataFrame, min_lines: int = 3, min_words: int = 20, whole_texts: bool = True) -> DataFrame:
     """(row, runs): for every row of `docs` that loses lines, its runs as an array of (first, last) line numbers.
 
     `docs` has row, doc_id and text; lines are numbered from 0.
     """
-    starts = _starts(docs, min_lines, min_words)
+    starts = _starts(docs, min_lines, min_words, whole_texts)
     place = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "row", "line")
     intervals = starts.groupBy("name").agg(F.min(place).alias("kept"), F.count(F.lit(1)).alias("members"))
     scratch = Scratch(docs.sparkSession, "line-runs")
@@ -87,11 +87,12 @@ def repeated_runs(docs: DataFrame, min_lines: int = 3, min_words: int = 20) -> D
     return scratch.keep(runs.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("first", "last"))).alias("runs")), "runs")
 
 
-def drop_repeated_lines(docs: DataFrame, min_lines: int = 3, with_runs: bool = False, min_words: int = 20) -> DataFrame:
+def drop_repeated_lines(docs: DataFrame, min_lines: int = 3, with_runs: bool = False, min_words: int = 20,
+                        whole_texts: bool = True) -> DataFrame:
     """`docs` with the later copies of repeated line runs cut out of `text`; every row stays.
 
     A run has at least `min_lines` lines, or `min_words` words (stretches without blanks) in fewer lines, or is a whole text of fewer lines
-    with a word in it. Lines are compared exactly; a run may repeat within one text.
+    with a word in it (not with `whole_texts` False, where a later step removes whole copies). Lines are compared exactly; a run may repeat within one text.
     NULL texts stay NULL; a text whose lines all go becomes empty. Repeated rows and rows that share an id are
     texts of their own: the first by (doc_id, row) keeps its lines, NULL ids come last.
     All columns are kept. With `with_runs` a column `runs` holds the cut (first, last) line numbers.
@@ -100,7 +101,7 @@ def drop_repeated_lines(docs: DataFrame, min_lines: int = 3, with_runs: bool = F
     data = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("d")).select(
         F.monotonically_increasing_id().alias("row"), "d")
     runs = repeated_runs(data.select("row", F.col("d.doc_id").cast("long").alias("doc_id"), F.col("d.text").alias("text")),
-                         min_lines, min_words)
+                         min_lines, min_words, whole_texts)
     marked = may_hold(data, "row", id_bitmap(runs, "row"), "touched")
     none = F.array().cast("array<struct<first:int,last:int>>")
     same = marked.where(~F.col("touched")).select("d", none.alias("runs"), F.col("d.text").alias("new"))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from metroflux.llm.line_dedup import drop_repeated_lines
 
 
-def brute(rows, m, words=20):
+def brute(rows, m, words=20, whole=True):
     """Texts after the later copies of repeated runs are cut: m lines, or fewer with enough words, or a whole text of fewer lines."""
     order = sorted(range(len(rows)), key=lambda i: (rows[i][0] is None, rows[i][0] or 0, i))
     count = lambda lines: sum(len(re.findall(r"[^\x20\x09-\x0D]+", x)) for x in lines)
@@ -14,7 +14,7 @@ def brute(rows, m, words=20):
     for i in order:
         lines = rows[i][1].split("\n") if rows[i][1] is not None else []
         runs = [(a, n, tuple(lines[a:a + n])) for n in range(1, m + 1) for a in range(len(lines) - n + 1) if n == m or count(lines[a:a + n]) >= words]
-        if len(lines) < m and count(lines):
+        if whole and len(lines) < m and count(lines):
             runs.append((0, len(lines), ("whole", *lines)))
         for a, n, w in runs:
             if w in seen:

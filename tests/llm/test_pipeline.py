@@ -34,7 +34,7 @@ def test_stages_equal_brute_force(spark, tmp_path):
     rows = sorted((d, t) for d, t in texts.items() if not scores[d])
     assert sorted((r.doc_id, r.text) for r in kept["toxicity"]) == rows
     # 2. later copies of runs of three lines
-    rows = sorted(brute_lines(rows, 3))
+    rows = sorted(brute_lines(rows, 3, whole=False))
     assert sorted((r.doc_id, r.text) for r in kept["line_dedup"]) == rows
     assert all(r.n_chars == len(r.text) for r in kept["line_dedup"])
     # 3. one of each group
