@@ -27,8 +27,8 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later copies of repeated line runs are cut out of the texts; n_chars follows."""
-    out = drop_repeated_lines(docs)
+    """Later copies of repeated line runs are cut out of the texts; n_chars follows. Short whole copies are left to the next stage."""
+    out = drop_repeated_lines(docs, whole_texts=False)
     return out.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns) if "n_chars" in docs.columns else out
 
 
