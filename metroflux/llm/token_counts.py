@@ -6,8 +6,9 @@ summed per document.
 
 The join of documents with pre-tokens is split by frequency. The most frequent
 pre-tokens, which hold nearly all occurrences and would be hot join keys, are
-a lookup of fixed size (`frequent` entries of at most `frequent_bytes` bytes)
-that every task gets, so their occurrences are summed inside the task. Only the
+a lookup of bounded size (at most `frequent` entries of at most `frequent_bytes` bytes)
+that every task gets, so their occurrences are summed inside the task. They are chosen by a
+least frequency, read off a histogram of a few hundred steps; nothing is sorted. Only the
 rare rest meets its counts through a shuffle join. The split changes where a
 product is formed, never the result.
 """
@@ -111,25 +112,44 @@ def pretoken_pieces(docs: DataFrame, path: str, text: str = "text", flush: int =
     return totals.mapInArrow(_count_pieces(path), "pretoken string, freq long, pieces long")
 
 
+def frequent_pieces(pieces: DataFrame, frequent: int, frequent_bytes: int) -> DataFrame:
+    """(pretoken, pieces) of pre-tokens from a least frequency on, chosen so that at most `frequent` reach it.
+
+    Frequencies are counted in steps of a sixteenth of an octave, so the histogram has about a thousand rows at most;
+    a step that would pass the bound is left out as a whole.
+    """
+    short = pieces.where(F.octet_length("pretoken") <= frequent_bytes).withColumn("step", F.floor(F.log2("freq") * 16))
+    least, room = 1 << 16, frequent  # above every step: no entry
+    for r in short.groupBy("step").count().orderBy(F.desc("step")).collect():
+        room -= r["count"]
+        if room < 0:
+            break
+        least = r["step"]
+    return short.where(F.col("step") >= least).select("pretoken", "pieces")
+
+
 def count_tokens(docs: DataFrame, path: str, limit: int = 2048, frequent: int = 200_000,
                  frequent_bytes: int = 64) -> DataFrame:
     """Per row of `docs` (doc_id, text): doc_id, n_bytes, n_tokens and over_limit (n_tokens > limit).
 
-    NULL and empty texts have 0 bytes and 0 tokens. Repeated rows and NULL ids
-    are counted row by row. Other columns of `docs` are not read.
+    NULL and empty texts have 0 bytes and 0 tokens; a very long text is counted whole. Repeated rows and NULL ids
+    are counted row by row, and an empty table gives no row. Pre-tokens of equal frequency are treated alike. Other columns
+    of `docs` are not read, whatever their names.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "token-counts")
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
     pieces = scratch.keep(pretoken_pieces(docs, path), "pieces")
-    top = (pieces.where(F.octet_length("pretoken") <= frequent_bytes)
-           .orderBy(F.desc("freq"), "pretoken").limit(frequent).select("pretoken", "pieces").toArrow())
+    top = frequent_pieces(pieces, frequent, frequent_bytes).toArrow()  # bounded by `frequent` and `frequent_bytes`
     lookup = spark.sparkContext.broadcast(dict(zip(top.column(0).to_pylist(), top.column(1).to_pylist(), strict=True)))
     # one row per document with what the lookup covers, and one per rare pre-token of it
-    parts = rows.mapInArrow(_document_sums(path, lookup),
-                            "row long, doc_id long, n_bytes long, known long, pretoken string, freq long")
-    rare = parts.join(pieces.select("pretoken", "pieces"), "pretoken", "left")
-    return rare.groupBy("row").agg(
-        F.max("doc_id").alias("doc_id"), F.max("n_bytes").alias("n_bytes"),
-        F.sum(F.col("known") + F.col("freq") * F.coalesce("pieces", F.lit(0))).alias("n_tokens")
+    parts = scratch.keep(rows.mapInArrow(_document_sums(path, lookup),
+                                         "row long, doc_id long, n_bytes long, known long, pretoken string, freq long"), "parts")
+    own = parts.where(F.col("pretoken").isNull()).select("row", "doc_id", "n_bytes", F.col("known").alias("n"))
+    rare = (parts.where(F.col("pretoken").isNotNull()).select("row", "pretoken", "freq")
+            .join(pieces.select("pretoken", "pieces"), "pretoken")  # every pre-token of a document is one of the corpus
+            .select("row", F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("long").alias("n_bytes"),
+                    (F.col("freq") * F.col("pieces")).alias("n")))
+    return own.unionByName(rare).groupBy("row").agg(
+        F.max("doc_id").alias("doc_id"), F.max("n_bytes").alias("n_bytes"), F.sum("n").alias("n_tokens")
     ).select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))

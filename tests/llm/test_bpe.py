@@ -6,7 +6,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from metroflux.llm.bpe import BpeEncoder, decode, encode, encode_digest
-from metroflux.llm.token_counts import count_tokens
+from metroflux.llm.token_counts import count_tokens, frequent_pieces
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 ODD = ["", " ", "\n\t ", "Hello  World's 123", "a<|endoftext|>b<|startoftext|>", "<|ENDOFTEXT|>", "it's we'll 'tis ''s",
@@ -96,3 +96,15 @@ def test_token_counts(spark, frame, library, frequent):
         want.append((i, len((t or "").encode()), n, n > 5))
     assert got == sorted(want, key=str)
     assert count_tokens(frame([]), PATH, frequent=frequent).count() == 0
+
+
+def test_frequent_pieces_stay_within_their_bound(spark):
+    freqs = [1] * 500 + [2] * 100 + [3] * 40 + [50, 51, 52, 900, 10**6, 10**12]
+    rows = [(f"p{i}", n, 1) for i, n in enumerate(freqs)] + [("x" * 65, 10**9, 9)]
+    pieces = spark.createDataFrame(rows, "pretoken string, freq long, pieces long")
+    of = dict((p, n) for p, n, _ in rows)
+    for bound, least in ((10_000, 1), (146, 2), (145, 3), (46, 3), (45, 50), (6, 50), (1, 10**12), (0, None)):
+        got = {r.pretoken for r in frequent_pieces(pieces, bound, 64).collect()}
+        assert len(got) <= bound
+        assert got == {p for p, n in of.items() if least and n >= least and len(p) <= 64}, bound
+    assert frequent_pieces(pieces.limit(0), 5, 64).count() == 0
