@@ -462,6 +462,39 @@ def q_landed_alerts(spark, sf_dir):
     return lake.read("alerts").select(*columns).unionByName(lake.rejects("alerts").select(*columns))
 
 
+def _land_drifting(spark, sf_dir):
+    """Trips in a feed up to January 2024 and one after it, whose columns have drifted."""
+    from metroflux.sources.lake import Lake
+    trips = pipeline(spark, sf_dir, odd=True).trips_raw
+    later = F.coalesce(_pickup() >= F.lit("2024-02-01").cast("timestamp_ntz"), F.lit(False))
+    drifted = trips.where(later).withColumns({
+        "passenger_count": F.col("passenger_count").cast("double"), "RatecodeID": F.col("RatecodeID").cast("int"),
+        "booking": F.when(F.col("VendorID") == 1, "app")}).withColumnRenamed("Airport_fee", "airport_fee").drop("cbd_congestion_fee")
+    lake = Lake(spark, _run_folder(spark, "lake"))
+    lake.land("trips", trips.where(~later), _pickup(), INGESTED_AT, feed="to 2024-01")
+    lake.land("trips", drifted, _pickup(), INGESTED_AT, feed="after 2024-01")
+    return lake
+
+
+@query
+def q_landed_drift(spark, sf_dir):
+    """Trips of two feeds with differing columns, read back under the merged schema."""
+    from metroflux.schemas import TRIPS_RAW
+    return _land_drifting(spark, sf_dir).read("trips", TRIPS_RAW).select(
+        "tpep_pickup_datetime", "VendorID", "passenger_count", "RatecodeID", "PULocationID", "DOLocationID", "fare_amount",
+        "Airport_fee", "cbd_congestion_fee", "booking")
+
+
+@query
+def q_schema_drift(spark, sf_dir):
+    """What drifted between the feeds, with the accepted rows that each departure concerns."""
+    from metroflux.schemas import TRIPS_RAW
+    lake = _land_drifting(spark, sf_dir)
+    rows = lake.batches("trips").where(F.col("outcome") == "accepted").groupBy(F.col("feed").alias("batch")).agg(
+        F.sum("row_count").alias("row_count"))
+    return lake.drift("trips", TRIPS_RAW).join(rows, "batch")
+
+
 # --- step 8: the same operators on a second shape ----------------------------------
 
 from metroflux.operators.dedupe import dedupe  # noqa: E402

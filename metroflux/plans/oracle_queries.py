@@ -311,6 +311,29 @@ where event_type = 'error' and (event_id % 101 = 0 or event_id % 83 = 0)
 union all select 'weather', count(distinct date_trunc('month', ts)) from events
   where extract(day from ts) % 11 <> 5 or extract(hour from ts) <> 3""")
 
+sql("landed_drift", o.with_models("trips_raw", odd=True) + """
+select tpep_pickup_datetime, VendorID, cast(passenger_count as double) as passenger_count, RatecodeID, PULocationID, DOLocationID,
+       fare_amount, Airport_fee,
+       case when tpep_pickup_datetime < timestamp '2024-02-01' then cbd_congestion_fee end as cbd_congestion_fee,
+       case when tpep_pickup_datetime >= timestamp '2024-02-01' and VendorID = 1 then 'app' end as booking
+from trips_raw where tpep_pickup_datetime is not null
+""")
+
+# the departures are stated; how many rows they concern is counted
+sql("schema_drift", o.with_models("trips_raw", odd=True) + """
+, departures(later, batch, column_name, kind, found, merged) as (values
+    (true, 'after 2024-01', 'passenger_count', 'type', 'double', null),
+    (true, 'after 2024-01', 'RatecodeID', 'type', 'int', 'bigint'),
+    (true, 'after 2024-01', 'Airport_fee', 'name', 'airport_fee', 'Airport_fee'),
+    (true, 'after 2024-01', 'cbd_congestion_fee', 'missing', null, 'double'),
+    (false, 'to 2024-01', 'passenger_count', 'type', 'bigint', 'double'),
+    (false, 'to 2024-01', 'booking', 'missing', null, 'string')),
+counted as (select tpep_pickup_datetime >= timestamp '2024-02-01' as later, count(*) as row_count
+            from trips_raw where tpep_pickup_datetime is not null group by 1)
+select batch, column_name, kind, found, merged, row_count
+from departures join counted using (later) where merged is not null
+""")
+
 sql("landing_balance", o.with_models("trips_raw", "weather_raw", "alerts_raw", odd=True) + """
 select 'trips' as source, count(*) as input_rows, count(tpep_pickup_datetime) as accepted,
   count(*) filter (where tpep_pickup_datetime is null) as rejected from trips_raw

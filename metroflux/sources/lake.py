@@ -12,6 +12,9 @@ readers see the new version. A landing that fails at any point leaves what was t
 together, such as a month's file; landing it again supersedes all that it brought before and nothing else, so a rerun doubles
 nothing, and a stray row of another month neither replaces that month nor is lost with it. One landing per source at a time.
 
+Columns may drift between feeds. A landing keeps the schema that it wrote beside its counts, so a reader opens no footer to
+learn it: feeds written alike are one scan, and differing ones meet in the least schema that holds them all.
+
 Files are clustered across the whole day by a space-filling curve over the columns that readers filter on, cut
 into ranges by a sample, so that minima and maxima in the footers rule most files out. Copies of one point
 (a hot pair of zones) are told apart by a hash of the row, so they spread over several files.
@@ -19,15 +22,19 @@ into ranges by a sample, so that minima and maxima in the footers rule most file
 
 from __future__ import annotations
 
+import json
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from metroflux.functions.curve import curve_key
+from metroflux.sources.drift import drift_report, union_drifting
 from metroflux.sources.landing import with_audit
 
 CURRENT = ("source string, outcome string, feed string, data_year string, data_month string, version bigint, row_count bigint, "
-           "column_count bigint, file_count bigint, by_month boolean, ingested_at string")
+           "column_count bigint, file_count bigint, by_month boolean, ingested_at string, written string")
 NO_TIME = "no time"
 
 
@@ -53,20 +60,32 @@ class Lake:
         feed = Window.partitionBy("source", "feed")
         return rows.withColumn("_last", F.max("version").over(feed)).where(F.col("version") == F.col("_last")).drop("_last")
 
-    def _read(self, source: str, outcome: str) -> DataFrame:
+    def _read(self, source: str, outcome: str, contract: T.StructType | None = None) -> DataFrame:
         base = f"{self.root}/{source}"
         hive = lambda v: "__HIVE_DEFAULT_PARTITION__" if v is None else v
-        paths = set()
-        for r in self.batches(source).where((F.col("outcome") == outcome) & (F.col("row_count") > 0)).collect():  # a row per month
+        alike: dict[str, set[str]] = {}
+        rows = self.batches(source).where((F.col("outcome") == outcome) & (F.col("row_count") > 0)).collect()  # a row per month
+        for r in sorted(rows, key=lambda r: r.version):
             at = f"{base}/version={r.version}/outcome={outcome}"
-            paths.add(f"{at}/year={hive(r.data_year)}/month={hive(r.data_month)}" if r.by_month else at)
-        if not paths:
+            alike.setdefault(r.written, set()).add(
+                f"{at}/year={hive(r.data_year)}/month={hive(r.data_month)}" if r.by_month else at)
+        if not alike:
             raise LandingError(f"{source} holds no {outcome} rows")
-        return self.spark.read.option("basePath", base).parquet(*sorted(paths)).drop("version", "outcome")
+        reader = lambda: self.spark.read.option("basePath", base)
+        return union_drifting([reader().schema(_schema(written)).parquet(*sorted(paths)).drop("version", "outcome")
+                               for written, paths in alike.items()], contract)
 
-    def read(self, source: str) -> DataFrame:
-        """The accepted rows with their audit columns and year, month, day."""
-        return self._read(source, "accepted").drop("_reject")
+    def read(self, source: str, contract: T.StructType | None = None) -> DataFrame:
+        """The accepted rows with their audit columns and year, month, day, under the feeds' merged schema.
+
+        A contract gives the spelling of names and takes part in the merge; without one the feed landed first spells them.
+        """
+        return self._read(source, "accepted", contract).drop("_reject")
+
+    def drift(self, source: str, contract: T.StructType | None = None) -> DataFrame:
+        """How each feed's columns depart from the merged schema, from the audit rows alone."""
+        rows = self.batches(source).select("feed", "version", "written").distinct().collect()  # a row per feed
+        return drift_report(self.spark, [(r.feed, _schema(r.written)) for r in sorted(rows, key=lambda r: r.version)], contract)
 
     def rejects(self, source: str) -> DataFrame:
         """The rejected rows; `_reject` says why."""
@@ -105,10 +124,11 @@ class Lake:
                                  F.count_if(F.col("_reject").isNotNull()).alias("rejected"))
         path = f"{self.root}/{source}/version={version}"
         observed.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*folders).parquet(path)
-        return self._switch(source, feed, version, path, folders, seen.get, len(rows.columns), ingested_at)
+        written = T.StructType([f for f in ready.schema.fields if f.name not in folders]).json()
+        return self._switch(source, feed, version, path, folders, seen.get, len(rows.columns), ingested_at, written)
 
     def _switch(self, source: str, feed: str, version: int, path: str, folders: list[str], seen: dict, columns: int,
-                ingested_at: str) -> DataFrame:
+                ingested_at: str, schema: str) -> DataFrame:
         """Compare what was seen with what the files say, then make the version the current one."""
         by_month = "year" in folders
         counted = footer_counts(self.spark, path, folders[:3]).collect() if seen["rows"] else []  # a row per month
@@ -117,14 +137,18 @@ class Lake:
             raise LandingError(f"{source}: {seen} were seen, {written} written; what was there stays")
         out = [(source, r.outcome, feed, str(r.year) if by_month and r.year is not None else None,
                 f"{int(r.month):02d}" if by_month and r.month is not None else None, version, r.row_count, columns, r.file_count,
-                by_month, ingested_at) for r in counted]
+                by_month, ingested_at, schema) for r in counted]
         # an empty feed supersedes what it brought before by nothing
-        out = out or [(source, "accepted", feed, None, None, version, 0, columns, 0, by_month, ingested_at)]
+        out = out or [(source, "accepted", feed, None, None, version, 0, columns, 0, by_month, ingested_at, schema)]
         rows = self.spark.createDataFrame(out, CURRENT)
         rows.coalesce(1).write.mode("append").parquet(f"{self.root}/_current")  # a row per month, in one file
         return rows
 
 
+def _schema(written: str) -> T.StructType:
+    return T.StructType.fromJson(json.loads(written))
+
+
 def footer_counts(spark: SparkSession, path: str, folders: list[str]) -> DataFrame:
     """Rows and files per value of the `folders` that a written table is partitioned by.
 

@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 
 from metroflux.operators.quality import require_columns
 from metroflux.schemas import ALERTS_RAW, TRIPS_RAW, TRIPS_REQUIRED, WEATHER_RAW, ZONES
+from metroflux.sources.drift import read_drifting
 
 
 def _own_schema(spark: SparkSession, path: str) -> DataFrame:
@@ -22,9 +23,11 @@ def _under_contract(spark: SparkSession, path: str, contract: T.StructType, opti
 def read_trips(spark: SparkSession, path: str, infer: bool = False) -> DataFrame:
     """A01 (+A09, B01): raw trips Parquet that hold the required columns; fails on files without them.
 
-    `infer=True` takes types and further columns from the file footers, merged across months."""
-    df = require_columns(_own_schema(spark, path), TRIPS_REQUIRED)
-    return df if infer else spark.read.schema(TRIPS_RAW).parquet(path)
+    `infer=True` takes types and further columns from the file footers, merged across months (see `drift`)."""
+    if infer:
+        return read_drifting(spark, {"trips": [path]}, TRIPS_RAW, TRIPS_REQUIRED)[0]
+    require_columns(_own_schema(spark, path), TRIPS_REQUIRED)
+    return spark.read.schema(TRIPS_RAW).parquet(path)
 
 
 def read_weather(spark: SparkSession, path: str) -> DataFrame:
