@@ -140,13 +140,15 @@ def scan(docs: DataFrame, labels: DataFrame | None = None, train_rows: int = 20_
     """
     scratch = Scratch(docs.sparkSession, "secrets")
     words = scratch.keep(dictionary(docs), "dictionary")
-    found = scratch.keep(with_features(candidates(docs), words), "findings")
+    found = scratch.keep(candidates(docs), "candidates")  # the features need them twice, the patterns run once
+    found = scratch.keep(with_features(found, words), "findings")
     known = label_by_rule(found) if labels is None else labels
     known = known.where(F.col("label").isNotNull()).groupBy("finding_no").agg(F.max("label").alias("label"))
     chosen = known.orderBy(F.xxhash64("finding_no"), "finding_no").limit(train_rows)
     assembler = VectorAssembler(inputCols=FEATURES, outputCol="features")
-    train = scratch.keep(found.dropDuplicates(["finding_no"]).join(F.broadcast(chosen), "finding_no")
-                         .select(*FEATURES, F.col("label").cast("double").alias("label")), "train")
+    # at most `train_rows` rows: held in memory, not in a file of its own for every few of them
+    train = found.dropDuplicates(["finding_no"]).join(F.broadcast(chosen), "finding_no").select(
+        *FEATURES, F.col("label").cast("double").alias("label")).coalesce(8).persist()
     span = train.agg(F.min("label").alias("lo"), F.max("label").alias("hi")).first()
     plain = ["doc_id", "line", "start", "finding"]
     if span.lo == span.hi:
@@ -155,4 +157,5 @@ def scan(docs: DataFrame, labels: DataFrame | None = None, train_rows: int = 20_
         model = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed).fit(assembler.transform(train))
         out = model.transform(assembler.transform(found.select(*plain, *FEATURES)))
         scored = out.select(*plain, vector_to_array("probability")[1].alias("score"))
+    train.unpersist()
     return scored.withColumn("is_secret", F.col("score") >= 0.5)

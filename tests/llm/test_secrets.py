@@ -46,6 +46,13 @@ def test_given_labels_rule_and_small_tables(spark, frame):
     assert len(one) == 2 and not any(r.is_secret for r in one)
 
 
+def test_texts_are_read_for_the_words_and_once_for_the_findings(spark, frame):
+    read = spark.sparkContext.accumulator(0)
+    counted = F.udf(lambda text: read.add(1) or text, "string").asNondeterministic()
+    out = S.scan(frame(rows()).withColumn("text", counted("text"))).collect()
+    assert read.value == 2 * len(rows()) and out
+
+
 def test_no_python_in_the_plan(frame):
     plan = S.scan(frame(rows()))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
