@@ -20,7 +20,7 @@ with the smallest of its key. First each set is verified against the one of thes
 the most keys with; then against the others, unless both are in one component by now.
 Where a key still holds different components, only pairs across them are compared, in cells of
 bounded size, by a wider one-bit-per-shingle parity sketch whose Hamming distance
-is also bounded by the symmetric difference. Of what passes, a cell first gives a spanning forest of its components (no more
+is also bounded by the symmetric difference; pairs are compared by one that grows with the sets, before these are moved. Of what passes, a cell first gives a spanning forest of its components (no more
 rows than it has members), which is verified on the sets and joins nearly all; a second forest and
 last every pair that is still open follow.
 So no link between different components is lost, copies cost one node, and a large
@@ -43,7 +43,7 @@ from metroflux.llm.words import U, mix, shingles, word_hashes, word_spans
 
 BAND = 1.4
 SKETCH_BITS = 2048
-SMALL = 600  # shingles up to which a quarter of the bits tells unlike sets apart
+SMALL = 600  # shingles up to which a quarter of the bits tells unlike sets apart; beyond four times as many, pairs have a sketch with more bits
 CELL = 512
 SPACES = 6  # hashes that short sets try before they enter empty parts, whose keys are constants of the band
 
@@ -80,15 +80,17 @@ def _sets(column) -> list[np.ndarray]:
 @tidy()
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        sizes, nodes, bits = [], [], []
+        sizes, nodes, bits, wide = [], [], [], []
         for a, b in text_slices(batch.column(2)):
             for s in _sets(batch.column(2).slice(a, b - a)):
                 sizes.append(len(s))
                 nodes.append(node_of(s))
                 bits.append(bit_sketch(s))
+                wide.append(wide_sketch(s))
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(bits, pa.binary())],
-            names=["row", "doc_id", "n", "node", "bits"])
+            [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(bits, pa.binary()),
+             pa.array(wide, pa.binary())],
+            names=["row", "doc_id", "n", "node", "bits", "wide"])
 
 
 def part_keys(sets: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray]:
@@ -168,25 +170,33 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                              names=["key", "node", "centre"])
 
 
-def bit_sketch(s: np.ndarray) -> bytes:
+def bit_sketch(s: np.ndarray, n_bits: int = SKETCH_BITS) -> bytes:
     """One bit per shingle, XORed: the Hamming distance of two sketches is at most the symmetric difference.
 
     Sets of up to SMALL shingles have the sketch folded in four (quarters XORed), which keeps that bound.
     """
-    bits = np.bincount((mix(s ^ U(0xA0761D6478BD642F)) % U(SKETCH_BITS)).astype(np.int64), minlength=SKETCH_BITS) & 1
+    bits = np.bincount((mix(s ^ U(0xA0761D6478BD642F)) % U(n_bits)).astype(np.int64), minlength=n_bits) & 1
     whole = np.packbits(bits.astype(np.uint8)).view(U)
     return (fold(whole) if len(s) <= SMALL else whole).tobytes()
 
 
+def wide_sketch(s: np.ndarray) -> bytes | None:
+    """For a set of more than 4 * SMALL shingles, whose `bit_sketch` is too full to tell it from others, one of four
+    times as many bits for every four times the size; folded as often, it is the other one."""
+    n_bits = SKETCH_BITS
+    while len(s) * SKETCH_BITS > 4 * SMALL * n_bits:
+        n_bits *= 4
+    return bit_sketch(s, n_bits) if n_bits > SKETCH_BITS else None
+
+
 def fold(sketch: np.ndarray) -> np.ndarray:
     """A sketch of a quarter of the bits."""
     return np.bitwise_xor.reduce(sketch.reshape(4, -1), axis=0)
 
 
 def _sketches(*columns: list[bytes]) -> list[np.ndarray]:
-    """Columns of sketches as matrices of one width: with any folded one among them, all are folded."""
-    widths = {len(x) for c in columns for x in c}
-    if len(widths) > 1:
+    """Columns of sketches as matrices of one width, the least among them: wider ones are folded to it."""
+    while len(widths := {len(x) for c in columns for x in c}) > 1:
         columns = [[x if len(x) == min(widths) else fold(np.frombuffer(x, U)).tobytes() for x in c] for c in columns]
     return [np.frombuffer(b"".join(c), U).reshape(len(c), -1) for c in columns]
 
@@ -245,9 +255,9 @@ class _Texts:
     """The texts behind the nodes: sketches are at hand, sets are made from the texts when pairs need them."""
 
     def __init__(self, docs: DataFrame, info: DataFrame, nodes: DataFrame, scratch: Scratch):
-        first = F.min(F.struct("row", "n", "bits")).alias("first")
+        first = F.min(F.struct("row", "n", "bits", "wide")).alias("first")
         known = info.where(F.col("n") > 0).join(nodes, "node", "left_semi").groupBy("node").agg(first)
-        self.sketches = scratch.keep(known.select("node", "first.row", "first.n", "first.bits"), "sketches")
+        self.sketches = scratch.keep(known.select("node", "first.row", "first.n", "first.bits", "first.wide"), "sketches")
         self._rows = docs.select(F.monotonically_increasing_id().alias("row"), "text")
 
     def sets(self, pairs: DataFrame) -> DataFrame:
@@ -260,7 +270,7 @@ class _Texts:
 
 def verify(pairs: DataFrame, texts: _Texts, percent: int, scratch: Scratch) -> DataFrame:
     """The pairs (a, b) whose sets reach the similarity; sets are made and moved only for pairs that pass the bit sketches."""
-    of = lambda side, n, bits: texts.sketches.select(F.col("node").alias(side), F.col("n").alias(n), F.col("bits").alias(bits))
+    of = lambda side, n, bits: texts.sketches.select(F.col("node").alias(side), F.col("n").alias(n), F.coalesce("wide", "bits").alias(bits))
     fits = 100 * F.least("m", "n") >= percent * F.greatest("m", "n")  # sizes too far apart cannot link
     sizes = lambda side, n: texts.sketches.select(F.col("node").alias(side), F.col("n").alias(n))
     near = pairs.join(sizes("a", "m"), "a").join(sizes("b", "n"), "b").where(fits).select("a", "b")
@@ -389,7 +399,7 @@ def similar_groups(docs: DataFrame, percent: int = 80) -> DataFrame:
     """
     scratch = Scratch(docs.sparkSession, "jaccard")
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
-    info = scratch.keep(rows.mapInArrow(_describe, "row long, doc_id long, n long, node long, bits binary"), "rows")
+    info = scratch.keep(rows.mapInArrow(_describe, "row long, doc_id long, n long, node long, bits binary, wide binary"), "rows")
     keys = docs.select("text").mapInArrow(_keys(percent), "key long, node long")
     members = scratch.keep(keys.repartition("key").sortWithinPartitions("key", "node")
                            .mapInArrow(_runs, "key long, node long, centre long"), "members")

@@ -124,6 +124,40 @@ def test_a_cell_gives_no_more_pairs_than_rows(rng):
     assert pairs == {"closest": 299, "other": 299, "all": 300 * 299 // 2}
 
 
+def test_large_sets_that_differ_are_not_moved(spark, frame, rng, monkeypatch):
+    """Two sets of 6000 shingles with 0.6 of them shared fill 2048 bits, and yet the pair goes before the sets are moved."""
+    words = [f"w{rng.getrandbits(60)}" for _ in range(9000)]
+    texts = {1: words[:6000], 2: words[:5980], 3: words[:4500] + words[6000:7500], 4: words[:4500] + words[6000:7480]}
+    texts = {k: " ".join(v) for k, v in texts.items()}
+    node = {k: J.node_of(J._sets(pa.array([v]))[0]) for k, v in texts.items()}
+    real, given, plausible = J.verify, [], []
+
+    class Kept(Scratch):
+        def keep(self, df, name="t"):
+            out = super().keep(df, name)
+            if name == "plausible":
+                plausible.append(out.count())
+            return out
+
+    monkeypatch.setattr(J, "Scratch", Kept)
+    monkeypatch.setattr(J, "verify", lambda *args: given.append(args) or real(*args))
+    got = {r.doc_id: r.component_id for r in J.similar_groups(frame(list(texts.items()))).collect()}
+    assert got == {1: 1, 2: 1, 3: 3, 4: 3}
+    pairs = spark.createDataFrame([(node[1], node[3]), (node[1], node[4]), (node[2], node[3]), (node[1], node[2])], "a long, b long")
+    linked = real(pairs, *given[0][1:]).collect()
+    assert [tuple(r) for r in linked] == [(node[1], node[2])] and plausible[-1] == 1
+
+
+def test_wide_sketches_fold_to_the_others(rng):
+    for n in (600, 601, 2400, 2401, 9600, 9601, 40_000):
+        s = np.unique(np.array([rng.getrandbits(63) for _ in range(n)], np.uint64))
+        wide, bits = J.wide_sketch(s), J.bit_sketch(s)
+        assert (wide is None) == (n <= 2400) and len(wide or bits) == {600: 64}.get(n, 256 * 4 ** ((n > 2400) + (n > 9600) + (n > 38400)))
+        if wide:
+            x, y = J._sketches([wide], [bits])
+            assert (x == y).all()
+
+
 def test_short_sets_meet_under_no_constant_key(rng):
     """Unrelated sets share no key, though some use few parts of their band."""
     sets = [np.unique(np.array([rng.getrandbits(63) for _ in range(n)], np.uint64)) for n in (9, 10, 14, 20, 28, 40, 56, 79) for _ in range(300)]
