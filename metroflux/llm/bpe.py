@@ -21,6 +21,7 @@ import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 from hashlib import sha256
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -49,19 +50,24 @@ def _char_class(kind: str) -> str:
 
 
 class Memo(dict):
-    """A dict that computes what is missing and starts anew when its entries take `limit` bytes (about)."""
+    """A dict that computes what is missing. Its entries take at most `limit` bytes (about): when they take half of
+    that they become the older half, which is dropped at the next such time but for what was asked for meanwhile.
+    """
 
     ENTRY = 250  # bytes of an entry besides the characters of its key and the items of its value
 
-    def __init__(self, compute, limit: int):
+    def __init__(self, compute, limit: int, items=len):
         super().__init__()
-        self._compute, self._limit, self._held = compute, limit, 0
+        self._compute, self._limit, self._items = compute, limit // 2, items
+        self._held, self._older = 0, {}
 
     def __missing__(self, key):
-        value = self._compute(key)
+        if (value := self._older.pop(key, None)) is None:
+            value = self._compute(key)
         if len(key) <= 256:  # a longer one seldom comes back
-            size = self.ENTRY + len(key) + 8 * len(value)
+            size = self.ENTRY + len(key) + 8 * self._items(value)
             if self._held + size > self._limit:
+                self._older = dict(self)
                 self.clear()
                 self._held = 0
             self[key] = value
@@ -84,6 +90,7 @@ class BpeEncoder:
         self.rank: dict[tuple[str, str], int] = {}
         for rank, pair in enumerate(model["merges"]):
             self.rank.setdefault(tuple(pair), rank)
+        self.merged = [a + b for a, b in model["merges"]]
         self.alphabet = _byte_alphabet()
         self._to_alphabet = dict(enumerate(self.alphabet))
         self._byte_of = {c: b for b, c in enumerate(self.alphabet)}
@@ -128,9 +135,9 @@ class BpeEncoder:
     def cut(self, symbols: str) -> list[str]:
         """The fragments of a pre-token in the byte alphabet: pieces between certain cuts."""
         joined = self.joined
-        edges = [i for i, pair in enumerate(zip(symbols, symbols[1:], strict=False), 1) if pair not in joined]
-        if not edges:
+        if joined.issuperset(pairwise(symbols)):
             return [symbols]
+        edges = [i for i, pair in enumerate(pairwise(symbols), 1) if pair not in joined]
         return [symbols[a:b] for a, b in zip([0, *edges], [*edges, len(symbols)], strict=True)]
 
     def encode_pretoken(self, pretoken: str) -> tuple[int, ...]:
@@ -153,11 +160,11 @@ class BpeEncoder:
 
     def _merge_short(self, symbols: list[str]) -> list[str]:
         rank, never = self.rank.get, 1 << 60
-        ranks = [rank(p, never) for p in zip(symbols, symbols[1:], strict=False)]
+        ranks = [rank(p, never) for p in pairwise(symbols)]
         while ranks and (best := min(ranks)) < never:
             i = ranks.index(best)
-            symbols[i:i + 2] = [symbols[i] + symbols[i + 1]]
-            del ranks[i]
+            symbols[i] = self.merged[best]
+            del symbols[i + 1], ranks[i]
             if i:
                 ranks[i - 1] = rank((symbols[i - 1], symbols[i]), never)
             if i < len(ranks):
@@ -192,7 +199,7 @@ class BpeEncoder:
 
     def decode(self, ids) -> str:
         """Tokens of the ids joined by blanks, special ones included (the vocabulary file names no decoder)."""
-        return " ".join([self.token_of[i] for i in ids])
+        return " ".join(map(self.token_of.__getitem__, ids))
 
 
 @lru_cache(maxsize=1)
@@ -214,6 +221,28 @@ class _Packer:
                          for piece, special in self.enc.parts(text)]) if text else b""
 
 
+class _Writer:
+    """The ids of a whole text and the text they decode to, both as written, with a memo over pre-tokens of what each adds."""
+
+    def __init__(self, path: str, memo_bytes: int):
+        self.enc = enc = encoder(path)
+        self._number = {i: str(i) for i in enc.token_of}.__getitem__
+        self._known = Memo(lambda p: self._write(enc.encode_pretoken(p)), memo_bytes, lambda v: (len(v[0]) + len(v[1])) // 8 + 3).__getitem__
+        self._specials = {i: self._write([i]) for i in enc.special.values()}
+
+    def _write(self, ids) -> tuple[str, str]:
+        return " ".join(map(self._number, ids)), self.enc.decode(ids)
+
+    def __call__(self, text: str | None) -> tuple[str, str]:
+        written = []
+        for piece, special in self.enc.parts(text) if text else ():
+            if special is not None:
+                written.append(self._specials[special])
+            else:
+                written.extend(map(self._known, self.enc.pretokens(piece)))
+        return " ".join([ids for ids, _ in written]), " ".join([tokens for _, tokens in written])
+
+
 def _forget() -> None:
     encoder.cache_clear()
 
@@ -236,15 +265,14 @@ def _digest_batches(path: str, memo_bytes: int):
     """Encode, decode and hash in one pass, a text at a time: neither ids nor decoded texts leave the task."""
     @tidy(_forget)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pack = _Packer(path, memo_bytes)
-        enc = pack.enc
+        write = _Writer(path, memo_bytes)
         for batch in batches:
             sizes, id_digests, text_digests = [], [], []
             for text in batch.column(1):
-                ids = np.frombuffer(pack(text.as_py()), np.int32).tolist()
-                sizes.append(len(ids))
-                id_digests.append(sha256(" ".join(map(str, ids)).encode()).hexdigest())
-                text_digests.append(sha256(enc.decode(ids).encode()).hexdigest())
+                ids, decoded = write(text.as_py())
+                sizes.append(ids.count(" ") + 1 if ids else 0)
+                id_digests.append(sha256(ids.encode()).hexdigest())
+                text_digests.append(sha256(decoded.encode()).hexdigest())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes, pa.int64()), pa.array(id_digests, pa.string()), pa.array(text_digests, pa.string())],
                 names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])

@@ -69,6 +69,16 @@ def test_memo_stays_within_its_bytes():
     assert memo["x" * 300] and "x" * 300 not in memo and len(made) > 60
 
 
+def test_memo_keeps_what_is_asked_for_often():
+    from metroflux.llm.bpe import Memo
+    made = []
+    memo = Memo(lambda k: made.append(k) or k.encode(), 20_000)
+    for i in range(2000):
+        assert memo["often"] == b"often" and memo[f"once{i}"] == f"once{i}".encode()
+        assert len(memo) * Memo.ENTRY <= 20_000
+    assert made.count("often") == 1
+
+
 def test_frames(spark, frame, library):
     rows = [(i, t) for i, t in enumerate(ODD)] + [(None, "no id"), (99, None), (3, ODD[3]), (3, "other text")]
     df = frame(rows)
