@@ -206,10 +206,10 @@ def _window_batches(shared, repeats: int):
                             chars = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
                         base, left, right = chars[offsets[d]], max(first - longest, int(firsts[d])), min(last + longest, int(firsts[d + 1]))
                         rows.append({"row": batch.column(0)[a + d].as_py(), "doc_id": batch.column(1)[a + d].as_py(),
-                                     "class": number, "begin": left - int(firsts[d]), "starts": (chars[starts[left:right]] - base).tolist(),
-                                     "ends": (chars[ends[left:right]] - base).tolist(), "window": words[left:right].tobytes(),
-                                     "keys": mine.astype(np.int64).tolist()})
-                        if len(rows) >= 2000:
+                                     "class": number, "begin": left - int(firsts[d]), "starts": chars[starts[left:right]] - base,
+                                     "ends": chars[ends[left:right]] - base, "window": words[left:right].tobytes(),
+                                     "keys": mine.astype(np.int64)})
+                        if len(rows) >= 500:
                             yield pa.RecordBatch.from_pylist(rows, schema=schema)
                             rows = []
                 if rows:
@@ -234,19 +234,21 @@ def best_end(item: np.ndarray, window: np.ndarray, free_start: bool = False) ->
     return int(line[at]), at
 
 
+@tidy()
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("item_id", pa.int64()), ("distance", pa.int32()),
                         ("start", pa.int64()), ("end", pa.int64())])
     for batch in batches:
         rows = []
-        for r in batch.to_pylist():
-            item, window = np.frombuffer(r["item"], U), np.frombuffer(r["window"], U)
+        # row by row, places where they lie: as Python numbers those of a batch take many times its size
+        for row, doc_id, starts, ends, window, item_id, item in zip(*batch.columns, strict=True):
+            item, window = np.frombuffer(item.as_buffer(), U), np.frombuffer(window.as_buffer(), U)
             distance, end = best_end(item, window, free_start=True)
             if distance <= most_edits(len(item)) and end:
                 _, size = best_end(item[::-1], window[:end][::-1])
                 if size:
-                    rows.append({"row": r["row"], "doc_id": r["doc_id"], "item_id": r["item_id"], "distance": distance,
-                                 "start": r["starts"][end - size], "end": r["ends"][end - 1]})
+                    rows.append({"row": row.as_py(), "doc_id": doc_id.as_py(), "item_id": item_id.as_py(), "distance": distance,
+                                 "start": starts[end - size].as_py(), "end": ends[end - 1].as_py()})
         yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
 

@@ -92,9 +92,9 @@ class Network:
         return cls(vocabulary, base_rate, p)
 
     # --- forward ----------------------------------------------------------------------
-    def inputs(self, words: list[str]) -> tuple[np.ndarray, tuple]:
+    def inputs(self, words: list[str], grams_of=trigrams) -> tuple[np.ndarray, tuple]:
         ids = np.array([self.vocabulary.get(w, 0) for w in words], np.int64)
-        grams = [trigrams(w) for w in words]
+        grams = [grams_of(w) for w in words]
         sizes = np.array([len(g) for g in grams])
         flat = np.array([i for g in grams for i in g], np.int64)
         starts = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
@@ -102,8 +102,8 @@ class Network:
         return np.hstack([self.p["word"][ids], char]).astype(np.float32), (ids, flat, sizes)
 
     def gates_in(self, words: list[str]) -> np.ndarray:
-        """What each word adds to the gates of both directions: computed once per distinct word."""
-        x, _ = self.inputs(words)
+        """What each word adds to the gates of both directions: computed once per distinct word, so trigrams need not be remembered."""
+        x, _ = self.inputs(words, trigrams.__wrapped__)
         return np.hstack([x @ self.p["wf"] + self.p["cf"], x @ self.p["wb"] + self.p["cb"]])
 
     def _layer(self, gates: np.ndarray, u: np.ndarray, steps, keep: list | None) -> np.ndarray:

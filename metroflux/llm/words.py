@@ -39,18 +39,22 @@ def _blank() -> np.ndarray:
     return table
 
 
+BLOCK = 1 << 16  # bytes hashed at once
 _POWERS: list[np.ndarray] = [np.ones(1, U), np.ones(1, U)]
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_POWERS[0]) < n:
-        size = 1 << int(n - 1).bit_length()
-        inverse = U(pow(int(_BASE), -1, 2**64))
-        for k, base in enumerate((_BASE, inverse)):
-            steps = np.full(size, base, U)
-            steps[0] = U(1)
-            _POWERS[k] = np.multiply.accumulate(steps)
-    return _POWERS[0], _POWERS[1]
+    """At least n powers of the base and of its inverse; those of some blocks are kept, more are made for the call."""
+    if len(_POWERS[0]) >= n:
+        return _POWERS[0], _POWERS[1]
+    made = []
+    for base in (_BASE, U(pow(int(_BASE), -1, 2**64))):
+        steps = np.full(max(n, 2 * BLOCK), base, U)
+        steps[0] = U(1)
+        made.append(np.multiply.accumulate(steps))
+    if n <= 2 * BLOCK:
+        _POWERS[:] = made
+    return made[0], made[1]
 
 
 @lru_cache(maxsize=1)
@@ -83,12 +87,17 @@ def word_spans(data: np.ndarray, offsets: np.ndarray, table: np.ndarray | None =
 
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    if not len(starts):
-        return np.zeros(0, U)
-    power, inverse = powers(len(data) + 1)
-    total = np.zeros(len(data) + 1, U)
-    np.cumsum(letters()[data] * power[:len(data)], out=total[1:])
-    return mix((total[ends] - total[starts]) * inverse[starts])
+    """A hash of every word, made for those that begin in the same BLOCK of bytes together, so a long text needs no long arrays of numbers."""
+    out = np.zeros(len(starts), U)
+    edges = np.searchsorted(starts, np.arange(0, len(data) + BLOCK, BLOCK)).tolist()
+    for a, b in zip(edges, edges[1:], strict=False):
+        if a < b:
+            lo, hi = int(starts[a]), int(ends[b - 1])
+            power, inverse = powers(hi - lo)
+            total = np.zeros(hi - lo + 1, U)
+            np.cumsum(letters()[data[lo:hi]] * power[:hi - lo], out=total[1:])
+            out[a:b] = mix((total[ends[a:b] - lo] - total[starts[a:b] - lo]) * inverse[starts[a:b] - lo])
+    return out
 
 
 def shingles(hashes: np.ndarray, firsts: np.ndarray, k: int) -> list[np.ndarray]:

@@ -1,7 +1,9 @@
 import random
 import re
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 
 from metroflux.llm import decontaminate as D
 
@@ -110,3 +112,19 @@ def test_every_item_at_the_edit_limit_is_found(spark, frame):
     found = {(r.doc_id, r.item_id) for r in D.contaminated(frame(docs), bench).collect()}
     want = {(d, i) for d, t in docs for i, item in items if least_distance(words(item), words(t)) <= D.most_edits(np.array(len(words(item))))}
     assert len(want) == len(docs) and found == want
+
+
+def test_verification_makes_no_python_numbers_of_a_batch():
+    n, item = 1500, np.arange(1, 21, dtype=np.uint64)
+    window = np.concatenate([np.full(300, 99, np.uint64), item, np.full(280, 98, np.uint64)])
+    places = pa.array([np.arange(1000, 1600)] * n, pa.list_(pa.int64()))
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(n), pa.int64()), pa.array([None] * n, pa.int64()), places, places, pa.array([window.tobytes()] * n),
+         pa.array([7] * n, pa.int64()), pa.array([item.tobytes()] * n)],
+        names=["row", "doc_id", "starts", "ends", "window", "item_id", "item"])
+    tracemalloc.start()
+    out, = D._verified(iter([batch]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert out.to_pylist() == [{"row": i, "doc_id": None, "item_id": 7, "distance": 0, "start": 1300, "end": 1319} for i in range(n)]
+    assert peak < 5e6  # as Python numbers the places alone take over 50 MB

@@ -6,6 +6,7 @@ import pyarrow as pa
 import pytest
 
 from metroflux.llm import jaccard as J
+from metroflux.llm import words as W
 from metroflux.llm.common import Scratch, text_buffer
 from metroflux.llm.components import components
 from metroflux.llm.words import shingles, word_hashes, word_spans
@@ -215,3 +216,13 @@ def test_one_row_of_each_group_stays(frame):
     out = J.keep_one_per_group(frame(rows))
     assert sorted(((r.doc_id, r.text) for r in out.collect()), key=str) == sorted([(1, "a b c d e f g"), (3, None), (4, ""), (5, "other words")], key=str)
     assert "key" in out.columns
+
+
+def test_a_long_text_leaves_no_long_arrays():
+    data = np.frombuffer(b"one Two " * 200_000 + b"x" * 300_000 + b" one tw", np.uint8)
+    starts, ends, _ = word_spans(data, np.array([0, len(data)]))
+    hashes = word_hashes(data, starts, ends)
+    alone = [word_hashes(d, np.array([0]), np.array([len(d)]))[0] for d in (data[a:b] for a, b in zip(starts[-4:], ends[-4:], strict=True))]
+    assert hashes[-4:].tolist() == alone
+    assert len(set(hashes.tolist())) == 4 and hashes[0] == hashes[-2] and hashes[1] == hashes[-4]
+    assert sum(p.nbytes for p in W._POWERS) <= 4 << 20

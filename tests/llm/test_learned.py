@@ -112,3 +112,9 @@ def test_fold(spark):
     import zlib
     got = {r.i: r.h for r in spark.range(200).select(F.col("id").alias("i"), held_out(F.col("id")).alias("h")).collect()}
     assert got == {i: zlib.crc32(str(i).encode()) % 5 == 0 for i in range(200)}
+
+
+def test_scoring_remembers_no_trigrams():
+    X.trigrams.cache_clear()
+    assert X.Scorer(X.Network.new({}, 0.1, 1)).scores(["several words are here", None]).shape == (2,)
+    assert X.trigrams.cache_info().currsize == 0  # a scored word's gates are remembered already

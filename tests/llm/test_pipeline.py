@@ -65,6 +65,20 @@ def test_run_applies_all_stages(spark):
     assert 0 < out.count() <= spark.read.parquet(f"{DIR}/documents.parquet").count()
 
 
+def test_every_stage_alone_has_small_batches(spark):
+    docs, rows = spark.read.parquet(f"{DIR}/documents.parquet"), "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(rows)
+    try:
+        for name, stage in P.STAGES[1::3]:  # their calls are short: line_dedup and bpe
+            for said, then in (("10000", str(P.ARROW_ROWS)), ("300", "300")):
+                spark.conf.set(rows, said)
+                stage(spark, docs, DIR)
+                assert spark.conf.get(rows) == then, name
+        assert all(hasattr(stage, "__wrapped__") for _, stage in P.STAGES)
+    finally:
+        spark.conf.set(rows, before)
+
+
 def test_stages_take_odd_rows(spark, tmp_path):
     rows = [(1, "a b c d e f", "en", "s", 11), (None, None, None, None, None), (2, "", "de", "s", 0), (2, "a b c d e f", None, "s", 11)]
     spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").withColumn(
