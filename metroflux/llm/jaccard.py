@@ -412,11 +412,11 @@ def similar_groups(docs: DataFrame, percent: int = 80) -> DataFrame:
     comps = scratch.keep(components(links, scratch), "components")
 
     def settle(pairs: DataFrame) -> None:
-        nonlocal links, comps
+        nonlocal comps
         more = scratch.keep(verify(pairs.select("a", "b").distinct(), texts, percent, scratch), "more")
         if not more.isEmpty():
-            links = links.unionByName(more)
-            comps = scratch.keep(components(links, scratch), "components")
+            known = comps.select(F.col("component").alias("a"), F.col("node").alias("b"))  # instead of all links so far: the same components
+            comps = scratch.keep(components(known.unionByName(more), scratch), "components")
 
     settle(_across_components(stars.select("a", "b").join(best, ["a", "b"], "left_anti"), comps))
     cells_open = None

@@ -16,8 +16,8 @@ nothing is shuffled.
 from __future__ import annotations
 
 import re
-from collections import Counter
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
 from zlib import crc32
@@ -48,13 +48,14 @@ def trigrams(word: str) -> list[int]:
     return [crc32(raw[i:i + 3]) % TRIGRAMS for i in range(len(raw) - 2)]
 
 
+def window_starts(n: int) -> np.ndarray:
+    """The first word of every window over n words; the last window ends with the text."""
+    return np.zeros(1, np.int64) if n <= WINDOW else np.append(np.arange(0, n - WINDOW, STRIDE), n - WINDOW)
+
+
 def windows(n: int) -> np.ndarray:
-    """Word positions of all windows over n words, -1 for padding; the last window ends with the text."""
-    if n <= WINDOW:
-        starts = np.zeros(1, np.int64)
-    else:
-        starts = np.append(np.arange(0, n - WINDOW, STRIDE), n - WINDOW)
-    at = starts[:, None] + np.arange(WINDOW)
+    """Word positions of all windows over n words, -1 for padding."""
+    at = window_starts(n)[:, None] + np.arange(WINDOW)
     return np.where(at < n, at, -1)
 
 
@@ -96,7 +97,10 @@ class Network:
         ids = np.array([self.vocabulary.get(w, 0) for w in words], np.int64)
         grams = [grams_of(w) for w in words]
         sizes = np.array([len(g) for g in grams])
-        flat = np.array([i for g in grams for i in g], np.int64)
+        return self.joined(ids, np.array([i for g in grams for i in g], np.int64), sizes)
+
+    def joined(self, ids: np.ndarray, flat: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, tuple]:
+        """Inputs of words given as their rows, their trigrams one after another, and the number of each one's trigrams."""
         starts = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
         char = np.add.reduceat(self.p["char"][flat], starts) / np.sqrt(sizes)[:, None]
         return np.hstack([self.p["word"][ids], char]).astype(np.float32), (ids, flat, sizes)
@@ -137,10 +141,10 @@ class Network:
         return pooled @ self.p["out"] + self.p["out_b"][0]
 
     # --- training ---------------------------------------------------------------------
-    def gradients(self, words: list[str], at: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
-        """Gradients of the mean cross entropy; at: index into words of each window's places, -1 for padding."""
+    def gradients(self, words: list[str] | tuple, at: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
+        """Gradients of the mean cross entropy; words: as `inputs` or `joined` take them; at: index into words of each window's places, -1 for padding."""
         p, k = self.p, HIDDEN
-        x, (ids, flat, sizes) = self.inputs(words)
+        x, (ids, flat, sizes) = self.joined(*words) if isinstance(words, tuple) else self.inputs(words)
         both = np.hstack([x @ p["wf"] + p["cf"], x @ p["wb"] + p["cb"]])
         real = at >= 0
         gates = both[at] * real[:, :, None]
@@ -196,18 +200,56 @@ class Adam:
             self.p[k] -= self.rate * (self.m[k] / (1 - 0.9 ** self.t)) / (np.sqrt(self.v[k] / (1 - 0.999 ** self.t)) + 1e-7)
 
 
-def _batch(words: list[list[str]], places: list[tuple[int, np.ndarray]]) -> tuple[list[str], np.ndarray]:
-    """Distinct words of some windows, and the windows as indexes into them."""
-    index: dict[str, int] = {}
-    at = np.full((len(places), WINDOW), -1, np.int64)
-    for i, (doc, where) in enumerate(places):
-        for t, w in enumerate(where.tolist()):
-            if w >= 0:
-                at[i, t] = index.setdefault(words[doc][w], len(index))
-    return list(index), at
-
-
-def train(texts: list[str], labels: list[int], vocabulary_size: int = 20_000, per_text: int = 8, steps: int = 400,
+class Sample:
+    """Texts as numbers of their distinct words: the driver holds four bytes a word, and two a trigram of a distinct word."""
+
+    def __init__(self, texts: Iterable[str | None]):
+        index: dict[str, int] = {}
+        numbers, sizes = array("i"), []
+        for text in texts:
+            words = words_of(text)
+            numbers.extend([index.setdefault(w, len(index)) for w in words])
+            sizes.append(len(words))
+        self.distinct = list(index)
+        self.numbers, self.sizes = np.array(numbers, np.int32), np.array(sizes, np.int64)
+        self.first = np.cumsum(self.sizes) - self.sizes
+        grams = array("H")
+        for w in self.distinct:
+            grams.extend(trigrams.__wrapped__(w))
+        self.grams = np.array(grams, np.uint16)
+        self.n_grams = np.array([len(w.encode()) for w in self.distinct], np.int64)  # ^ and $ are bytes of their own
+        self.gram_at = np.cumsum(self.n_grams) - self.n_grams
+
+    def words(self, text: int) -> list[str]:
+        return [self.distinct[i] for i in self.numbers[self.first[text]:self.first[text] + self.sizes[text]].tolist()]
+
+    def frequent(self, least: int, most: int) -> list[int]:
+        """The words of `least` texts or more, those of most texts first, at most so many."""
+        texts = np.zeros(len(self.distinct), np.int64)
+        for a, n in zip(self.first.tolist(), self.sizes.tolist(), strict=True):
+            texts[np.unique(self.numbers[a:a + n])] += 1
+        return sorted(np.flatnonzero(texts >= least).tolist(), key=lambda i: (-texts[i], self.distinct[i]))[:most]
+
+    def batch(self, text: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct words of the windows that begin at word `start` of each text, in their order, and the windows as indexes into them."""
+        place = start[:, None] + np.arange(WINDOW)
+        real = place < self.sizes[text][:, None]
+        found, first, inverse = np.unique(self.numbers[(self.first[text][:, None] + place)[real]], return_index=True, return_inverse=True)
+        order = np.argsort(first)
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        at = np.full(place.shape, -1, np.int64)
+        at[real] = rank[inverse.reshape(-1)]
+        return found[order], at
+
+    def trigrams_of(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The trigrams of some words one after another, and the number of each one's."""
+        sizes = self.n_grams[words]
+        within = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        return self.grams[np.repeat(self.gram_at[words], sizes) + within].astype(np.int64), sizes
+
+
+def train(texts: Iterable[str | None], labels: list[int], vocabulary_size: int = 20_000, per_text: int = 8, steps: int = 400,
           refine: int = 2, batch: int = 256, rate: float = 0.01, seed: int = 5) -> Network:
     """A network from labelled texts; texts without a word count for the base rate only.
 
@@ -216,36 +258,45 @@ def train(texts: list[str], labels: list[int], vocabulary_size: int = 20_000, pe
     """
     y_all = np.array(labels, np.float32)
     base = float(y_all.mean()) if len(y_all) else 0.0
-    words = [words_of(t) for t in texts]
-    y_all, words = y_all[[bool(w) for w in words]], [w for w in words if w]
-    seen = Counter(w for doc in words for w in set(doc))
-    frequent = sorted((w for w, n in seen.items() if n >= 3), key=lambda w: (-seen[w], w))[:vocabulary_size]
-    net = Network.new({w: i + 1 for i, w in enumerate(frequent)}, base, seed)
-    if not words or y_all.min() == y_all.max():
+    sample = Sample(texts)
+    full = np.flatnonzero(sample.sizes)
+    y_all = y_all[full]
+    frequent = sample.frequent(3, vocabulary_size)
+    row = np.zeros(len(sample.distinct), np.int64)
+    row[frequent] = np.arange(1, len(frequent) + 1)
+    net = Network.new({sample.distinct[i]: n + 1 for n, i in enumerate(frequent)}, base, seed)
+    if not len(full) or y_all.min() == y_all.max():
         return net
     rng = np.random.default_rng(seed)
-    all_windows = [windows(len(w)) for w in words]
     adam = Adam(net.p, rate)
 
     def learn(places, least: int) -> None:
         done = 0
         while done < max(1, least):
-            now = places()
-            order = rng.permutation(len(now))
+            text, start = places()
+            order = rng.permutation(len(text))
             for a in range(0, len(order), batch):
-                part = [now[i] for i in order[a:a + batch]]
-                distinct, at = _batch(words, part)
-                adam.step(net.gradients(distinct, at, y_all[[d for d, _ in part]]))
+                part = order[a:a + batch]
+                words, at = sample.batch(full[text[part]], start[part])
+                adam.step(net.gradients((row[words], *sample.trigrams_of(words)), at, y_all[text[part]]))
                 done += 1
 
-    learn(lambda: [(d, w) for d, ws in enumerate(all_windows)
-                   for w in ws[rng.choice(len(ws), min(per_text, len(ws)), replace=False)]], steps)
+    def some() -> tuple[np.ndarray, np.ndarray]:
+        starts = [window_starts(n) for n in sample.sizes[full].tolist()]
+        starts = [s[rng.choice(len(s), min(per_text, len(s)), replace=False)] for s in starts]
+        return np.repeat(np.arange(len(full)), [len(s) for s in starts]), np.concatenate(starts)
+
+    learn(some, steps)
     scorer = Scorer(net)
     for _ in range(refine):
         adam.rate = rate / 3
         scorer.forget()
-        best = [int(np.argmax(z)) for z in scorer.window_logits(words)]
-        learn(lambda: [(d, all_windows[d][i]) for d, i in enumerate(best)], steps // 10)  # noqa: B023
+        best = np.zeros(len(full), np.int64)
+        for a in range(0, len(full), 64):
+            part = full[a:a + 64].tolist()
+            logits = scorer.window_logits([sample.words(i) for i in part], 64)
+            best[a:a + 64] = [window_starts(int(sample.sizes[i]))[np.argmax(z)] for i, z in zip(part, logits, strict=True)]
+        learn(lambda: (np.arange(len(full)), best), steps // 10)  # noqa: B023
     return net
 
 
@@ -322,7 +373,7 @@ def learn(docs: DataFrame, labels: DataFrame, train_rows: int = 4000, seed: int
     rows = (docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most train_rows rows
             .groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))
             .orderBy("doc_id").toArrow())
-    net = train(rows.column("text").to_pylist(), rows.column("toxic").to_pylist(), seed=seed)
+    net = train((t.as_py() for t in rows.column("text")), rows.column("toxic").to_pylist(), seed=seed)
     del rows
     give_back(trigrams.cache_clear)  # the driver's process goes on
     return net

@@ -226,3 +226,14 @@ def test_a_long_text_leaves_no_long_arrays():
     assert hashes[-4:].tolist() == alone
     assert len(set(hashes.tolist())) == 4 and hashes[0] == hashes[-2] and hashes[1] == hashes[-4]
     assert sum(p.nbytes for p in W._POWERS) <= 4 << 20
+
+
+def test_components_that_are_settled_take_no_other_round(spark):
+    """Stars with a few edges between them, as an earlier round leaves them: no round only to see that nothing moves."""
+    stars = [(100 * s, 100 * s + i) for s in range(1, 6) for i in range(1, 30)]
+    for more, most in (([], 1), ([(105, 207), (311, 412)], 2)):
+        scratch = Scratch(spark, "t")
+        got = {r.node: r.component for r in components(spark.createDataFrame(stars + more, "a long, b long"), scratch).collect()}
+        low = {200: 100, 400: 300} if more else {}
+        assert got == {n: low.get(a, a) for a, b in stars for n in (a, b)}
+        assert scratch._n <= most

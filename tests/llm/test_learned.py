@@ -1,5 +1,6 @@
 """Language identification, toxicity and the secret scan: held-out accuracy, gradients, odd inputs."""
 import random
+import tracemalloc
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -118,3 +119,29 @@ def test_scoring_remembers_no_trigrams():
     X.trigrams.cache_clear()
     assert X.Scorer(X.Network.new({}, 0.1, 1)).scores(["several words are here", None]).shape == (2,)
     assert X.trigrams.cache_info().currsize == 0  # a scored word's gates are remembered already
+
+
+def test_training_holds_numbers_instead_of_words():
+    rng = random.Random(3)
+    words = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=7)) for _ in range(20_000)]
+    texts = [" ".join(rng.choices(words, k=1500)) for _ in range(1200)]
+    tracemalloc.start()
+    net = X.train((t for t in texts), [i % 2 for i in range(len(texts))], per_text=1, steps=1, refine=1)
+    most = tracemalloc.get_traced_memory()[1] / 1e6
+    tracemalloc.stop()
+    assert most < 120, most  # 171 MB as lists of words, windows and trigrams
+    assert len(net.vocabulary) == 20_000
+
+
+def test_sample_batches_are_the_windows():
+    texts = ["one two three one", None, "two " * 40 + "four", "", "Five"]
+    sample = X.Sample(texts)
+    assert [sample.words(i) for i in range(5)] == [X.words_of(t) for t in texts]
+    assert [sample.distinct[i] for i in sample.frequent(2, 9)] == ["two"]
+    text, start = np.array([2, 0, 4]), np.array([9, 0, 0])
+    words, at = sample.batch(text, start)
+    names = [sample.distinct[i] for i in words]
+    assert names == ["two", "four", "one", "three", "five"]  # in the order in which they come
+    assert [[names[i] for i in row if i >= 0] for row in at.tolist()] == [["two"] * 31 + ["four"], ["one", "two", "three", "one"], ["five"]]
+    flat, sizes = sample.trigrams_of(words)
+    assert [part.tolist() for part in np.split(flat, np.cumsum(sizes)[:-1])] == [X.trigrams(w) for w in names]
